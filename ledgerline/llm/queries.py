@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality, simhash
+from . import bpe, mixing, quality, simhash
 from .common import documents
 
 
@@ -20,6 +20,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_words(documents(spark, sf_dir)).drop("first_slot")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_cascade(documents(spark, sf_dir)).drop("rules_run")
 
@@ -27,10 +31,41 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_mixing": op6_mixing,
     "op8_quality": op8_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_mixing": r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1 AS place
+  FROM d GROUP BY source),
+w AS (SELECT *, CAST(place % 3 + 1 AS BIGINT) AS weight, 3 * source_size AS most FROM s),
+-- rounds: what is left is shared by weight among the sources that are open; those above their most stop there
+fill AS (
+  SELECT 0 AS round, place, weight, most, FALSE AS stopped, (SELECT sum(source_size) FROM w) AS total FROM w
+  UNION ALL
+  SELECT round + 1, place, weight, most,
+         stopped OR CAST(most AS DOUBLE) / weight <= (total - sum(CASE WHEN stopped THEN most ELSE 0 END) OVER ())
+                    / CAST(sum(CASE WHEN stopped THEN 0 ELSE weight END) OVER () AS DOUBLE), total
+  FROM fill WHERE round < 40),
+t AS (
+  SELECT place, CASE WHEN stopped THEN CAST(most AS DOUBLE) ELSE
+         CAST(total - sum(CASE WHEN stopped THEN most ELSE 0 END) OVER () AS DOUBLE)
+         / CAST(sum(CASE WHEN stopped THEN 0 ELSE weight END) OVER () AS DOUBLE) * weight END AS target
+  FROM fill WHERE round = 40),
+q AS (SELECT w.source, w.place, w.source_size, t.target, CAST(round(t.target) AS BIGINT) AS quota FROM w JOIN t USING (place)),
+turns AS (
+  SELECT d.*, q.place, q.source_size, q.target, q.quota, e.epoch,
+         coalesce(sum(size) OVER (PARTITION BY q.place, e.epoch ORDER BY md5(e.epoch || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), size, r
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+  FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source, (VALUES (0), (1), (2)) e(epoch))
+SELECT doc_id, size, source_size, target,
+       CAST(sum(greatest(0, least(size, quota - (epoch * source_size + ahead)))) AS BIGINT) AS taken
+FROM turns GROUP BY r, doc_id, size, source_size, target""",
     "op8_quality": r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
