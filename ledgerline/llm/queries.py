@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, quality, simhash
+from . import bpe, lines, mixing, quality, simhash
 from .common import documents
 
 
@@ -20,6 +20,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.without_repeated_lines(documents(spark, sf_dir)).select("doc_id", "n_removed", "text")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_words(documents(spark, sf_dir)).drop("first_slot")
 
@@ -31,6 +35,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_line_dedup": op5_line_dedup,
     "op6_mixing": op6_mixing,
     "op8_quality": op8_quality,
 }
