@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, lines, mixing, quality, simhash
-from .common import documents
+from . import bpe, lines, mixing, quality, rans, simhash
+from .common import documents, new_path
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,12 +33,20 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_cascade(documents(spark, sf_dir)).drop("rules_run")
 
 
+def op9_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "rans")
+    rans.write_tokens(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), path)
+    n_tokens = (F.octet_length("ids") / 4).cast("long")
+    return rans.read_tokens(spark, path).select("doc_id", "start", n_tokens.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_line_dedup": op5_line_dedup,
     "op6_mixing": op6_mixing,
     "op8_quality": op8_quality,
+    "op9_rans": op9_rans,
 }
 
 ORACLE_SQL: dict[str, str] = {
