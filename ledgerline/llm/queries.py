@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lines, mixing, quality, rans, simhash
+from . import bpe, language, lines, mixing, quality, rans, simhash, toxicity
 from .common import documents, new_path
 
 
@@ -16,6 +16,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir)).drop("fp")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.round_trip_digests(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
@@ -40,13 +44,19 @@ def op9_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_tokens(spark, path).select("doc_id", "start", n_tokens.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_toxicity": op3_toxicity,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_line_dedup": op5_line_dedup,
     "op6_mixing": op6_mixing,
     "op8_quality": op8_quality,
     "op9_rans": op9_rans,
+    "op10_language": op10_language,
 }
 
 ORACLE_SQL: dict[str, str] = {
