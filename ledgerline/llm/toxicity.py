@@ -8,7 +8,6 @@ is the one at which the language's training texts are split best. 0.5 is then th
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -23,8 +22,13 @@ from .common import held_out
 
 BUCKETS, DIM, FILTERS = 1 << 15, 8, 8
 WIDTHS = (1, 2, 3)
+#: A word's embedding is the sum of those of the hashes of the word and of its first bytes, so many of them.
+PREFIXES = (3, 4, 5)
+PARTS = 1 + len(PREFIXES)
 #: Buckets that fewer texts to learn from hold stay at zero: what is seen so rarely would only be learned by heart.
 LEAST_TEXTS = 4
+#: Distinct words that a worker remembers before it starts anew.
+MEMORY = 150_000
 #: Frequent function words by language.
 FUNCTION_WORDS = {
     "en": "the of and to in that is was for with on as at by this are be from",
@@ -33,24 +37,35 @@ FUNCTION_WORDS = {
     "es": "el los las del y que en un una por con para se su es al lo como",
 }
 _LANGUAGE_OF = {w.encode(): k for k, words in enumerate(FUNCTION_WORDS.values()) for w in words.split()}
-_EDGES = re.compile(rb"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$")
-_BUCKET: dict[bytes, tuple[int, int]] = {}
-
-
-def word_buckets(raw: bytes | None) -> tuple[np.ndarray, int]:
-    """The buckets of a text's words (ASCII lower case, punctuation off the ends), and the number of its language."""
-    words, out, seen = (raw or b"").lower().split(), [], [0] * (len(FUNCTION_WORDS) + 1)
-    for w in words:
-        known = _BUCKET.get(w)
-        if known is None:
-            if len(_BUCKET) >= 300_000:
-                _BUCKET.clear()
-            bare = _EDGES.sub(b"", w)
-            known = _BUCKET[w] = (xxhash.xxh32_intdigest(bare) % BUCKETS, _LANGUAGE_OF.get(bare, len(FUNCTION_WORDS)))
-        out.append(known[0])
-        seen[known[1]] += 1
-    most = max(seen[:-1])
-    return np.array(out, np.int64), seen.index(most) if most else len(FUNCTION_WORDS)
+_EDGES = bytes(x for x in range(33, 127) if not chr(x).isalnum())
+
+
+class Words:
+    """Numbers for the words of texts; ids has the PARTS buckets of each, lang the number of its language."""
+
+    def __init__(self) -> None:
+        self.place: dict[bytes, int] = {}
+        self.ids = np.zeros((1024, PARTS), np.int64)
+        self.lang = np.zeros(1024, np.int64)
+
+    def number(self, raw: bytes | None) -> np.ndarray:
+        """The numbers of a text's words (in ASCII lower case)."""
+        words = (raw or b"").lower().split()
+        place = self.place
+        for w in words:
+            if w not in place:
+                k = place[w] = len(place)
+                if k == len(self.lang):
+                    self.ids, self.lang = np.concatenate((self.ids, self.ids)), np.concatenate((self.lang, self.lang))
+                bare = w.strip(_EDGES)
+                self.lang[k] = _LANGUAGE_OF.get(bare, len(FUNCTION_WORDS))
+                self.ids[k] = [xxhash.xxh32_intdigest(x, seed) % BUCKETS for seed, x in enumerate((bare, *(bare[:n] for n in PREFIXES)))]
+        return np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+
+    def language(self, numbers: np.ndarray) -> int:
+        """The language with the most function words, or len(FUNCTION_WORDS)."""
+        seen = np.bincount(self.lang[numbers], minlength=len(FUNCTION_WORDS) + 1)[:-1]
+        return int(seen.argmax()) if seen.any() else len(FUNCTION_WORDS)
 
 
 @dataclass
@@ -71,37 +86,40 @@ class TextCNN:
         n = FILTERS * len(WIDTHS)
         return TextCNN(embed, kernels, np.zeros(n, np.float32), rng.normal(0, 0.5, n).astype(np.float32), 0.0)
 
-    def pooled(self, ids: np.ndarray, tables: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The largest response of each filter, and where it begins."""
-        padded = np.concatenate((ids, np.full(max(WIDTHS) - 1 + (len(ids) == 0), BUCKETS)))
-        values, places = [], []
-        for k, (width, kernel) in enumerate(zip(WIDTHS, self.kernels, strict=True)):
-            n = max(1, len(ids))
-            if tables is None:
-                got = sum(self.embed[padded[j : j + n]] @ kernel[j] for j in range(width))
-            else:
-                got = tables[k][0].take(padded[:n], axis=0)
-                for j in range(1, width):
-                    got += tables[k][j].take(padded[j : j + n], axis=0)
-            at = got.argmax(axis=0)
-            values.append(got[at, np.arange(FILTERS)])
-            places.append(at)
-        return np.concatenate(values), np.concatenate(places)
+    def responses(self, ids: np.ndarray) -> np.ndarray:
+        """What each word (a row of buckets) adds to each filter at each place: (words, sum of widths, FILTERS)."""
+        embedded = self.embed[ids].sum(axis=1)
+        return np.stack([embedded @ kernel[j] for kernel in self.kernels for j in range(len(kernel))], axis=1)
 
-    def tables(self) -> list[np.ndarray]:
-        """What each bucket adds to each filter at each place: a filter's response is a sum of rows."""
-        return [np.stack([self.embed @ kernel[j] for j in range(w)]) for w, kernel in zip(WIDTHS, self.kernels, strict=True)]
+    def pooled(self, responses: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The largest response of each filter over a text, and where it begins; words beyond the end add nothing."""
+        n, top, places, column = max(1, len(responses)), [], [], 0
+        for width in WIDTHS:
+            total = np.zeros((n, FILTERS), np.float32)
+            for j in range(width):
+                total[: len(responses) - j if len(responses) > j else 0] += responses[j:, column]
+                column += 1
+            at = total.argmax(axis=0)
+            top.append(total[at, np.arange(FILTERS)])
+            places.append(at)
+        return np.concatenate(top), np.concatenate(places)
 
-    def logit(self, ids: np.ndarray, tables: list[np.ndarray] | None = None) -> float:
-        return float(np.maximum(self.pooled(ids, tables)[0] + self.bias, 0) @ self.weight + self.base)
+    def logit(self, responses: np.ndarray) -> float:
+        return float(np.maximum(self.pooled(responses)[0] + self.bias, 0) @ self.weight + self.base)
 
     def fit(self, texts: list[np.ndarray], labels: np.ndarray, epochs: int = 12, rate: float = 0.05, seed: int = 2) -> None:
         """Stochastic gradient descent with AdaGrad steps; both classes weigh alike."""
         rng = np.random.default_rng(seed)
-        texts_with = np.zeros(BUCKETS + 1, np.int64)
-        for ids in texts:
-            texts_with[np.unique(ids)] += 1
-        rare = texts_with < LEAST_TEXTS
+        holds = np.zeros((2, BUCKETS + 1), np.int64)
+        for ids, label in zip(texts, labels, strict=True):
+            holds[label, np.unique(ids)] += 1
+        rare = holds.sum(axis=0) < LEAST_TEXTS
+        # Embeddings start from how much more of the marked texts hold the bucket, in standard errors beyond four.
+        n0, n1 = max(1, int((labels == 0).sum())), max(1, int((labels == 1).sum()))
+        mean = holds.sum(axis=0) / (n0 + n1)
+        excess = (holds[1] / n1 - holds[0] / n0) / np.sqrt(np.maximum(mean * (1 - mean), 1e-9) * (1 / n0 + 1 / n1))
+        self.embed *= 0.1
+        self.embed[:, 0] = np.clip(np.abs(excess) - 4, 0, 8) * np.sign(excess) / 4
         self.embed[rare] = 0
         share = np.clip(labels.mean(), 1e-6, 1 - 1e-6)
         weigh = {1: 0.5 / share, 0: 0.5 / (1 - share)}
@@ -110,7 +128,7 @@ class TextCNN:
         for _ in range(epochs):
             for i in rng.permutation(len(texts)):
                 ids, label = texts[i], int(labels[i])
-                top, places = self.pooled(ids)
+                top, places = self.pooled(self.responses(ids))
                 hidden = np.maximum(top + self.bias, 0)
                 score = 1 / (1 + np.exp(-np.clip(hidden @ self.weight + self.base, -30, 30)))
                 slope = (score - label) * weigh[label]
@@ -121,17 +139,18 @@ class TextCNN:
                 self._step(self.bias, squares[-2], back, rate)
                 base_square += slope * slope
                 self.base -= rate * slope / np.sqrt(base_square)
-                padded = np.concatenate((ids, np.full(max(WIDTHS), BUCKETS)))
+                padded = np.concatenate((ids, np.full((max(WIDTHS), PARTS), BUCKETS)))
                 for k, width in enumerate(WIDTHS):
                     part = slice(k * FILTERS, (k + 1) * FILTERS)
                     g, at = back[part], places[part]
                     for j in range(width):
                         rows = padded[at + j]
-                        grad_rows = (self.kernels[k][j] * g).T
-                        self._step(self.kernels[k][j], squares[1 + k][j], self.embed[rows].T * g, rate)
-                        real = ~rare[rows]
-                        np.add.at(squares[0], rows[real], grad_rows[real] ** 2)
-                        np.add.at(self.embed, rows[real], -rate * grad_rows[real] / np.sqrt(squares[0][rows[real]]))
+                        grad_rows = np.repeat((self.kernels[k][j] * g).T, PARTS, axis=0)
+                        self._step(self.kernels[k][j], squares[1 + k][j], self.embed[rows].sum(axis=1).T * g, rate)
+                        flat = rows.ravel()
+                        real = ~rare[flat]
+                        np.add.at(squares[0], flat[real], grad_rows[real] ** 2)
+                        np.add.at(self.embed, flat[real], -rate * grad_rows[real] / np.sqrt(squares[0][flat[real]]))
 
     @staticmethod
     def _step(value: np.ndarray, square: np.ndarray, grad: np.ndarray, rate: float) -> None:
@@ -139,25 +158,30 @@ class TextCNN:
         value -= rate * grad / np.sqrt(square)
 
     def calibrate(self, logits: np.ndarray, languages: np.ndarray, labels: np.ndarray, least: int = 20) -> None:
-        """Sets each language's zero point where errors of both classes, weighed alike, are fewest."""
+        """Moves each language's zero point half the way to where errors are fewest.
+
+        A language with few texts of a class has the common point. It is half the way because the logits come from
+        classifiers of half the texts, which are less sure than the one of all.
+        """
         whole = best_split(logits, labels)
         for k in range(len(self.offsets)):
             here = languages == k
-            both = here.sum() >= least and 0 < labels[here].sum() < here.sum()
-            self.offsets[k] = best_split(logits[here], labels[here]) if both else whole
+            enough = min((labels[here] == 0).sum(), (labels[here] == 1).sum()) >= least
+            self.offsets[k] = 0.5 * (best_split(logits[here], labels[here]) if enough else whole)
 
 
 def best_split(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The threshold with the highest balanced accuracy, in the middle of its gap."""
+    """The threshold with the fewest errors; of several, the middle of the widest gap."""
     if not len(logits) or labels.min() == labels.max():
         return 0.0
     order = np.argsort(logits, kind="stable")
     x, y = logits[order], labels[order]
-    below = np.concatenate(([0], np.cumsum(y == 0) / (y == 0).sum())) - np.concatenate(([0], np.cumsum(y == 1) / (y == 1).sum()))
-    edges = np.concatenate(([x[0] - 1], (x[:-1] + x[1:]) / 2, [x[-1] + 1]))
-    apart = np.concatenate(([True], x[1:] > x[:-1], [True]))
-    good = np.flatnonzero(apart & (below >= below[apart].max() - 1e-12))
-    return float(edges[good[len(good) // 2]])
+    errors = np.concatenate(([0], np.cumsum(y == 1))) + (y == 0).sum() - np.concatenate(([0], np.cumsum(y == 0)))
+    low, high = np.concatenate(([x[0] - 1], x)), np.concatenate((x, [x[-1] + 1]))
+    apart = high > low
+    good = np.flatnonzero(apart & (errors == errors[apart].min()))
+    widest = good[np.argmax(high[good] - low[good])]
+    return float((low[widest] + high[widest]) / 2)
 
 
 def trained(docs: DataFrame, labels: DataFrame, sample_rows: int = 6000) -> TextCNN | None:
@@ -170,24 +194,32 @@ def trained(docs: DataFrame, labels: DataFrame, sample_rows: int = 6000) -> Text
     order = F.xxhash64("doc_id")
     picked = known.filter("toxic = 1").orderBy(order, "doc_id").limit(sample_rows // 2).unionByName(known.filter("toxic = 0").orderBy(order, "doc_id").limit(sample_rows // 2))
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("raw")).join(picked, "doc_id")
-
-    def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [word_buckets(x) for x in batch.column(1).to_pylist()]
-            columns = [batch.column(0), batch.column(2), pa.array([f[0].astype("<u2").tobytes() for f in found], pa.binary()), pa.array([f[1] for f in found], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "toxic", "ids", "lang_no"])
-
-    kinds = {name: rows.schema[name].dataType.simpleString() for name in ("doc_id", "toxic")}
-    got = rows.mapInArrow(buckets, f"doc_id {kinds['doc_id']}, toxic {kinds['toxic']}, ids binary, lang_no long").collect()
-    got.sort(key=lambda r: (r.doc_id, r.ids))
+    got = rows.collect()
+    got.sort(key=lambda r: (r.doc_id, r.raw or b""))
     y = np.array([r.toxic for r in got], np.int64)
     if not len(got) or y.min() == y.max():
         return None
-    texts = [np.frombuffer(r.ids, "<u2").astype(np.int64) for r in got]
-    model = TextCNN.fresh()
-    model.fit(texts, y, epochs=max(3, min(40, 24_000 // len(texts))))
-    tables = model.tables()
-    model.calibrate(np.array([model.logit(t, tables) for t in texts]), np.array([r.lang_no for r in got]), y)
+    words = Words()
+    numbers = [words.number(r.raw and bytes(r.raw)) for r in got]
+    languages = np.array([words.language(x) for x in numbers])
+    texts = [words.ids[x] for x in numbers]
+
+    def learned(rows: np.ndarray) -> TextCNN:
+        model = TextCNN.fresh()
+        model.fit([texts[i] for i in rows], y[rows], epochs=max(2, min(10, 12_000 // len(got))))
+        return model
+
+    # Logits for the calibration come from classifiers that haven't seen the text.
+    logits, fold = np.zeros(len(y)), np.zeros(len(y), np.int64)
+    for label in (0, 1):
+        fold[y == label] = np.arange((y == label).sum()) % 2
+    for k in (0, 1):
+        other = learned(np.flatnonzero(fold != k))
+        responses = other.responses(words.ids[: len(words.place)])
+        for i in np.flatnonzero(fold == k):
+            logits[i] = other.logit(responses[numbers[i]])
+    model = learned(np.arange(len(y)))
+    model.calibrate(logits, languages, y)
     return model
 
 
@@ -203,18 +235,24 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 6000) -> Dat
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        tables = model.tables() if model else None
+        model, words, known, filled = shared.value, Words(), np.zeros((0, sum(WIDTHS), FILTERS), np.float32), 0
         for batch in batches:
             scores = []
             for raw in batch.column(2).to_pylist():
                 if model is None:
                     scores.append(0.0)
                     continue
-                ids, language = word_buckets(raw)
-                parts = [ids[i : i + 65536 + max(WIDTHS) - 1] for i in range(0, max(1, len(ids)), 65536)]
-                top = np.max([model.pooled(p, tables)[0] for p in parts], axis=0)
-                logit = float(np.maximum(top + model.bias, 0) @ model.weight + model.base) - model.offsets[language]
+                if len(words.place) >= MEMORY:
+                    words, filled = Words(), 0
+                numbers = words.number(raw)
+                if len(words.place) > len(known):
+                    grown = np.empty((max(len(words.place), 2 * len(known)), *known.shape[1:]), np.float32)
+                    grown[: len(known)] = known
+                    known = grown
+                if len(words.place) > filled:
+                    known[filled : len(words.place)] = model.responses(words.ids[filled : len(words.place)])
+                    filled = len(words.place)
+                logit = model.logit(known[numbers]) - model.offsets[words.language(numbers)]
                 scores.append(float(1 / (1 + np.exp(-np.clip(logit, -500, 500)))))
             score = pd.Series(scores, dtype="float64")
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score), pa.array((score >= 0.5).astype("int32"))], names=["doc_id", "held_out", "score", "predicted"])
