@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, lines, mixing, quality, rans, simhash, toxicity
+from . import bpe, htmltext, language, lines, mixing, quality, rans, simhash, toxicity
 from .common import documents, new_path
 
 
@@ -33,6 +33,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_words(documents(spark, sf_dir)).drop("first_slot")
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(documents(spark, sf_dir, "pages"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_cascade(documents(spark, sf_dir)).drop("rules_run")
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_line_dedup": op5_line_dedup,
     "op6_mixing": op6_mixing,
+    "op7_html_text": op7_html_text,
     "op8_quality": op8_quality,
     "op9_rans": op9_rans,
     "op10_language": op10_language,
