@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, htmltext, language, lines, mixing, quality, rans, simhash, toxicity
+from . import bpe, htmltext, language, lines, mixing, neighbours, quality, rans, simhash, toxicity
 from .common import documents, new_path
 
 
@@ -16,6 +16,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir)).drop("fp")
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(documents(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
 
@@ -54,6 +58,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_neighbours": op2_neighbours,
     "op3_toxicity": op3_toxicity,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_line_dedup": op5_line_dedup,
