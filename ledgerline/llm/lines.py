@@ -10,16 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import free_names, written
 from .components import components
 
 #: Lines of fewer words are left alone. Lines are linked from this edit similarity on, if their SimHashes differ in at
 #: most LIMIT bits; of BLOCKS blocks at least BLOCKS - LIMIT are then equal, and any so many of them make a join key.
 MIN_WORDS, SIMILARITY, LIMIT, BLOCKS = 5, 0.8, 3, 6
-#: Bytes of text that are hashed at once, and distinct hashes of one bucket that are paired where they are found.
-CHUNK, PAIRED = 1 << 21, 64
-#: Rows of a larger bucket that one task compares with one another.
-MEETING = 2048
+#: Bytes of text that are hashed at once, and rows of one bucket that one task compares with one another.
+CHUNK, MEETING = 1 << 18, 2048
 #: Bits of the filter of line hashes that may be candidates: 4 MB whatever the input.
 FILTER_BITS = 1 << 25
 
@@ -59,30 +57,52 @@ def normalised(raw: bytes) -> bytes:
     return text[~again].tobytes()
 
 
-def hashed_lines(raw: bytes, powers: np.ndarray, backs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the lines of at least MIN_WORDS words: line number, hash of the normalised line, SimHash of its words."""
+def _bit_counts(words: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """How many of the words from each `first` on have each bit; eight counters of 8 bits in a number, cut at 255."""
+    bits = np.unpackbits(words.astype(">u8").view(np.uint8)).reshape(-1, 64).view(np.uint64)
+    longest = int(count.max())
+    cuts = np.unique(np.concatenate([first, *(first[count > k] + k for k in range(255, longest, 255))]))
+    parts = np.add.reduceat(bits, cuts, axis=0).view(np.uint8).reshape(-1, 64)
+    return parts if longest <= 255 else np.add.reduceat(parts, np.searchsorted(cuts, first), axis=0, dtype=np.int32)
+
+
+def hashed_lines(raw: bytes, powers: np.ndarray, backs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Of the lines of at least MIN_WORDS words: number, hash and text of the normalised line, SimHash of its words."""
     text = np.frombuffer(normalised(raw), np.uint8)
     inside = text > 32
     edge = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    none = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    none = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), pa.array([], pa.binary())
     if len(starts) < MIN_WORDS:
         return none
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(text.astype(np.uint64) * powers[: len(text)], dtype=np.uint64)))
-    words = _mixed((sums[ends] - sums[starts]) * backs[starts] + (ends - starts).astype(np.uint64))
     line = np.searchsorted(np.flatnonzero(text == 10), starts)
     first = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
     count = np.diff(np.append(first, len(line)))
+    long = count >= MIN_WORDS
+    if not long.any():
+        return none
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(text.astype(np.uint64) * powers[: len(text)], dtype=np.uint64)))
+    words = _mixed((sums[ends] - sums[starts]) * backs[starts] + (ends - starts).astype(np.uint64))
     place = np.arange(len(line)) - np.repeat(first, count)
     whole = np.add.reduceat(_mixed(words + (place + 1).astype(np.uint64) * np.uint64(_BASE)), first)
-    ones = np.add.reduceat(np.unpackbits(words.astype(">u8").view(np.uint8)).reshape(-1, 64), first, axis=0, dtype=np.int32)
-    sims = np.packbits(2 * ones > count[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
-    long = count >= MIN_WORDS
-    return line[first][long], whole[long], sims[long]
+    ones = _bit_counts(words, first, count)
+    sims = np.packbits(2 * ones.astype(np.int32) > count[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
+    # The texts: words and the one byte after each, but for the last of a line, of the long lines only.
+    last = first + count - 1
+    kept = np.zeros(len(text) + 1, np.int8)
+    kept[starts[np.repeat(long, count)]] = 1
+    stops = ends + 1
+    stops[last] -= 1
+    np.add.at(kept, stops[np.repeat(long, count)], -1)
+    kept = np.cumsum(kept[:-1], dtype=np.int8) > 0
+    upto = np.concatenate(([0], np.cumsum(kept)))
+    offsets = np.concatenate(([0], upto[ends[last[long]]])).astype(np.int32)
+    texts = pa.Array.from_buffers(pa.binary(), int(long.sum()), [None, pa.py_buffer(offsets), pa.py_buffer(text[kept])])
+    return line[first][long], whole[long], sims[long], texts
 
 
 def line_hashes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, line, h, sh of each line of at least MIN_WORDS words in whole texts."""
+    """doc_id, line, h, sh and text of each line of at least MIN_WORDS words in whole texts; text is normalised."""
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, backs = _powers(_BASE, CHUNK), _powers(_BACK, CHUNK)
@@ -97,61 +117,79 @@ def line_hashes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 if size > len(powers):
                     powers, backs = _powers(_BASE, size), _powers(_BACK, size)
                 part = raws[done:upto]
-                line, h, sh = hashed_lines(b"\n".join(part), powers, backs)
+                line, h, sh, texts = hashed_lines(b"\n".join(part), powers, backs)
                 begins = np.cumsum([0] + [x.count(b"\n") + 1 for x in part])
                 owner = np.searchsorted(begins, line, side="right") - 1
                 ids = batch.column(0).take(pa.array(owner + done))
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(line - begins[owner]), pa.array(h.view(np.int64)), pa.array(sh.view(np.int64))], names=["doc_id", "line", "h", "sh"]
-                )
+                columns = [ids, pa.array(line - begins[owner]), pa.array(h.view(np.int64)), pa.array(sh.view(np.int64)), texts]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "line", "h", "sh", "text"])
                 done = upto
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return docs.select(id_col, F.col(text_col).cast("binary")).mapInArrow(hashes, f"doc_id {kind}, line long, h long, sh long")
+    return docs.select(id_col, F.col(text_col).cast("binary")).mapInArrow(hashes, f"doc_id {kind}, line long, h long, sh long, text binary")
 
 
 def _keys(sh: np.ndarray, choice: np.ndarray) -> np.ndarray:
     return (sh & np.array(_MASKS, np.uint64)[choice]) ^ choice.astype(np.uint64)
 
 
+def _forest(sh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a forest over hashes that pairs within LIMIT bits connect."""
+    left, a, b, todo = sh, [], [], []
+    while len(left):
+        if not todo:
+            todo, left = [left[0]], left[1:]
+        x = todo.pop()
+        near = np.bitwise_count(left ^ x) <= LIMIT
+        if near.any():
+            b.append(left[near])
+            a.append(np.full(len(b[-1]), x))
+            todo.extend(b[-1])
+            left = left[~near]
+    return (np.concatenate(a), np.concatenate(b)) if a else (sh[:0], sh[:0])
+
+
+def _links(a: np.ndarray, b: np.ndarray | None, key: np.ndarray) -> pa.RecordBatch:
+    other = pa.nulls(len(a), pa.int64()) if b is None else pa.array(b.view(np.int64))
+    return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), other, pa.array(key.view(np.int64))], names=["a", "b", "key"])
+
+
 def near_hashes(hashes: DataFrame) -> DataFrame:
-    """Of distinct `sh`: pairs (a, b, key null) within LIMIT bits, and rows (a, b null, key) of buckets above PAIRED."""
+    """Of distinct `sh`: links (a, b, key) that connect, within the bucket of each key, all pairs within LIMIT bits.
+
+    The rows of buckets above MEETING come as (a, null, key) instead.
+    """
 
-    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.zeros(0, np.uint64)
         held, choices = none, none.astype(np.int64)  # of the last bucket seen, which the next batch may go on with
-        large = None  # its key, once it is above PAIRED
-
-        def out(a, b, key):  # noqa: ANN001, ANN202
-            nulls = [np.zeros(len(x), bool) if x is not None else None for x in (a, b, key)]
-            n = len(a)
-            columns = [pa.array(x.view(np.int64)) if keep is not None else pa.nulls(n, pa.int64()) for x, keep in zip((a, b, key), nulls, strict=True)]
-            return pa.RecordBatch.from_arrays(columns, names=["a", "b", "key"])
+        large = None  # its key, once it is above MEETING
 
         def close(sh, key):  # noqa: ANN001, ANN202 - whole buckets, sorted by key
             begins = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
             sizes = np.diff(np.append(begins, len(key)))
-            for size in np.unique(sizes[(sizes > 1) & (sizes <= PAIRED)]):
-                rows = sh[begins[sizes == size][:, None] + np.arange(size)]
-                i, j = np.triu_indices(size, 1)
-                a, b = rows[:, i].ravel(), rows[:, j].ravel()
-                near = np.bitwise_count(a ^ b) <= LIMIT
-                if near.any():
-                    yield out(a[near], b[near], None)
-            for k in np.flatnonzero(sizes > PAIRED):
-                yield out(sh[begins[k] : begins[k] + sizes[k]], None, key[begins[k] : begins[k] + sizes[k]])
+            two = begins[sizes == 2]
+            near = two[np.bitwise_count(sh[two] ^ sh[two + 1]) <= LIMIT]
+            found = [(np.minimum(sh[near], sh[near + 1]), np.maximum(sh[near], sh[near + 1]), key[near])]
+            for k in np.flatnonzero((sizes > 2) & (sizes <= MEETING)):
+                a, b = _forest(np.sort(sh[begins[k] : begins[k] + sizes[k]]))
+                found.append((a, b, np.full(len(a), key[begins[k]])))
+            yield _links(*(np.concatenate(x) for x in zip(*found, strict=True)))
+            for k in np.flatnonzero(sizes > MEETING):
+                yield _links(sh[begins[k] : begins[k] + sizes[k]], None, key[begins[k] : begins[k] + sizes[k]])
 
         for batch in batches:
             sh = np.concatenate((held, batch.column(1).to_numpy().view(np.uint64)))
             choices = np.concatenate((choices, batch.column(0).to_numpy().astype(np.int64)))
             key = _keys(sh, choices)
             if large is not None:
-                same = int(np.argmax(key != large)) if (key != large).any() else len(key)
+                other = np.flatnonzero(key != large)
+                same = int(other[0]) if len(other) else len(key)
                 if same:
-                    yield out(sh[:same], None, key[:same])
+                    yield _links(sh[:same], None, key[:same])
                 sh, choices, key = sh[same:], choices[same:], key[same:]
+                held = sh
                 if not len(sh):
-                    held, choices = none, none.astype(np.int64)
                     continue
                 large = None
             if not len(sh):
@@ -159,8 +197,8 @@ def near_hashes(hashes: DataFrame) -> DataFrame:
             last = int(np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))[-1])
             yield from close(sh[:last], key[:last]) if last else ()
             held, choices = sh[last:], choices[last:]
-            if len(held) > PAIRED:
-                yield out(held, None, key[last:])
+            if len(held) > MEETING:
+                yield _links(held, None, key[last:])
                 large, held, choices = key[-1], none, none.astype(np.int64)
         if len(held):
             yield from close(held, _keys(held, choices))
@@ -168,7 +206,15 @@ def near_hashes(hashes: DataFrame) -> DataFrame:
     masks = F.array(*(F.lit(m - (1 << 64) if m >> 63 else m).cast("long") for m in _MASKS))
     rows = hashes.select("sh").distinct().select(F.explode(F.array(*(F.lit(i).cast("byte") for i in range(len(_MASKS))))).alias("choice"), "sh")
     key = F.col("sh").bitwiseAND(F.element_at(masks, F.col("choice").cast("int") + 1)).bitwiseXOR(F.col("choice").cast("long"))
-    return rows.repartition(key).sortWithinPartitions(key).mapInArrow(paired, "a long, b long, key long")
+    return rows.repartition(key).sortWithinPartitions(key).mapInArrow(bucket_links, "a long, b long, key long")
+
+
+def meetings(rows: DataFrame, by: str) -> DataFrame:
+    """Deals the rows of each key over blocks of about MEETING, by column `by`: each block meets each in a (key, p, q)."""
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    dealt = rows.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / MEETING).cast("int")).withColumn("own", F.pmod(F.xxhash64(by), F.col("blocks")).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return met.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other")).drop("n", "blocks", "own", "other")
 
 
 def similar(a: bytes, b: bytes) -> bool:
@@ -185,8 +231,13 @@ def similar(a: bytes, b: bytes) -> bool:
     while end < len(b) - begin and a[-1 - end] == b[-1 - end]:
         end += 1
     a, b = a[begin : len(a) - end], b[begin : len(b) - end]
+    if len(a) <= most:  # replacing what differs is enough
+        return True
+    words_a, words_b = a.split(b" "), b.split(b" ")
+    if len(words_a) == len(words_b) and sum(max(len(x), len(y)) for x, y in zip(words_a, words_b) if x != y) <= most:
+        return True
     if not b:
-        return len(a) <= most
+        return False
     at: dict[int, int] = {}
     for i, x in enumerate(b):
         at[x] = at.get(x, 0) | 1 << i
@@ -217,76 +268,70 @@ def _filter_of(hashes: DataFrame) -> np.ndarray:
     return total
 
 
-def candidate_texts(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
+def wanted_texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     """sh, h and text of the distinct normalised lines whose sh is in `wanted`."""
-    bits = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted))
+    bits = lines.sparkSession.sparkContext.broadcast(_filter_of(wanted))
 
-    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, backs = _powers(_BASE, CHUNK), _powers(_BACK, CHUNK)
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.unpackbits(bits.value).view(bool)
         for batch in batches:
-            rows = []
-            for raw in batch.column(0).to_pylist():
-                if not raw:
-                    continue
-                if len(raw) > len(powers):
-                    powers, backs = _powers(_BASE, len(raw)), _powers(_BACK, len(raw))
-                line, h, sh = hashed_lines(raw, powers, backs)
-                hit = np.flatnonzero(found[sh % np.uint64(FILTER_BITS)])
-                if len(hit):
-                    texts = normalised(raw).split(b"\n")
-                    rows += [(int(sh.view(np.int64)[i]), int(h.view(np.int64)[i]), b" ".join(texts[line[i]].split())) for i in hit]
-            columns = list(zip(*rows, strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["sh", "h", "text"])
-
-    found = docs.select(F.col(text_col).cast("binary")).mapInArrow(lines, "sh long, h long, text binary")
-    return found.join(wanted.distinct(), "sh", "left_semi").groupBy("sh", "h").agg(F.min("text").alias("text"))
-
-
-def similar_lines(docs: DataFrame, text_col: str, hashes: DataFrame) -> DataFrame:
-    """Links (a, b) between hashes h of different normalised lines that connect all similar ones."""
-    found = written(near_hashes(hashes), "near")
-    pairs = found.filter("key is null").select("a", "b").distinct()
-    large = found.filter("key is not null").select(F.col("a").alias("sh"), "key")
-    several = hashes.select("sh", "h").distinct().groupBy("sh").agg(F.count("*").alias("n")).filter("n > 1").select("sh")
-    wanted = pairs.select(F.col("a").alias("sh")).union(pairs.select("b")).union(large.select("sh")).union(several).distinct()
-    texts = written(candidate_texts(docs, text_col, wanted), "texts")
-    left, right = (texts.select(F.col("sh").alias(x), F.col("h").alias(f"h{x}"), F.col("text").alias(f"t{x}")) for x in "ab")
+            yield batch.filter(pa.array(found[batch.column(0).to_numpy().view(np.uint64) % np.uint64(FILTER_BITS)]))
+
+    found = lines.select("sh", "h", "text").mapInArrow(hits, "sh long, h long, text binary")
+    return found.join(wanted, "sh", "left_semi").groupBy("sh", "h").agg(F.min("text").alias("text"))
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [similar(a, b) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    few = pairs.join(left, "a").join(right, "b").select("ha", "hb", "ta", "tb").mapInArrow(verify, "a long, b long")
+def similar_lines(lines: DataFrame) -> DataFrame:
+    """Links (a, b) between hashes h of different normalised lines that connect all similar ones.
+
+    Links between SimHashes are found first, as a forest in each bucket. Where all links of a bucket hold by edit
+    similarity, so does its connection. The lines of the other buckets are compared with one another by their texts, and
+    so are those whose SimHash several lines have.
+    """
+    found = written(near_hashes(lines), "near")
 
     def forest(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        """Links of a forest over the bucket: each line found is compared with those not yet reached."""
+        a, b = _forest(np.sort(table.column("sh").to_numpy().view(np.uint64)))
+        return pa.table({"a": a.view(np.int64), "b": b.view(np.int64), "key": np.full(len(a), key[0].as_py(), np.int64)})
+
+    met = meetings(found.filter("b is null").select(F.col("a").alias("sh"), "key"), "sh")
+    links = written(found.filter("b is not null").unionByName(met.groupBy("key", "p", "q").applyInArrow(forest, "a long, b long, key long")), "links")
+    several = written(lines.select("sh", "h").distinct().groupBy("sh").agg(F.count("*").alias("n")).filter("n > 1").select("sh"), "several")
+    pairs = links.select("a", "b").distinct()
+    wanted = links.select(F.col("a").alias("sh")).union(links.select("b")).union(several).distinct()
+    texts = written(wanted_texts(lines, wanted), "texts")
+    alone = texts.join(several, "sh", "left_anti")
+    left, right = (alone.select(F.col("sh").alias(x), F.col("h").alias(f"h{x}"), F.col("text").alias(f"t{x}")) for x in "ab")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = [similar(a, b) for a, b in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(good, pa.bool_())], names=["a", "b", "ha", "hb", "good"])
+
+    verified = pairs.join(left, "a").join(right, "b").select("a", "b", "ha", "hb", "ta", "tb").mapInArrow(verify, "a long, b long, ha long, hb long, good boolean")
+    verified = written(verified, "verified")
+    few = verified.filter("good").select(F.col("ha").alias("a"), F.col("hb").alias("b"))
+    # A link that fails, or isn't verified as an end has several lines, sends its bucket's lines to the texts.
+    doubt = links.join(verified.filter("good").select("a", "b"), ["a", "b"], "left_anti").select("key").distinct()
+    again = links.join(doubt, "key")
+    buckets = again.select(F.col("a").alias("sh"), "key").union(again.select("b", "key")).distinct().unionByName(several.select("sh", F.col("sh").alias("key")))
+
+    def by_text(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         h, sh, text = table.column("h").to_numpy(), table.column("sh").to_numpy().view(np.uint64), table.column("text").to_pylist()
         left, a, b, todo = np.arange(len(h)), [], [], []
-        while len(left) or todo:
+        while len(left):
             if not todo:
                 todo, left = [left[0]], left[1:]
             x = todo.pop()
-            near = left[np.bitwise_count(sh[left] ^ sh[x]) <= LIMIT]
-            met = [i for i in near if similar(text[i], text[x])]
-            a += [int(h[x])] * len(met)
-            b += [int(h[i]) for i in met]
-            todo += met
-            left = np.setdiff1d(left, met, assume_unique=True)
+            near = np.bitwise_count(sh[left] ^ sh[x]) <= LIMIT
+            near[near] = [similar(text[i], text[x]) for i in left[near]]
+            a += [h[x]] * int(near.sum())
+            b += h[left[near]].tolist()
+            todo += left[near].tolist()
+            left = left[~near]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    # The lines of a large bucket, and those of one SimHash, meet block by block.
-    buckets = large.unionByName(several.select("sh", F.col("sh").alias("key"))).join(texts, "sh")
-    sizes = buckets.groupBy("key").agg(F.count("*").alias("n"))
-    met = (
-        buckets.join(sizes, "key")
-        .withColumn("blocks", F.ceil(F.col("n") / MEETING).cast("int"))
-        .withColumn("own", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "h", "sh", "text")
-    )
-    many = met.groupBy("key", "p", "q").applyInArrow(forest, "a long, b long")
+    many = meetings(buckets.join(texts, "sh"), "h").groupBy("key", "p", "q").applyInArrow(by_text, "a long, b long")
     return few.unionByName(many)
 
 
@@ -300,8 +345,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     count as one document. Null and empty texts have no lines; other columns are ignored.
     """
     lines = written(line_hashes(docs, id_col, text_col), "lines")
-    links = similar_lines(docs, text_col, lines.select("h", "sh"))
-    labels = components(links)
+    labels = components(similar_lines(lines))
     at = F.struct("doc_id", "line")
     firsts = written(lines.groupBy("h").agg(F.min(at).alias("at"), F.count("*").alias("n")), "firsts")
     joined = firsts.join(labels, firsts.h == labels.node, "left").select("h", "at", "n", F.coalesce("component", "h").alias("group"))
@@ -313,10 +357,15 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` with the repeated lines gone, and n_removed; see repeated_lines. A null text stays null."""
-    gone = repeated_lines(docs, id_col, text_col).select(F.col("doc_id").alias("_id"), F.col("removed").alias("_removed"))
-    joined = docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]), "left")
+    """The rows of `docs` with the repeated lines gone, and n_removed; see repeated_lines. A null text stays null.
+
+    Where `docs` has a column n_removed, that stays and the new one is n_removed_.
+    """
+    key, removed, n_removed = free_names(docs, "id_of_lines", "removed_lines", "n_removed")
+    gone = repeated_lines(docs, id_col, text_col).select(F.col("doc_id").alias(key), F.col("removed").alias(removed))
+    joined = docs.join(gone, docs[id_col].eqNullSafe(gone[key]), "left")
     parts = F.split(F.col(text_col), "\n", -1)
-    kept = F.array_join(F.filter(F.transform(parts, lambda x, i: F.when(~F.array_contains("_removed", i.cast("long")), x)), lambda x: x.isNotNull()), "\n")
-    text = F.when(F.col("_removed").isNull(), F.col(text_col)).otherwise(kept)
-    return joined.withColumn(text_col, text).withColumn("n_removed", F.coalesce(F.size("_removed"), F.lit(0)).cast("long")).select(*docs.columns, "n_removed")
+    kept = F.array_join(F.filter(F.transform(parts, lambda x, i: F.when(~F.array_contains(removed, i.cast("long")), x)), lambda x: x.isNotNull()), "\n")
+    text = F.when(F.col(removed).isNull(), F.col(text_col)).otherwise(kept)
+    n = F.when(F.col(removed).isNull(), 0).otherwise(F.size(removed)).cast("long")
+    return joined.withColumn(text_col, text).withColumn(n_removed, n).select(*docs.columns, n_removed)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, free_names, written
 
 GOLDEN = 0.6180339887498949
 #: Parts of the unit interval by which slots meet sources, and slots of which ranks are counted together.
@@ -118,11 +118,12 @@ def mixed_documents(docs: DataFrame, source_col: str = "source", text_col: str =
     A document at the end of its source's target, of which only some words are taken, has the text of these words,
     separated by single spaces. Nulls and repeated rows are treated as in mixed_words.
     """
-    staged = written(docs.withColumn("_row", F.monotonically_increasing_id()), "staged")
-    sizes = written(staged.select(F.col("_row").alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes")
-    rows, pieces = mix(sizes, block)
-    turns = pieces.groupBy("row", "epoch").agg(F.sum("n_words").alias("_taken")).join(rows.select("row", "size"), "row")
-    turns = turns.select(F.col("row").alias("_row"), "_taken", F.col("size").alias("_size"))
-    cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)), F.lit(1), F.col("_taken").cast("int")), " ")
-    whole = staged.join(turns, "_row").withColumn(text_col, F.when(F.col("_taken") < F.col("_size"), cut).otherwise(F.col(text_col)))
+    row, taken, size = free_names(docs, "row_of_mix", "taken_of_mix", "size_of_mix")
+    staged = written(docs.withColumn(row, F.monotonically_increasing_id()), "staged")
+    light = staged.select(F.col(row).alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    rows, pieces = mix(written(light, "sizes"), block)
+    turns = pieces.groupBy("row", "epoch").agg(F.sum("n_words").alias(taken)).join(rows.select("row", F.col("size").alias(size)), "row")
+    turns = turns.select(F.col("row").alias(row), taken, size)
+    cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)), F.lit(1), F.col(taken).cast("int")), " ")
+    whole = staged.join(turns, row).withColumn(text_col, F.when(F.col(taken) < F.col(size), cut).otherwise(F.col(text_col)))
     return whole.select(*docs.columns)
