@@ -14,7 +14,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import held_out
@@ -63,7 +63,7 @@ class LinearSVM:
         w, alpha = np.zeros(x.shape[1] + 1, np.float64), np.zeros(len(y))
         per_class = {s: cost * len(y) / (2 * max(1, (y == s).sum())) for s in (1, -1)}
         diagonal = np.array([0.5 / per_class[int(s)] for s in y])
-        norms = (x.astype(np.float64) ** 2).sum(axis=1) + 1.0 + diagonal
+        norms = np.einsum("ij,ij->i", x, x) + 1.0 + diagonal
         for _ in range(rounds):
             moved = 0.0
             for i in rng.permutation(len(y)):
@@ -127,25 +127,29 @@ class Hierarchy:
         return best, sure * _squash(least[best])
 
 
-def trained(docs: DataFrame, sample_rows: int = 1200, sample_chars: int = 20_000) -> Hierarchy | None:
-    """Learns from at most `sample_rows` documents of each language that aren't held out, of the smallest hashes of doc_id.
+def trained(docs: DataFrame, sample_rows: int = 400) -> Hierarchy | None:
+    """Learns from at most `sample_rows` documents of each language that aren't held out, of the smallest hashes of doc_id."""
+    known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    picked = known.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample_rows).select("doc_id").distinct()
 
-    Only texts of up to `sample_chars` characters are learned from, which bounds the driver's memory.
-    """
-    known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    known = known.filter(F.length("text") <= sample_chars).select("doc_id", "lang", "text")
-    langs = [r.lang for r in known.select("lang").distinct().collect()]
-    rows = []
-    for lang in sorted(langs):
-        rows += known.filter(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample_rows).collect()
-    found = [(features(r.text), r.lang) for r in rows]
-    found = [(x, lang) for x, lang in found if x is not None]
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [features(x) for x in batch.column(2).to_pylist()]
+            raw = pa.array([x if x is None else x.astype(np.float16).tobytes() for x in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), raw], names=["doc_id", "lang", "raw"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    # The broadcast side has at most sample_rows ids for each language.
+    rows = known.select("doc_id", "lang", "text").join(F.broadcast(picked), "doc_id")
+    found = [r for r in rows.mapInArrow(measured, f"doc_id {kind}, lang string, raw binary").collect() if r.raw is not None]
     if not found:
         return None
-    return Hierarchy.fit(np.stack([x for x, _ in found]), [lang for _, lang in found])
+    found.sort(key=lambda r: (r.doc_id, r.lang, r.raw))
+    return Hierarchy.fit(np.stack([np.frombuffer(r.raw, np.float16) for r in found]).astype(np.float32), [r.lang for r in found])
 
 
-def identify(docs: DataFrame, sample_rows: int = 1200) -> DataFrame:
+def identify(docs: DataFrame, sample_rows: int = 400) -> DataFrame:
     """Predicts the language of every whole text of `docs` (doc_id, text, lang), learning from lang where it isn't null.
 
     Returns one row for each row of `docs`: doc_id, held_out, lang_pred, score (0 to 1). A null text, or one without a

@@ -14,6 +14,7 @@ states u64; then the words u32.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -33,7 +34,7 @@ LANES, STEPS = 512, 128
 #: Tokens from which a block is closed; it ends with the document that reaches them.
 BLOCK = 1 << 18
 #: Words whose ids a worker remembers before it starts anew.
-MEMORY = 400_000
+MEMORY = 600_000
 _HEAD = struct.Struct("<4sIIQIQ")
 
 
@@ -115,41 +116,67 @@ class Coder:
         return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
+#: Ends of sentences and the like after an ASCII letter or digit: tokens of their own, so a space before them changes nothing.
+_TAIL = re.compile(rb"(?<=[A-Za-z0-9])([.,;:!?])(?=\s|\Z)")
+
+
 class WordTokens:
-    """Ids of texts whose tokenizer drops white space: the ids of the words, one after the other."""
+    """Ids of texts for a tokenizer that lower-cases, splits at white space and drops it: those of the words in a row."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = {k: v.content for k, v in self.tokenizer.get_added_tokens_decoder().items() if v.special}
         self.reset()
 
     def reset(self) -> None:
         self.place: dict[bytes, int] = {}
         self.ids, self.size = np.zeros(1 << 20, np.uint32), 0
-        self.begin, self.count = np.zeros(MEMORY + 1, np.int64), np.zeros(MEMORY + 1, np.int64)
+        self.begin, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+
+    def _encoded(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of each word. Many words go to the tokenizer as one text, with a special token between any two."""
+        if not self.special:
+            return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        between, text = next(iter(self.special.items()))
+        plain = [w for w in words if b"<|" not in w]
+        texts = [text.join([w.decode() for w in plain[i : i + 500]]) for i in range(0, len(plain), 500)]
+        found: list[np.ndarray] = []
+        for one in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            ids = np.array(one.ids, np.uint32)
+            cuts = np.flatnonzero(ids == between)
+            found += [ids[x:y] for x, y in zip(np.concatenate(([0], cuts + 1)).tolist(), np.append(cuts, len(ids)).tolist())]
+        if len(plain) == len(words):
+            return found
+        known = dict(zip(plain, found, strict=True))
+        return [known[w] if w in known else np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32) for w in words]
 
     def add(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        for word, one in zip(words, found, strict=True):
-            ids, k = one.ids, len(self.place)
-            while self.size + len(ids) > len(self.ids):
-                self.ids = np.concatenate((self.ids, np.zeros(len(self.ids), np.uint32)))
-            if k >= len(self.begin):
-                self.begin, self.count = (np.concatenate((x, np.zeros(len(x), np.int64))) for x in (self.begin, self.count))
-            self.place[word], self.begin[k], self.count[k] = k, self.size, len(ids)
-            self.ids[self.size : self.size + len(ids)] = ids
-            self.size += len(ids)
+        found = self._encoded(words)
+        k, counts = len(self.place), np.fromiter(map(len, found), np.int64, len(found))
+        total = int(counts.sum())
+        while self.size + total > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros(len(self.ids), np.uint32)))
+        while k + len(words) > len(self.begin):
+            self.begin, self.count = (np.concatenate((x, np.zeros(len(x), np.int64))) for x in (self.begin, self.count))
+        self.place.update(zip(words, range(k, k + len(words))))
+        self.count[k : k + len(words)] = counts
+        self.begin[k : k + len(words)] = self.size + np.cumsum(counts) - counts
+        if total:
+            self.ids[self.size : self.size + total] = np.concatenate(found)
+        self.size += total
 
     def encode(self, raws: list[bytes], end_id: int) -> list[np.ndarray]:
-        texts = [raw.split() for raw in raws]
+        texts = [(raw if b"<|" in raw else _TAIL.sub(rb" \1", raw.lower())).split() for raw in raws]
         words = [w for text in texts for w in text]
         new = [w for w in dict.fromkeys(words) if w not in self.place]
-        if len(self.place) + len(new) > MEMORY:
+        if len(self.place) + len(new) > MEMORY and self.place:
             self.reset()
             new = list(dict.fromkeys(words))
-        self.add(new)
+        if new:
+            self.add(new)
         at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
         count = self.count[at]
         ends = np.cumsum(count)
@@ -163,8 +190,8 @@ class WordTokens:
 _TOKENS: dict[str, WordTokens] = {}
 
 
-def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and ids (unsigned 32-bit little-endian numbers) of each whole text, the end id last."""
+def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int, width: str = "<u4", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and ids (numbers of numpy's type `width`) of each whole text, the end id last."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _TOKENS.get(tokenizer_path) or _TOKENS.setdefault(tokenizer_path, WordTokens(tokenizer_path))
@@ -172,19 +199,19 @@ def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "
             for start in range(0, batch.num_rows, 200):
                 part = batch.slice(start, 200)
                 ids = tokens.encode([x or b"" for x in part.column(1).to_pylist()], end_id)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.astype(width).tobytes() for x in ids], pa.binary())], names=["doc_id", "ids"])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     return docs.select(id_col, F.col(text_col).cast("binary")).mapInArrow(encode, f"doc_id {kind}, ids binary")
 
 
-def token_counts(tokens: DataFrame, vocabulary: int) -> np.ndarray:
+def token_counts(tokens: DataFrame, vocabulary: int, width: str) -> np.ndarray:
     """How often each token occurs in all documents; as many numbers as the vocabulary has, whatever the corpus."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            total += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4"), minlength=vocabulary)
+            total += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), width), minlength=vocabulary)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["token", "n"])
 
@@ -203,8 +230,9 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
 
     spark = docs.sparkSession
     vocabulary = max(Tokenizer.from_file(tokenizer_path).get_vocab_size(with_added_tokens=True), end_id + 1)
-    tokens = written(token_ids(docs, tokenizer_path, end_id, id_col, text_col), "tokens")
-    freq = frequencies(token_counts(tokens, vocabulary))
+    width = "<u2" if vocabulary <= 1 << 16 else "<u4"
+    tokens = written(token_ids(docs, tokenizer_path, end_id, width, id_col, text_col), "tokens")
+    freq = frequencies(token_counts(tokens, vocabulary, width))
     rows = pa.table({"token": np.arange(vocabulary, dtype=np.int64), "freq": freq.astype(np.int64)})
     spark.createDataFrame(rows).coalesce(1).write.parquet(f"{path}/table")
 
@@ -222,7 +250,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
         for batch in batches:
             key = batch.column(0).type
             for one, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                held.append(np.frombuffer(raw.as_buffer(), "<u4").copy())
+                held.append(np.frombuffer(raw.as_buffer(), width).astype(np.uint32))
                 ids.append(one)
                 size += len(held[-1])
                 if size >= BLOCK:

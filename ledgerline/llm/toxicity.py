@@ -193,7 +193,8 @@ def trained(docs: DataFrame, labels: DataFrame, sample_rows: int = 6000) -> Text
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id")
     picked = known.filter("toxic = 1").orderBy(order, "doc_id").limit(sample_rows // 2).unionByName(known.filter("toxic = 0").orderBy(order, "doc_id").limit(sample_rows // 2))
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("raw")).join(picked, "doc_id")
+    # The broadcast side has at most sample_rows rows.
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("raw")).join(F.broadcast(picked), "doc_id")
     got = rows.collect()
     got.sort(key=lambda r: (r.doc_id, r.raw or b""))
     y = np.array([r.toxic for r in got], np.int64)
