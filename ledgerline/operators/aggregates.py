@@ -38,10 +38,14 @@ def best_row(df: DataFrame, by: str, order: list[Column], keep: list[str]) -> Da
     return df.groupBy(by).agg(best.alias("_best")).select(by, "_best.*")
 
 
-def min_max(df: DataFrame, value: str, low: float, high: float) -> Column:
-    """`value` scaled to low..high over all rows; a range below 1 counts as 1."""
-    least, most = (f(value).over(Window.partitionBy()) for f in (F.min, F.max))
-    return low + (F.col(value) - least) / F.greatest(most - least, F.lit(1.0)) * (high - low)
+def scaled(df: DataFrame, value: str, out: str, low: float, high: float) -> DataFrame:
+    """Adds `out`: `value` scaled to low..high over all rows; a range below 1 counts as 1.
+
+    The least and the most are one row, which every task gets; the rows themselves stay where they are.
+    """
+    ends = df.agg(F.min(value).alias("_least"), F.max(value).alias("_most"))
+    share = (F.col(value) - F.col("_least")) / F.greatest(F.col("_most") - F.col("_least"), F.lit(1.0))
+    return df.crossJoin(F.broadcast(ends)).withColumn(out, low + share * (high - low)).drop("_least", "_most")
 
 
 def reasons(**failed: Column) -> Column:

@@ -9,11 +9,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def seeded(table: DataFrame, order: list[str], most: int) -> DataFrame:
+    """The `most` best teams of a table by the columns, highest first, then team and group, with seeds from 1.
+
+    The limit is a top-k of each partition; only the rows it leaves are numbered in one task.
+    """
+    by = [*(F.desc(c) for c in order), F.col("team"), F.col("grp")]
+    return table.orderBy(*by).limit(most).withColumn("seed", F.row_number().over(Window.orderBy(*by)))
+
+
 def qualified(table: DataFrame, group: str, thirds: int = 8) -> DataFrame:
-    """First and second of each group, and the best thirds over all groups: team, group, pos, seed and how."""
-    order = [F.desc("pts"), F.desc("dg"), F.desc("gf"), "team"]
-    third = table.filter("pos = 3").withColumn("third", F.row_number().over(Window.orderBy(*order))).filter(F.col("third") <= thirds)
-    both = table.filter("pos <= 2").withColumn("third", F.lit(None).cast("int")).unionByName(third)
+    """First and second of each group, and the best thirds over all groups: team, group, pos, seed and how.
+
+    There are as many rows as groups, about; so the window over all of them is small.
+    """
+    order = [F.desc("pts"), F.desc("dg"), F.desc("gf"), F.col("team"), F.col(group)]
+    third = table.filter("pos = 3").orderBy(*order).limit(thirds)
+    both = table.filter("pos <= 2").unionByName(third)
     how = F.when(F.col("pos") == 1, "first").when(F.col("pos") == 2, "second").otherwise("best third")
     return both.withColumn("how", how).withColumn("seed", F.row_number().over(Window.orderBy("pos", *order)))
 

@@ -5,20 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from . import catalog, contests, prices
 
-def ranking_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders and spending by nation."""
-    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    spent = read("orders").groupBy("o_custkey").agg(F.count("*").alias("n"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("s"))
-    joined = spent.join(read("customer"), F.col("o_custkey") == F.col("c_custkey")).join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    return joined.groupBy("n_name").agg(F.sum("n").alias("n_orders"), F.sum("s").cast("decimal(18,2)").alias("spent"))
-
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"ranking_by_nation": ranking_by_nation}
-ORACLE_SQL: dict[str, str] = {
-    "ranking_by_nation": """
-SELECT n_name, count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS spent
-FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
-}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**contests.QUERIES, **prices.QUERIES, **catalog.QUERIES}
+ORACLE_SQL: dict[str, str] = {**contests.ORACLE_SQL, **prices.ORACLE_SQL, **catalog.ORACLE_SQL}
