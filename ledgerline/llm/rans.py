@@ -14,7 +14,6 @@ states u64; then the words u32.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -35,6 +34,8 @@ LANES, STEPS = 512, 128
 BLOCK = 1 << 18
 #: Words whose ids a worker remembers before it starts anew.
 MEMORY = 600_000
+#: Bytes of text that are split into words at once: the more, the fewer distinct words to look up.
+CHUNK = 1 << 22
 _HEAD = struct.Struct("<4sIIQIQ")
 
 
@@ -116,8 +117,23 @@ class Coder:
         return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
-#: Ends of sentences and the like after an ASCII letter or digit: tokens of their own, so a space before them changes nothing.
-_TAIL = re.compile(rb"(?<=[A-Za-z0-9])([.,;:!?])(?=\s|\Z)")
+#: Bytes that are white space, that are ASCII letters or digits, and that end sentences and the like. One of the last
+#: kind between the second and the first is a token of its own, so a word may end before it.
+_SPACE, _ALNUM, _STOP = (np.isin(np.arange(256), list(x)) for x in (b" \t\n\x0b\x0c\r", bytes(x for x in range(128) if chr(x).isalnum()), b".,;:!?"))
+
+
+def split_words(raws: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in lower case, one after the other, and where each text's words begin and the last one's end."""
+    text = np.frombuffer(b"\n".join([*raws, b""]).lower(), np.uint8)
+    space = _SPACE[text]
+    inside = ~space
+    begins = inside.copy()
+    begins[1:] &= space[:-1]
+    begins[1:-1] |= _STOP[text[1:-1]] & _ALNUM[text[:-2]] & space[2:]
+    place = np.flatnonzero(begins)
+    offsets = np.append(np.cumsum(inside)[place] - 1, inside.sum()).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(place), [None, pa.py_buffer(offsets), pa.py_buffer(text[inside])])
+    return words, np.searchsorted(place, np.cumsum([0] + [len(x) + 1 for x in raws]))
 
 
 class WordTokens:
@@ -168,23 +184,34 @@ class WordTokens:
             self.ids[self.size : self.size + total] = np.concatenate(found)
         self.size += total
 
-    def encode(self, raws: list[bytes], end_id: int) -> list[np.ndarray]:
-        texts = [(raw if b"<|" in raw else _TAIL.sub(rb" \1", raw.lower())).split() for raw in raws]
-        words = [w for text in texts for w in text]
-        new = [w for w in dict.fromkeys(words) if w not in self.place]
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """The place of each word in the memory, where each distinct one is looked up once."""
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        new = [w for w in distinct if w not in self.place]
         if len(self.place) + len(new) > MEMORY and self.place:
             self.reset()
-            new = list(dict.fromkeys(words))
+            new = distinct
         if new:
             self.add(new)
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        return np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+
+    def encode(self, raws: list[bytes], end_id: int) -> list[np.ndarray]:
+        marked = {i: raw.split() for i, raw in enumerate(raws) if b"<|" in raw}  # may hold special tokens, which have a case
+        words, bounds = split_words([b"" if i in marked else raw for i, raw in enumerate(raws)])
+        found = self._ids(words, bounds)
+        for i, own in marked.items():
+            found[i] = self._ids(pa.array(own, pa.large_binary()), np.array([0, len(own)]))[0]
+        last = np.array([end_id], np.uint32)
+        return [np.concatenate((ids, last)) for ids in found]
+
+    def _ids(self, words: pa.Array, bounds: np.ndarray) -> list[np.ndarray]:
+        at = self.numbers(words)
         count = self.count[at]
         ends = np.cumsum(count)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(self.begin[at] - (ends - count), count) + np.arange(total)]
-        cuts = np.concatenate((np.zeros(1, np.int64), ends))[np.cumsum([0] + [len(t) for t in texts])]
-        last = np.array([end_id], np.uint32)
-        return [np.concatenate((ids[a:b], last)) for a, b in zip(cuts, cuts[1:])]
+        ids = self.ids[np.repeat(self.begin[at] - (ends - count), count) + np.arange(count.sum())]
+        cuts = np.append(0, ends)[bounds]
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 _TOKENS: dict[str, WordTokens] = {}
@@ -196,10 +223,14 @@ def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int, width: str = "<
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _TOKENS.get(tokenizer_path) or _TOKENS.setdefault(tokenizer_path, WordTokens(tokenizer_path))
         for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                part = batch.slice(start, 200)
-                ids = tokens.encode([x or b"" for x in part.column(1).to_pylist()], end_id)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.astype(width).tobytes() for x in ids], pa.binary())], names=["doc_id", "ids"])
+            raws = [x or b"" for x in batch.column(1).to_pylist()]
+            ends = np.cumsum([len(x) for x in raws])
+            start = 0
+            while start < len(raws):
+                stop = max(start + 1, int(np.searchsorted(ends, ends[start] + CHUNK)))
+                ids = tokens.encode(raws[start:stop], end_id)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), pa.array([x.astype(width).tobytes() for x in ids], pa.binary())], names=["doc_id", "ids"])
+                start = stop
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     return docs.select(id_col, F.col(text_col).cast("binary")).mapInArrow(encode, f"doc_id {kind}, ids binary")
