@@ -133,6 +133,13 @@ def _keys(sh: np.ndarray, choice: np.ndarray) -> np.ndarray:
     return (sh & np.array(_MASKS, np.uint64)[choice]) ^ choice.astype(np.uint64)
 
 
+def _own_key(a: np.ndarray, b: np.uint64) -> np.ndarray:
+    """Of the buckets that a pair of hashes within LIMIT bits meets in, the one that compares its texts: equal hashes
+    have a bucket of their own, others the one of the first choice of equal blocks."""
+    choice = (((a ^ b)[:, None] & np.array(_MASKS, np.uint64)) == 0).argmax(axis=1)
+    return np.where(a == b, b, _keys(a, choice))
+
+
 def _forest(sh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links of a forest over hashes that pairs within LIMIT bits connect."""
     left, a, b, todo = sh, [], [], []
@@ -286,7 +293,8 @@ def similar_lines(lines: DataFrame) -> DataFrame:
 
     Links between SimHashes are found first, as a forest in each bucket. Where all links of a bucket hold by edit
     similarity, so does its connection. The lines of the other buckets are compared with one another by their texts, and
-    so are those whose SimHash several lines have.
+    so are those whose SimHash several lines have; a pair that meets in several buckets is compared in one of them. If
+    that one isn't among those compared, all its links hold, and the pair is connected there.
     """
     found = written(near_hashes(lines), "near")
 
@@ -318,12 +326,13 @@ def similar_lines(lines: DataFrame) -> DataFrame:
 
     def by_text(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         h, sh, text = table.column("h").to_numpy(), table.column("sh").to_numpy().view(np.uint64), table.column("text").to_pylist()
-        left, a, b, todo = np.arange(len(h)), [], [], []
+        left, a, b, todo, here = np.arange(len(h)), [], [], [], np.int64(key[0].as_py()).view(np.uint64)
         while len(left):
             if not todo:
                 todo, left = [left[0]], left[1:]
             x = todo.pop()
             near = np.bitwise_count(sh[left] ^ sh[x]) <= LIMIT
+            near[near] = _own_key(sh[left[near]], sh[x]) == here
             near[near] = [similar(text[i], text[x]) for i in left[near]]
             a += [h[x]] * int(near.sum())
             b += h[left[near]].tolist()
