@@ -278,6 +278,7 @@ def host_constants(pages: DataFrame, id_col: str, url_col: str, html_col: str) -
     sizes = now.groupBy("host").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
     most = sizes.agg(F.coalesce(F.max("groups"), F.lit(0))).first()[0]
     now = now.join(sizes, "host").select("host", F.pmod("spread", "groups").alias("part"), F.col("spread").alias("place"), "tree")
+    now = now.repartition("host", "part")  # else all groups of a host would stay in the task that joined it
 
     def merged(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         ordered = sorted(zip(table.column("place").to_pylist(), table.column("tree").to_pylist(), strict=True))
