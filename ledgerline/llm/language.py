@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from .common import held_out
 
 FEATURES, GRAMS = 1 << 13, (1, 2, 3, 4)
+#: Parts of a language's documents from which those to learn from are picked first.
+PARTS = 16
 #: Languages of each family; a language of none is a family of its own.
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is fy af lb",
@@ -130,8 +132,11 @@ class Hierarchy:
 def trained(docs: DataFrame, sample_rows: int = 400) -> Hierarchy | None:
     """Learns from at most `sample_rows` documents of each language that aren't held out, of the smallest hashes of doc_id."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = known.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample_rows).select("doc_id").distinct()
+    picked = known.select("doc_id", "lang").withColumn("part", F.pmod(F.hash("doc_id"), F.lit(PARTS)))
+    for by in (("lang", "part"), ("lang",)):  # the first of each part, then the first of those: no task gets all of a language
+        order = Window.partitionBy(*by).orderBy(F.xxhash64("doc_id"), "doc_id")
+        picked = picked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample_rows)
+    picked = picked.select("doc_id").distinct()
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
