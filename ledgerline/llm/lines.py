@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from .common import free_names, written
 from .components import components
 
-#: Lines of fewer words are left alone. Lines are linked from this edit similarity on, if their SimHashes differ in at
-#: most LIMIT bits; of BLOCKS blocks at least BLOCKS - LIMIT are then equal, and any so many of them make a join key.
-MIN_WORDS, SIMILARITY, LIMIT, BLOCKS = 5, 0.8, 3, 6
+#: Lines are linked from this edit similarity on, if their SimHashes differ in at most LIMIT bits; of BLOCKS blocks at
+#: least BLOCKS - LIMIT are then equal, and any so many of them make a join key.
+SIMILARITY, LIMIT, BLOCKS = 0.8, 3, 6
 #: Bytes of text that are hashed at once, and rows of one bucket that one task compares with one another.
 CHUNK, MEETING = 1 << 18, 2048
 #: Bits of the filter of line hashes that may be candidates: 4 MB whatever the input.
@@ -67,42 +67,39 @@ def _bit_counts(words: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.n
 
 
 def hashed_lines(raw: bytes, powers: np.ndarray, backs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """Of the lines of at least MIN_WORDS words: number, hash and text of the normalised line, SimHash of its words."""
+    """Of the lines that have a word: number, hash and text of the normalised line, SimHash of its words."""
     text = np.frombuffer(normalised(raw), np.uint8)
     inside = text > 32
     edge = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     none = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), pa.array([], pa.binary())
-    if len(starts) < MIN_WORDS:
+    if not len(starts):
         return none
     line = np.searchsorted(np.flatnonzero(text == 10), starts)
     first = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
     count = np.diff(np.append(first, len(line)))
-    long = count >= MIN_WORDS
-    if not long.any():
-        return none
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(text.astype(np.uint64) * powers[: len(text)], dtype=np.uint64)))
     words = _mixed((sums[ends] - sums[starts]) * backs[starts] + (ends - starts).astype(np.uint64))
     place = np.arange(len(line)) - np.repeat(first, count)
     whole = np.add.reduceat(_mixed(words + (place + 1).astype(np.uint64) * np.uint64(_BASE)), first)
     ones = _bit_counts(words, first, count)
     sims = np.packbits(2 * ones.astype(np.int32) > count[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
-    # The texts: words and the one byte after each, but for the last of a line, of the long lines only.
+    # The texts: words and the one byte after each, but for the last of a line.
     last = first + count - 1
     kept = np.zeros(len(text) + 1, np.int8)
-    kept[starts[np.repeat(long, count)]] = 1
+    kept[starts] = 1
     stops = ends + 1
     stops[last] -= 1
-    np.add.at(kept, stops[np.repeat(long, count)], -1)
+    np.add.at(kept, stops, -1)
     kept = np.cumsum(kept[:-1], dtype=np.int8) > 0
     upto = np.concatenate(([0], np.cumsum(kept)))
-    offsets = np.concatenate(([0], upto[ends[last[long]]])).astype(np.int32)
-    texts = pa.Array.from_buffers(pa.binary(), int(long.sum()), [None, pa.py_buffer(offsets), pa.py_buffer(text[kept])])
-    return line[first][long], whole[long], sims[long], texts
+    offsets = np.concatenate(([0], upto[ends[last]])).astype(np.int32)
+    texts = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(text[kept])])
+    return line[first], whole, sims, texts
 
 
 def line_hashes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, line, h, sh and text of each line of at least MIN_WORDS words in whole texts; text is normalised."""
+    """doc_id, line, h, sh and text of each line that has a word in whole texts; text is normalised."""
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, backs = _powers(_BASE, CHUNK), _powers(_BACK, CHUNK)
@@ -349,7 +346,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Lines are the parts between line feeds. Lines group by equal normalised form (ASCII case, punctuation and the
     digits of a number don't count) or by edit similarity of 0.8 or more at 3 or fewer differing SimHash bits, directly
-    or through others; the first of each group by doc_id and line number stays. Lines of fewer than five words stay.
+    or through others; the first of each group by doc_id and line number stays. Lines without a word stay.
     Documents without such lines have no row. Rows with a null id come first in that order; rows that repeat an id
     count as one document. Null and empty texts have no lines; other columns are ignored.
     """

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
+from ledgerline.llm import lines
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -41,3 +42,10 @@ def test_near_dedup_stage_against_brute_force_jaccard(spark):
                 group = [new if g == old else g for g in group]
     kept = sorted(r.doc_id for r in corpus_pipeline.simhash_stage(spark, rows_of(spark, texts), "").collect())
     assert near > 20 and kept == sorted(set(group))
+
+
+def test_exact_repeats_of_short_lines_go(spark):
+    """Lines of one to four words, and lines of scripts without spaces, which are one word."""
+    texts = ["Ietzte.\nein Wort mehr\n今天天气很好\nวันนี้อากาศดี\n--", "ietzte!\nzwei\nein wort, mehr\n--", "今天天气很好。\n今天天气很好\nวันนี้อากาศดี\nzwei"]
+    found = {r.doc_id: (r.n_removed, r.text) for r in lines.without_repeated_lines(rows_of(spark, texts)).collect()}
+    assert found == {0: (0, texts[0]), 1: (2, "zwei\n--"), 2: (3, "今天天气很好。")}
