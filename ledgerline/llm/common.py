@@ -52,6 +52,12 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def numbered_rows(df: DataFrame, name: str) -> tuple[str, DataFrame]:
+    """The name of a column that numbers the rows, and `df` with it; written, so that each row keeps its number."""
+    row = free_names(df, name)[0]
+    return row, written(df.withColumn(row, F.monotonically_increasing_id()), "staged")
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the fifth of the documents that no model may learn from; false for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

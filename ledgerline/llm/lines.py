@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_names, written
+from .common import free_names, numbered_rows, written
 from .components import components
 
 #: Lines are linked from this edit similarity on, if their SimHashes differ in at most LIMIT bits; of BLOCKS blocks at
@@ -98,13 +98,13 @@ def hashed_lines(raw: bytes, powers: np.ndarray, backs: np.ndarray) -> tuple[np.
     return line[first], whole, sims, texts
 
 
-def line_hashes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, line, h, sh and text of each line that has a word in whole texts; text is normalised."""
+def line_hashes(docs: DataFrame, id_col: str, text_col: str, row_col: str) -> DataFrame:
+    """doc_id, row, line, h, sh and text of each line that has a word in whole texts; text is normalised."""
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, backs = _powers(_BASE, CHUNK), _powers(_BACK, CHUNK)
         for batch in batches:
-            raws = [x or b"" for x in batch.column(1).to_pylist()]
+            raws = [x or b"" for x in batch.column(2).to_pylist()]
             done = 0
             while done < len(raws):
                 upto, size = done + 1, len(raws[done]) + 1
@@ -117,13 +117,13 @@ def line_hashes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 line, h, sh, texts = hashed_lines(b"\n".join(part), powers, backs)
                 begins = np.cumsum([0] + [x.count(b"\n") + 1 for x in part])
                 owner = np.searchsorted(begins, line, side="right") - 1
-                ids = batch.column(0).take(pa.array(owner + done))
-                columns = [ids, pa.array(line - begins[owner]), pa.array(h.view(np.int64)), pa.array(sh.view(np.int64)), texts]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "line", "h", "sh", "text"])
+                ids, rows = (batch.column(i).take(pa.array(owner + done)) for i in (0, 1))
+                columns = [ids, rows, pa.array(line - begins[owner]), pa.array(h.view(np.int64)), pa.array(sh.view(np.int64)), texts]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "line", "h", "sh", "text"])
                 done = upto
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return docs.select(id_col, F.col(text_col).cast("binary")).mapInArrow(hashes, f"doc_id {kind}, line long, h long, sh long, text binary")
+    return docs.select(id_col, row_col, F.col(text_col).cast("binary")).mapInArrow(hashes, f"doc_id {kind}, row long, line long, h long, sh long, text binary")
 
 
 def _keys(sh: np.ndarray, choice: np.ndarray) -> np.ndarray:
@@ -341,25 +341,31 @@ def similar_lines(lines: DataFrame) -> DataFrame:
     return few.unionByName(many)
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, removed: the numbers (from 0) of the lines of each document that repeat an earlier line of the corpus.
-
-    Lines are the parts between line feeds. Lines group by equal normalised form (ASCII case, punctuation and the
-    digits of a number don't count) or by edit similarity of 0.8 or more at 3 or fewer differing SimHash bits, directly
-    or through others; the first of each group by doc_id and line number stays. Lines without a word stay.
-    Documents without such lines have no row. Rows with a null id come first in that order; rows that repeat an id
-    count as one document. Null and empty texts have no lines; other columns are ignored.
-    """
-    lines = written(line_hashes(docs, id_col, text_col), "lines")
+def _removed(docs: DataFrame, id_col: str, text_col: str, row_col: str) -> DataFrame:
+    """row, doc_id, removed: of each row of `docs`, whose number is in `row_col`, the numbers of its repeated lines."""
+    lines = written(line_hashes(docs, id_col, text_col, row_col), "lines")
     labels = components(similar_lines(lines))
-    at = F.struct("doc_id", "line")
+    at = F.struct("doc_id", "row", "line")
     firsts = written(lines.groupBy("h").agg(F.min(at).alias("at"), F.count("*").alias("n")), "firsts")
     joined = firsts.join(labels, firsts.h == labels.node, "left").select("h", "at", "n", F.coalesce("component", "h").alias("group"))
     # Only groups of more than one line matter further on.
     groups = joined.groupBy("group").agg(F.min("at").alias("first"), F.sum("n").alias("lines")).filter("lines > 1")
     named = joined.join(groups, "group").select("h", "first")
     gone = lines.join(named, "h").filter(~at.eqNullSafe(F.col("first")))
-    return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed"))
+    return gone.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.array_sort(F.collect_list("line")).alias("removed"))
+
+
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, removed: the numbers (from 0) of the lines of each document that repeat an earlier line of the corpus.
+
+    Lines are the parts between line feeds. Lines group by equal normalised form (ASCII case, punctuation and the
+    digits of a number don't count) or by edit similarity of 0.8 or more at 3 or fewer differing SimHash bits, directly
+    or through others; the first of each group by doc_id and line number stays. Lines without a word stay.
+    Documents without such lines have no row. Rows with a null id come first in that order; each row is a document of
+    its own, also where rows share an id. Null and empty texts have no lines; other columns are ignored.
+    """
+    row, staged = numbered_rows(docs, "row_of_lines")
+    return _removed(staged, id_col, text_col, row).select("doc_id", "removed")
 
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -367,9 +373,10 @@ def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     Where `docs` has a column n_removed, that stays and the new one is n_removed_.
     """
-    key, removed, n_removed = free_names(docs, "id_of_lines", "removed_lines", "n_removed")
-    gone = repeated_lines(docs, id_col, text_col).select(F.col("doc_id").alias(key), F.col("removed").alias(removed))
-    joined = docs.join(gone, docs[id_col].eqNullSafe(gone[key]), "left")
+    key, removed, n_removed = free_names(docs, "key_of_lines", "removed_lines", "n_removed")
+    row, staged = numbered_rows(docs, "row_of_lines")
+    gone = _removed(staged, id_col, text_col, row).select(F.col("row").alias(key), F.col("removed").alias(removed))
+    joined = staged.join(gone, staged[row] == gone[key], "left")
     parts = F.split(F.col(text_col), "\n", -1)
     kept = F.array_join(F.filter(F.transform(parts, lambda x, i: F.when(~F.array_contains(removed, i.cast("long")), x)), lambda x: x.isNotNull()), "\n")
     text = F.when(F.col(removed).isNull(), F.col(text_col)).otherwise(kept)

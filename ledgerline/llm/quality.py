@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_names
+
 SPACES = b" \t\n\x0b\x0c\r"
 CONTINUATION = bytes(range(0x80, 0xC0))
 SYMBOLS = b"#*$%&|<>"
@@ -104,6 +106,28 @@ def rule_order(sample: list[bytes | None], rules: tuple[Rule, ...] = RULES) -> l
     return sorted(gain, key=lambda name: -gain[name])
 
 
+def cheapest_order(docs: DataFrame, text_col: str, rules: tuple[Rule, ...], sample_rows: int) -> tuple[Rule, ...]:
+    """The rules in the order of rejections per cost on a bounded sample."""
+    sample = docs.select(F.col(text_col).cast("binary").alias("raw")).sample(0.02, seed=7).limit(sample_rows)
+    names = rule_order([x.raw and bytes(x.raw) for x in sample.collect()], rules)
+    return tuple(sorted(rules, key=lambda rule: names.index(rule.name)))
+
+
+def kept_rows(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = 400) -> DataFrame:
+    """The rows of `docs` that quality_cascade keeps, each judged by its own text, whatever its id."""
+    order = cheapest_order(docs, text_col, rules, sample_rows)
+    raw = free_names(docs, "raw_of_quality")[0]
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = map(measured, batch.column(batch.num_columns - 1).to_pylist())
+            good = [not base_failed(t) and not any(rule.rejects(t) for rule in order) for t in texts]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    judged = docs.withColumn(raw, F.col(text_col).cast("binary"))
+    return judged.mapInArrow(keep, judged.schema).select(*docs.columns)
+
+
 def quality_cascade(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -120,9 +144,7 @@ def quality_cascade(
     base_failed, kept, and rules_run (how many rules looked at it). A null or empty text has zero counts and fails.
     A null id stays null; repeated rows are judged each; other columns are ignored.
     """
-    sample = docs.select(F.col(text_col).cast("binary").alias("raw")).sample(0.02, seed=7).limit(sample_rows)
-    names = rule_order([x.raw and bytes(x.raw) for x in sample.collect()], rules)
-    order = tuple(sorted(rules, key=lambda rule: names.index(rule.name)))
+    order = cheapest_order(docs, text_col, rules, sample_rows)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

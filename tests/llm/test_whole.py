@@ -49,3 +49,18 @@ def test_exact_repeats_of_short_lines_go(spark):
     texts = ["Ietzte.\nein Wort mehr\n今天天气很好\nวันนี้อากาศดี\n--", "ietzte!\nzwei\nein wort, mehr\n--", "今天天气很好。\n今天天气很好\nวันนี้อากาศดี\nzwei"]
     found = {r.doc_id: (r.n_removed, r.text) for r in lines.without_repeated_lines(rows_of(spark, texts)).collect()}
     assert found == {0: (0, texts[0]), 1: (2, "zwei\n--"), 2: (3, "今天天气很好。")}
+
+
+def test_stages_judge_each_row_where_ids_are_null_or_repeat(spark):
+    rng = random.Random(4)
+    words = invented(rng, 400)
+    good = [" ".join(rng.sample(words, 40)) for _ in range(6)]
+    junk, line = "# # $ % " * 20, " ".join(rng.sample(words, 12))
+    for key in (None, 7):
+        docs = rows_of(spark, [good[0], junk, good[1]], [key] * 3)
+        assert sorted(r.text for r in corpus_pipeline.quality_stage(spark, docs, "").collect()) == sorted(good[:2])
+        docs = rows_of(spark, [f"{line}\n{good[0]}", f"{good[1]}\n{line}", good[2], f"{line}\n{line}\n{good[3]}"], [key] * 4)
+        out = [r.text.split("\n") for r in corpus_pipeline.line_stage(spark, docs, "").collect()]
+        assert len(out) == 4 and sorted(sum(out, [])) == sorted([*good[:4], line])
+        docs = rows_of(spark, [good[0], good[1], good[0], good[0], good[1], good[2]], [key] * 6)
+        assert sorted(r.text for r in corpus_pipeline.simhash_stage(spark, docs, "").collect()) == sorted(good[:3])
