@@ -156,6 +156,10 @@ class Page:
                 self._open(tag, attributes)
         self._flush()
 
+    def vote(self) -> str:
+        """What tells the page from others of its host: its content blocks, the articles' if there are any."""
+        return "\n".join(text for _, text, inside in self.blocks if inside or not self.has_article)
+
     def text(self, constants: set[int]) -> str:
         """The content: blocks that aren't constant, within the articles if there are any."""
         kept = []
@@ -266,15 +270,25 @@ def host_of(url_col: str):  # noqa: ANN201 - a column
 
 
 def host_constants(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """host, constants: keys of the constant nodes of each host's template, by all its pages."""
+    """host, constants: keys of the constant nodes of each host's template, by all its distinct pages.
+
+    Copies of a page on a host have one vote: pages whose blocks outside menus, forms and the like are equal, or whose
+    trees are where there are no such blocks. So a page that occurs often doesn't become its host's template.
+    """
     rows = pages.select(host_of(url_col).alias("host"), F.xxhash64(id_col, url_col).alias("spread"), html_col).filter("host <> ''")
 
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [json.dumps(template(Page(x).root), separators=(",", ":")) for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string())], names=["host", "spread", "tree"])
-
-    now = written(rows.mapInArrow(trees, "host string, spread long, tree string"), "trees")
+            found, votes = [], []
+            for page in map(Page, batch.column(2).to_pylist()):
+                found.append(json.dumps(template(page.root), separators=(",", ":")))
+                votes.append(page.vote() or found[-1])
+            votes = [xxhash.xxh128_hexdigest(x) for x in votes]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(votes), pa.array(found, pa.string())], names=["host", "spread", "vote", "tree"])
+
+    voting = written(rows.mapInArrow(trees, "host string, spread long, vote string, tree string"), "trees")
+    one = F.min(F.struct("spread", "tree")).alias("one")
+    now = written(voting.groupBy("host", "vote").agg(one).select("host", "one.*"), "votes")
     sizes = now.groupBy("host").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
     most = sizes.agg(F.coalesce(F.max("groups"), F.lit(0))).first()[0]
     now = now.join(sizes, "host").select("host", F.pmod("spread", "groups").alias("part"), F.col("spread").alias("place"), "tree")
@@ -308,7 +322,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     Returns one row for each row of `pages`: the id, url, text (empty if none) and n_chars (its code points). Null html
     is empty. A null url, or one without a host, has no template; such pages are told by element names alone, and so
-    are the pages of hosts with fewer than three. Repeated rows count as pages each; other columns are ignored.
+    are the pages of hosts with fewer than three distinct ones. Copies of a page count once for the template, and each row
+    gets its text; other columns are ignored.
     """
     found = written(host_constants(pages, id_col, url_col, html_col), "constants")
     joined = pages.select(id_col, url_col, html_col, host_of(url_col).alias("host")).join(found, "host", "left").select(id_col, url_col, html_col, "constants")

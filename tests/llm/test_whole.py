@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
-from ledgerline.llm import lines
+from ledgerline.llm import htmltext, lines
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -64,3 +64,13 @@ def test_stages_judge_each_row_where_ids_are_null_or_repeat(spark):
         assert len(out) == 4 and sorted(sum(out, [])) == sorted([*good[:4], line])
         docs = rows_of(spark, [good[0], good[1], good[0], good[0], good[1], good[2]], [key] * 6)
         assert sorted(r.text for r in corpus_pipeline.simhash_stage(spark, docs, "").collect()) == sorted(good[:3])
+
+
+def test_copies_of_a_page_are_no_template(spark):
+    """Three rows of one page on a host, and 25 of a page with an article beside others, keep their text."""
+    page = lambda tag, own, k: f"<html><body><nav>Menu {k}</nav><{tag}><p>{own} first part</p><p>{own} second part</p></{tag}></body></html>"
+    rows = [(f"http://a.example/{i}", page("div", "copied", i), "copied first part copied second part") for i in range(3)]
+    rows += [(f"http://b.example/{i}", page("article", "copied", i), "copied first part copied second part") for i in range(25)]
+    rows += [(f"http://b.example/x{i}", page("article", f"own{i}", i), f"own{i} first part own{i} second part") for i in range(2)]
+    pages = spark.createDataFrame([(i, url, html) for i, (url, html, _) in enumerate(rows)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in htmltext.main_text(pages).collect()} == {i: text for i, (_, _, text) in enumerate(rows)}
