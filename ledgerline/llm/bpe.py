@@ -12,6 +12,7 @@ import base64
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -19,8 +20,11 @@ from pyspark.sql import functions as F
 
 #: Bytes that a leaf of the tree encodes by plain merging.
 LEAF = 6
-#: Entries after which a worker's memory of pieces, leaves or neighbours starts anew; results don't depend on it.
-MEMORY = 250_000
+#: Entries after which a worker's memory of pieces, leaves or neighbours starts anew, and bytes of the longest piece that
+#: is remembered; so each of the four memories stays below about 20 MB. Results don't depend on them.
+MEMORY, LONGEST = 100_000, 48
+#: Bytes of text of which the results leave a task at once.
+CHUNK = 1 << 21
 #: The rank of what can't merge.
 NEVER = 1 << 62
 
@@ -38,7 +42,7 @@ class TreeBPE:
         self.pairs: dict[tuple[int, int], bool] = {}
         self.leaves: dict[bytes, list[int]] = {}
         self.pieces: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}  # those of before the memory of pieces was last full
 
     def merged(self, raw: bytes) -> list[int]:
         """A leaf or window: merges the neighbours of the lowest rank, leftmost first, until none can merge."""
@@ -84,6 +88,8 @@ class TreeBPE:
             j += grow_right
 
     def leaf(self, raw: bytes) -> list[int]:
+        if len(raw) > LONGEST:
+            return self.merged(raw)
         known = self.leaves.get(raw)
         if known is None:
             if len(self.leaves) >= MEMORY:
@@ -107,11 +113,14 @@ class TreeBPE:
         for piece in self.pattern.findall(text):
             ids = pieces.get(piece)
             if ids is None:
-                if len(pieces) >= MEMORY:
-                    self.older, pieces = pieces, {}
-                    self.pieces = pieces
                 ids = self.older.get(piece)
-                pieces[piece] = ids = tuple(self.tree(piece.encode())) if ids is None else ids
+                if ids is None:
+                    ids = tuple(self.tree(piece.encode()))
+                if len(piece) <= LONGEST:
+                    if len(pieces) >= MEMORY:
+                        self.older, pieces = pieces, {}
+                        self.pieces = pieces
+                    pieces[piece] = ids
             out.append(ids)
         return out
 
@@ -143,10 +152,14 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(ranks_path, pattern)
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                ids = [[t for piece in bpe.encode(text or "") for t in piece] for text in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[id_col, "ids"])
+            found, begun, size = [], 0, 0
+            for i, value in enumerate(batch.column(1)):
+                text = value.as_py() or ""
+                found.append(np.array([t for piece in bpe.encode(text) for t in piece], np.int32))
+                size += len(text)
+                if size >= CHUNK or i == batch.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(begun, len(found)), pa.array(found, pa.list_(pa.int32()))], names=[id_col, "ids"])
+                    found, begun, size = [], i + 1, 0
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(encode, f"`{id_col}` {kind}, ids array<int>")
@@ -176,8 +189,8 @@ def round_trip_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: s
         bpe = encoder(ranks_path, pattern)
         for batch in batches:
             rows = []
-            for text in batch.column(1).to_pylist():
-                ids = [t for piece in bpe.encode(text or "") for t in piece]
+            for value in batch.column(1):  # one text at a time: a batch may hold many long ones
+                ids = [t for piece in bpe.encode(value.as_py() or "") for t in piece]
                 shown = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
                 rows.append((len(ids), shown, hashlib.sha256(bpe.decode(ids)).hexdigest()))
             columns = list(zip(*rows, strict=True)) or [()] * 3

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +16,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where that is unset: a temporary folder if driver and executors are one machine (a local master), else a folder of
+    the default file system, which has to be one that all machines see.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-"))
+        if context.master.startswith("local"):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-"))
+        else:
+            files = context._jvm.org.apache.hadoop.fs.FileSystem.get(context._jsc.hadoopConfiguration())
+            if files.getScheme() == "file":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+            context.setCheckpointDir(f"{files.getHomeDirectory().toString()}/ledgerline")
     return context.getCheckpointDir()
 
 
@@ -38,7 +51,7 @@ def remove(spark: SparkSession, path: str) -> None:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Writes a table to the shared folder and reads it back, which cuts the lineage and outlives executors."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -52,10 +65,46 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def _is_scan(df: DataFrame) -> bool:
+    """Whether `df` is nothing but a scan of files."""
+    plan = df._jdf.queryExecution().analyzed()
+    return plan.getClass().getSimpleName() == "LogicalRelation" and "HadoopFsRelation" in plan.relation().getClass().getName()
+
+
 def numbered_rows(df: DataFrame, name: str) -> tuple[str, DataFrame]:
-    """The name of a column that numbers the rows, and `df` with it; written, so that each row keeps its number."""
+    """The name of a column that tells each row from all others, and `df` with it, a struct of two longs.
+
+    It is the hash of the row's file and its place in that file, so each pass over the table gives the same. A table
+    that isn't a scan of files is written first.
+    """
     row = free_names(df, name)[0]
-    return row, written(df.withColumn(row, F.monotonically_increasing_id()), "staged")
+    scan = df if _is_scan(df) else written(df, "staged")
+    place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    return row, scan.withColumn(row, place)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole groups from batches that are sorted by the first column."""
+    held: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        group = batch.column(0).to_numpy()
+        changes = np.flatnonzero(group[1:] != group[:-1])
+        if held is not None and group[0] != held.column(0)[-1].as_py():
+            yield held
+            held = None
+        if held is not None and not len(changes):
+            held = pa.concat_tables([held, table])
+            continue
+        last = int(changes[-1]) + 1 if len(changes) else 0
+        if last:
+            yield (pa.concat_tables([held, table.slice(0, last)]) if held is not None else table.slice(0, last)).combine_chunks()
+            held = None
+        held = table.slice(last)
+    if held is not None:
+        yield held.combine_chunks()
 
 
 def held_out(doc_id: Column) -> Column:

@@ -1,4 +1,11 @@
-"""Fuzzy line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity, one occurrence per group kept."""
+"""Fuzzy line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity, one occurrence per group kept.
+
+A line's features (words, or pairs of bytes where it is short) are dealt over BLOCKS blocks by their hashes, and each
+block of the fingerprint is the SimHash of its features. An edit touches the blocks of the features that come and go and
+no others: a replaced word at most two. So of BLOCKS = 6 blocks, two stay equal while one or two words are replaced (or
+up to four added or left out), and most often with three; any two equal blocks are a join key. Lines that meet in a
+bucket are linked by edit similarity of their whole texts alone.
+"""
 
 from __future__ import annotations
 
@@ -7,22 +14,25 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, numbered_rows, written
+from .common import free_names, numbered_rows, whole_groups, written
 from .components import components
 
-#: Lines are linked from this edit similarity on, if their SimHashes differ in at most LIMIT bits; of BLOCKS blocks at
-#: least BLOCKS - LIMIT are then equal, and any so many of them make a join key.
-SIMILARITY, LIMIT, BLOCKS = 0.8, 3, 6
+#: Lines are linked from this edit similarity on.
+SIMILARITY, BLOCKS = 0.8, 6
+#: Pairs of blocks that make a key, if their features have at least KEY_BYTES bytes together.
+CHOICES, KEY_BYTES = tuple(combinations(range(BLOCKS), 2)), 12
+#: Lines (normalised, in bytes) below the first have pairs of bytes as features, from the second on words; between the
+#: two both, as a line may be 0.8 times as long as its like.
+WORDS_FROM, PAIRS_BELOW = 32, 44
 #: Bytes of text that are hashed at once, and rows of one bucket that one task compares with one another.
 CHUNK, MEETING = 1 << 18, 2048
-#: Bits of the filter of line hashes that may be candidates: 4 MB whatever the input.
+#: Bits of the filter of line hashes whose texts are wanted: 4 MB whatever the input.
 FILTER_BITS = 1 << 25
-
-_BOUNDS = [round(64 * i / BLOCKS) for i in range(BLOCKS + 1)]
-_MASKS = [sum(1 << b for i in kept for b in range(_BOUNDS[i], _BOUNDS[i + 1])) for kept in combinations(range(BLOCKS), BLOCKS - LIMIT)]
+#: Tasks over which the copies of one line are dealt.
+SALT = 16
 
 #: Normalised bytes: letters in lower case, digits as 0, bytes beyond ASCII as they are, and all else 32 (line feed: 10).
 _TABLE = np.full(256, 32, np.uint8)
@@ -57,24 +67,50 @@ def normalised(raw: bytes) -> bytes:
     return text[~again].tobytes()
 
 
-def _bit_counts(words: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """How many of the words from each `first` on have each bit; eight counters of 8 bits in a number, cut at 255."""
-    bits = np.unpackbits(words.astype(">u8").view(np.uint8)).reshape(-1, 64).view(np.uint64)
+def _block_hashes(groups: np.ndarray, hashes: np.ndarray, size: int) -> np.ndarray:
+    """SimHash of 32 bits of the `hashes` of each of `size` groups (0 for an empty one)."""
+    out = np.zeros(size, np.uint32)
+    if not len(groups):
+        return out
+    order = np.argsort(groups, kind="stable")
+    groups = groups[order]
+    first = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1])))
+    count = np.diff(np.append(first, len(groups)))
+    # Four numbers with eight counters of 8 bits each; groups are cut so that no counter runs over.
+    bits = np.unpackbits(hashes[order].astype(">u4").view(np.uint8)).reshape(-1, 32).view(np.uint64)
     longest = int(count.max())
     cuts = np.unique(np.concatenate([first, *(first[count > k] + k for k in range(255, longest, 255))]))
-    parts = np.add.reduceat(bits, cuts, axis=0).view(np.uint8).reshape(-1, 64)
-    return parts if longest <= 255 else np.add.reduceat(parts, np.searchsorted(cuts, first), axis=0, dtype=np.int32)
+    ones = np.add.reduceat(bits, cuts, axis=0).view(np.uint8).reshape(-1, 32)
+    if longest > 255:
+        ones = np.add.reduceat(ones, np.searchsorted(cuts, first), axis=0, dtype=np.int32)
+    out[groups[first]] = np.packbits(2 * ones.astype(np.int32) > count[:, None], axis=1).view(">u4").ravel()
+    return out
+
+
+def _fingerprints(lines: int, line: np.ndarray, hashes: np.ndarray, sizes: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Of features (line, hash, bytes): the lines' blocks, two in a number, and a bit for each choice that makes a key."""
+    group = line * BLOCKS + ((hashes >> np.uint64(40)) % np.uint64(BLOCKS)).astype(np.int64)
+    blocks = _block_hashes(group, (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32), lines * BLOCKS).reshape(lines, BLOCKS // 2, 2).astype(np.uint64)
+    held = np.bincount(group, sizes, lines * BLOCKS).reshape(lines, BLOCKS)
+    good = np.zeros(lines, np.int64)
+    for k, (i, j) in enumerate(CHOICES):
+        good |= (held[:, i] + held[:, j] >= (KEY_BYTES if sizes is not None else 3)).astype(np.int64) << k
+    return blocks[:, :, 0] | blocks[:, :, 1] << np.uint64(32), good
 
 
-def hashed_lines(raw: bytes, powers: np.ndarray, backs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """Of the lines that have a word: number, hash and text of the normalised line, SimHash of its words."""
+#: Fields of a line's fingerprints: of its words, and of its pairs of bytes.
+FIELDS = [f"{kind}{i}" for kind in "wp" for i in (*range(BLOCKS // 2), "ok")]
+
+
+def hashed_lines(raw: bytes, powers: np.ndarray, backs: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array, dict[str, np.ndarray]]:
+    """Of the lines that have a word: number, hash and text of the normalised line, and the fields of its fingerprints."""
     text = np.frombuffer(normalised(raw), np.uint8)
     inside = text > 32
     edge = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    none = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), pa.array([], pa.binary())
     if not len(starts):
-        return none
+        none = np.zeros(0, np.int64)
+        return none, none.view(np.uint64), pa.array([], pa.binary()), dict.fromkeys(FIELDS, none)
     line = np.searchsorted(np.flatnonzero(text == 10), starts)
     first = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
     count = np.diff(np.append(first, len(line)))
@@ -82,8 +118,6 @@ def hashed_lines(raw: bytes, powers: np.ndarray, backs: np.ndarray) -> tuple[np.
     words = _mixed((sums[ends] - sums[starts]) * backs[starts] + (ends - starts).astype(np.uint64))
     place = np.arange(len(line)) - np.repeat(first, count)
     whole = np.add.reduceat(_mixed(words + (place + 1).astype(np.uint64) * np.uint64(_BASE)), first)
-    ones = _bit_counts(words, first, count)
-    sims = np.packbits(2 * ones.astype(np.int32) > count[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
     # The texts: words and the one byte after each, but for the last of a line.
     last = first + count - 1
     kept = np.zeros(len(text) + 1, np.int8)
@@ -94,17 +128,29 @@ def hashed_lines(raw: bytes, powers: np.ndarray, backs: np.ndarray) -> tuple[np.
     kept = np.cumsum(kept[:-1], dtype=np.int8) > 0
     upto = np.concatenate(([0], np.cumsum(kept)))
     offsets = np.concatenate(([0], upto[ends[last]])).astype(np.int32)
-    texts = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(text[kept])])
-    return line[first], whole, sims, texts
+    flat, sizes, n = text[kept], np.diff(offsets), len(first)
+    texts = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
+    dense = np.repeat(np.arange(n), count)
+    long = np.repeat(sizes >= WORDS_FROM, count)
+    by_word = _fingerprints(n, dense[long], words[long], (ends - starts)[long])
+    # Pairs of bytes that are next to one another in a short line.
+    ends_of = offsets[1:]
+    short = np.repeat(sizes < PAIRS_BELOW, sizes)
+    short[ends_of - 1] = False
+    at = np.flatnonzero(short)
+    pairs = _mixed((flat[at].astype(np.uint64) << np.uint64(8) | flat[at + 1]) + np.uint64(_BASE)) if len(at) else np.zeros(0, np.uint64)
+    by_pair = _fingerprints(n, np.searchsorted(ends_of, at, side="right"), pairs, None)
+    parts = [x for blocks, good in (by_word, by_pair) for x in (*blocks.T.view(np.int64), good)]
+    return line[first], whole, texts, dict(zip(FIELDS, parts, strict=True))
 
 
 def line_hashes(docs: DataFrame, id_col: str, text_col: str, row_col: str) -> DataFrame:
-    """doc_id, row, line, h, sh and text of each line that has a word in whole texts; text is normalised."""
+    """doc_id, row, line, h, text and the fields of fingerprints of each line that has a word in whole texts; text is normalised."""
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, backs = _powers(_BASE, CHUNK), _powers(_BACK, CHUNK)
         for batch in batches:
-            raws = [x or b"" for x in batch.column(2).to_pylist()]
+            raws = [x or b"" for x in batch.column(3).to_pylist()]
             done = 0
             while done < len(raws):
                 upto, size = done + 1, len(raws[done]) + 1
@@ -114,111 +160,101 @@ def line_hashes(docs: DataFrame, id_col: str, text_col: str, row_col: str) -> Da
                 if size > len(powers):
                     powers, backs = _powers(_BASE, size), _powers(_BACK, size)
                 part = raws[done:upto]
-                line, h, sh, texts = hashed_lines(b"\n".join(part), powers, backs)
+                line, h, texts, fields = hashed_lines(b"\n".join(part), powers, backs)
                 begins = np.cumsum([0] + [x.count(b"\n") + 1 for x in part])
                 owner = np.searchsorted(begins, line, side="right") - 1
-                ids, rows = (batch.column(i).take(pa.array(owner + done)) for i in (0, 1))
-                columns = [ids, rows, pa.array(line - begins[owner]), pa.array(h.view(np.int64)), pa.array(sh.view(np.int64)), texts]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "line", "h", "sh", "text"])
+                ids = (batch.column(i).take(pa.array(owner + done)) for i in (0, 1, 2))
+                columns = [*ids, pa.array(line - begins[owner]), pa.array(h.view(np.int64)), texts, *map(pa.array, fields.values())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "file", "at", "line", "h", "text", *fields])
                 done = upto
+            if len(powers) > 64 * CHUNK:  # after a very long text
+                powers, backs = powers[:CHUNK].copy(), backs[:CHUNK].copy()
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return docs.select(id_col, row_col, F.col(text_col).cast("binary")).mapInArrow(hashes, f"doc_id {kind}, row long, line long, h long, sh long, text binary")
-
+    columns = f"doc_id {kind}, file long, at long, line long, h long, text binary, " + ", ".join(f"{x} long" for x in FIELDS)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(row_col)["file"].alias("file"), F.col(row_col)["at"].alias("at"), F.col(text_col).cast("binary")).mapInArrow(hashes, columns)
 
-def _keys(sh: np.ndarray, choice: np.ndarray) -> np.ndarray:
-    return (sh & np.array(_MASKS, np.uint64)[choice]) ^ choice.astype(np.uint64)
 
-
-def _own_key(a: np.ndarray, b: np.uint64) -> np.ndarray:
-    """Of the buckets that a pair of hashes within LIMIT bits meets in, the one that compares its texts: equal hashes
-    have a bucket of their own, others the one of the first choice of equal blocks."""
-    choice = (((a ^ b)[:, None] & np.array(_MASKS, np.uint64)) == 0).argmax(axis=1)
-    return np.where(a == b, b, _keys(a, choice))
-
-
-def _forest(sh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a forest over hashes that pairs within LIMIT bits connect."""
-    left, a, b, todo = sh, [], [], []
-    while len(left):
-        if not todo:
-            todo, left = [left[0]], left[1:]
-        x = todo.pop()
-        near = np.bitwise_count(left ^ x) <= LIMIT
-        if near.any():
-            b.append(left[near])
-            a.append(np.full(len(b[-1]), x))
-            todo.extend(b[-1])
-            left = left[~near]
-    return (np.concatenate(a), np.concatenate(b)) if a else (sh[:0], sh[:0])
+def keys_of_lines(firsts: DataFrame) -> DataFrame:
+    """h, size and key of distinct lines with fields of fingerprints: a key for each choice of two blocks that makes one."""
+    keys = []
+    for kind, marks in (("w", 0), ("p", len(CHOICES))):
+        for k, (i, j) in enumerate(CHOICES):
+            low, high = (F.shiftrightunsigned(F.col(f"{kind}{x // 2}"), 32) if x % 2 else F.col(f"{kind}{x // 2}").bitwiseAND(F.lit(0xFFFFFFFF)) for x in (i, j))
+            mark = F.lit(((marks + k + 1) * 0x9E3779B97F4A7C15 & (1 << 63) - 1))
+            keys.append(F.when(F.col(f"{kind}ok").bitwiseAND(F.lit(1 << k)) != 0, F.shiftleft(high, 32).bitwiseOR(low).bitwiseXOR(mark)))
+    return firsts.select("h", "size", F.explode(F.array(*keys)).alias("key")).filter("key is not null")
 
 
-def _links(a: np.ndarray, b: np.ndarray | None, key: np.ndarray) -> pa.RecordBatch:
-    other = pa.nulls(len(a), pa.int64()) if b is None else pa.array(b.view(np.int64))
-    return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), other, pa.array(key.view(np.int64))], names=["a", "b", "key"])
+def _within(small: np.ndarray, large: np.ndarray) -> np.ndarray:
+    """Whether lines of such sizes can have the edit similarity at all."""
+    return 100 * small >= round(100 * SIMILARITY) * large
 
 
-def near_hashes(hashes: DataFrame) -> DataFrame:
-    """Of distinct `sh`: links (a, b, key) that connect, within the bucket of each key, all pairs within LIMIT bits.
+def line_buckets(keyed: DataFrame) -> DataFrame:
+    """bucket, h: the lines that share a key, where some two of them are about as long; buckets of the same lines have
+    the same number. Lines of buckets above MEETING all come, with the key as the number."""
 
-    The rows of buckets above MEETING come as (a, null, key) instead.
-    """
-
-    def bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.zeros(0, np.uint64)
-        held, choices = none, none.astype(np.int64)  # of the last bucket seen, which the next batch may go on with
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64)
+        held = none, none, none  # key, h and size of the last bucket seen, which the next batch may go on with
         large = None  # its key, once it is above MEETING
 
-        def close(sh, key):  # noqa: ANN001, ANN202 - whole buckets, sorted by key
+        def out(bucket: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(h)], names=["bucket", "h"])
+
+        def close(key: np.ndarray, h: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
             begins = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
             sizes = np.diff(np.append(begins, len(key)))
-            two = begins[sizes == 2]
-            near = two[np.bitwise_count(sh[two] ^ sh[two + 1]) <= LIMIT]
-            found = [(np.minimum(sh[near], sh[near + 1]), np.maximum(sh[near], sh[near + 1]), key[near])]
-            for k in np.flatnonzero((sizes > 2) & (sizes <= MEETING)):
-                a, b = _forest(np.sort(sh[begins[k] : begins[k] + sizes[k]]))
-                found.append((a, b, np.full(len(a), key[begins[k]])))
-            yield _links(*(np.concatenate(x) for x in zip(*found, strict=True)))
+            place = np.repeat(np.arange(len(begins)), sizes)
+            order = np.lexsort((size, place))
+            place, h, size = place[order], h[order], size[order]
+            near = (place[1:] == place[:-1]) & _within(size[:-1], size[1:])
+            several = np.zeros(len(begins), bool)
+            several[place[1:][near]] = True
+            # A bucket's number is a sum over its lines.
+            number = np.add.reduceat(_mixed(h.view(np.uint64) + np.uint64(_BASE)), begins).view(np.int64)
+            kept = several[place] & (sizes[place] <= MEETING)
+            if kept.any():
+                yield out(number[place[kept]], h[kept])
             for k in np.flatnonzero(sizes > MEETING):
-                yield _links(sh[begins[k] : begins[k] + sizes[k]], None, key[begins[k] : begins[k] + sizes[k]])
+                yield out(key[begins[k] : begins[k] + sizes[k]], h[begins[k] : begins[k] + sizes[k]])
 
         for batch in batches:
-            sh = np.concatenate((held, batch.column(1).to_numpy().view(np.uint64)))
-            choices = np.concatenate((choices, batch.column(0).to_numpy().astype(np.int64)))
-            key = _keys(sh, choices)
+            now = tuple(np.concatenate((x, batch.column(i).to_numpy())) for i, x in enumerate(held))
             if large is not None:
-                other = np.flatnonzero(key != large)
-                same = int(other[0]) if len(other) else len(key)
+                other = np.flatnonzero(now[0] != large)
+                same = int(other[0]) if len(other) else len(now[0])
                 if same:
-                    yield _links(sh[:same], None, key[:same])
-                sh, choices, key = sh[same:], choices[same:], key[same:]
-                held = sh
-                if not len(sh):
+                    yield out(now[0][:same], now[1][:same])
+                now = tuple(x[same:] for x in now)
+                if not len(now[0]):
+                    held = now
                     continue
                 large = None
-            if not len(sh):
+            if not len(now[0]):
                 continue
-            last = int(np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))[-1])
-            yield from close(sh[:last], key[:last]) if last else ()
-            held, choices = sh[last:], choices[last:]
-            if len(held) > MEETING:
-                yield _links(held, None, key[last:])
-                large, held, choices = key[-1], none, none.astype(np.int64)
-        if len(held):
-            yield from close(held, _keys(held, choices))
+            last = int(np.flatnonzero(np.concatenate(([True], now[0][1:] != now[0][:-1])))[-1])
+            if last:
+                yield from close(*(x[:last] for x in now))
+            held = tuple(x[last:] for x in now)
+            if len(held[0]) > MEETING:
+                yield out(held[0], held[1])
+                large, held = held[0][-1], (none, none, none)
+        if len(held[0]):
+            yield from close(*held)
 
-    masks = F.array(*(F.lit(m - (1 << 64) if m >> 63 else m).cast("long") for m in _MASKS))
-    rows = hashes.select("sh").distinct().select(F.explode(F.array(*(F.lit(i).cast("byte") for i in range(len(_MASKS))))).alias("choice"), "sh")
-    key = F.col("sh").bitwiseAND(F.element_at(masks, F.col("choice").cast("int") + 1)).bitwiseXOR(F.col("choice").cast("long"))
-    return rows.repartition(key).sortWithinPartitions(key).mapInArrow(bucket_links, "a long, b long, key long")
+    rows = keyed.select("key", "h", "size").repartition("key").sortWithinPartitions("key")
+    return rows.mapInArrow(members, "bucket long, h long").distinct()
 
 
 def meetings(rows: DataFrame, by: str) -> DataFrame:
-    """Deals the rows of each key over blocks of about MEETING, by column `by`: each block meets each in a (key, p, q)."""
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    dealt = rows.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / MEETING).cast("int")).withColumn("own", F.pmod(F.xxhash64(by), F.col("blocks")).cast("int"))
+    """Deals the rows of each bucket over blocks of about MEETING, by column `by`: each block meets each in a (bucket, p, q)."""
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > MEETING)
+    dealt = rows.join(sizes, "bucket").withColumn("blocks", F.ceil(F.col("n") / MEETING).cast("int")).withColumn("own", F.pmod(F.xxhash64(by), F.col("blocks")).cast("int"))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return met.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other")).drop("n", "blocks", "own", "other")
+    small = rows.join(sizes, "bucket", "left_anti").select("*", F.lit(0).alias("p"), F.lit(0).alias("q"))
+    return small.unionByName(met.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other")).drop("n", "blocks", "own", "other"))
 
 
 def similar(a: bytes, b: bytes) -> bool:
@@ -258,111 +294,105 @@ def similar(a: bytes, b: bytes) -> bool:
 
 
 def _filter_of(hashes: DataFrame) -> np.ndarray:
-    """A bit for each hash of the only column, by its last bits."""
-
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(FILTER_BITS, bool)
-        for batch in batches:
-            found[batch.column(0).to_numpy().view(np.uint64) % np.uint64(FILTER_BITS)] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(found).tobytes()], pa.binary())], names=["bits"])
-
-    total = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in hashes.coalesce(4).mapInArrow(bits, "bits binary").toLocalIterator():
-        total |= np.frombuffer(row.bits, np.uint8)
+    """A bit for each hash `h`, by its last bits."""
+    place = F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1))
+    words = hashes.select(F.shiftright(place, 6).alias("word"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"))
+    total = np.zeros(FILTER_BITS // 64, np.int64)
+    for row in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
+        total[row.word] = row.bits
     return total
 
 
 def wanted_texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """sh, h and text of the distinct normalised lines whose sh is in `wanted`."""
+    """h and text of the distinct normalised lines whose h is in `wanted`."""
     bits = lines.sparkSession.sparkContext.broadcast(_filter_of(wanted))
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.unpackbits(bits.value).view(bool)
         for batch in batches:
-            yield batch.filter(pa.array(found[batch.column(0).to_numpy().view(np.uint64) % np.uint64(FILTER_BITS)]))
+            h = batch.column(0).to_numpy()
+            found = bits.value[(h & (FILTER_BITS - 1)) >> 6] >> (h & 63) & 1
+            yield batch.filter(pa.array(found.astype(bool)))
 
-    found = lines.select("sh", "h", "text").mapInArrow(hits, "sh long, h long, text binary")
-    return found.join(wanted, "sh", "left_semi").groupBy("sh", "h").agg(F.min("text").alias("text"))
+    found = lines.select("h", "text").mapInArrow(hits, "h long, text binary")
+    return found.join(wanted, "h", "left_semi").groupBy("h").agg(F.min("text").alias("text"))
 
 
-def similar_lines(lines: DataFrame) -> DataFrame:
-    """Links (a, b) between hashes h of different normalised lines that connect all similar ones.
+def _letters(texts: list[bytes]) -> np.ndarray:
+    """How often each of 32 classes of bytes occurs in each text."""
+    sizes = np.array([len(x) for x in texts])
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    return np.bincount(owner * 32 + (np.frombuffer(b"".join(texts), np.uint8) & 31), minlength=32 * len(texts)).reshape(-1, 32)
 
-    Links between SimHashes are found first, as a forest in each bucket. Where all links of a bucket hold by edit
-    similarity, so does its connection. The lines of the other buckets are compared with one another by their texts, and
-    so are those whose SimHash several lines have; a pair that meets in several buckets is compared in one of them. If
-    that one isn't among those compared, all its links hold, and the pair is connected there.
+
+def similar_links(texts: list[bytes]) -> list[tuple[int, int]]:
+    """Links of a forest over the places of `texts` that connects all similar ones.
+
+    An edit changes the sizes by at most one, and the counts of letters by at most one each way; texts beyond that are
+    not compared.
     """
-    found = written(near_hashes(lines), "near")
-
-    def forest(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        a, b = _forest(np.sort(table.column("sh").to_numpy().view(np.uint64)))
-        return pa.table({"a": a.view(np.int64), "b": b.view(np.int64), "key": np.full(len(a), key[0].as_py(), np.int64)})
-
-    met = meetings(found.filter("b is null").select(F.col("a").alias("sh"), "key"), "sh")
-    links = written(found.filter("b is not null").unionByName(met.groupBy("key", "p", "q").applyInArrow(forest, "a long, b long, key long")), "links")
-    several = written(lines.select("sh", "h").distinct().groupBy("sh").agg(F.count("*").alias("n")).filter("n > 1").select("sh"), "several")
-    pairs = links.select("a", "b").distinct()
-    wanted = links.select(F.col("a").alias("sh")).union(links.select("b")).union(several).distinct()
-    texts = written(wanted_texts(lines, wanted), "texts")
-    alone = texts.join(several, "sh", "left_anti")
-    left, right = (alone.select(F.col("sh").alias(x), F.col("h").alias(f"h{x}"), F.col("text").alias(f"t{x}")) for x in "ab")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = [similar(a, b) for a, b in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(good, pa.bool_())], names=["a", "b", "ha", "hb", "good"])
-
-    verified = pairs.join(left, "a").join(right, "b").select("a", "b", "ha", "hb", "ta", "tb").mapInArrow(verify, "a long, b long, ha long, hb long, good boolean")
-    verified = written(verified, "verified")
-    few = verified.filter("good").select(F.col("ha").alias("a"), F.col("hb").alias("b"))
-    # A link that fails, or isn't verified as an end has several lines, sends its bucket's lines to the texts.
-    doubt = links.join(verified.filter("good").select("a", "b"), ["a", "b"], "left_anti").select("key").distinct()
-    again = links.join(doubt, "key")
-    buckets = again.select(F.col("a").alias("sh"), "key").union(again.select("b", "key")).distinct().unionByName(several.select("sh", F.col("sh").alias("key")))
-
-    def by_text(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        h, sh, text = table.column("h").to_numpy(), table.column("sh").to_numpy().view(np.uint64), table.column("text").to_pylist()
-        left, a, b, todo, here = np.arange(len(h)), [], [], [], np.int64(key[0].as_py()).view(np.uint64)
-        while len(left):
-            if not todo:
-                todo, left = [left[0]], left[1:]
-            x = todo.pop()
-            near = np.bitwise_count(sh[left] ^ sh[x]) <= LIMIT
-            near[near] = _own_key(sh[left[near]], sh[x]) == here
-            near[near] = [similar(text[i], text[x]) for i in left[near]]
-            a += [h[x]] * int(near.sum())
-            b += h[left[near]].tolist()
-            todo += left[near].tolist()
-            left = left[~near]
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    many = meetings(buckets.join(texts, "sh"), "h").groupBy("key", "p", "q").applyInArrow(by_text, "a long, b long")
-    return few.unionByName(many)
+    if len(texts) == 2:
+        return [(0, 1)] if similar(*texts) else []
+    sizes, letters = np.array([len(x) for x in texts]), _letters(texts)
+    left, todo, links = np.arange(len(texts)), [], []
+    while len(left):
+        if not todo:
+            todo, left = [int(left[0])], left[1:]
+            continue
+        x = todo.pop()
+        most = np.maximum(sizes[left], sizes[x]) * round(100 - 100 * SIMILARITY) // 100
+        able = np.abs(sizes[left] - sizes[x]) <= most
+        apart = letters[left[able]] - letters[x]
+        able[able] = np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1)) <= most[able]
+        near = able.copy()
+        near[able] = [similar(texts[i], texts[x]) for i in left[able]]
+        links += [(x, int(i)) for i in left[near]]
+        todo += left[near].tolist()
+        left = left[~near]
+    return links
+
+
+def similar_lines(lines: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Links (a, b) between hashes h of different normalised lines that connect all similar ones that share a key."""
+    buckets = written(line_buckets(keys_of_lines(firsts)), "buckets")
+    texts = written(wanted_texts(lines, buckets.select("h").distinct()), "texts")
+    met = meetings(buckets.join(texts, "h"), "h").withColumn("meeting", F.xxhash64("bucket", "p", "q"))
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches):
+            meeting, h, text = table.column(0).to_numpy(), table.column(1).to_numpy(), table.column(2).to_pylist()
+            begins = np.flatnonzero(np.concatenate(([True], meeting[1:] != meeting[:-1])))
+            found = [(h[i + x], h[i + y]) for i, j in zip(begins, np.append(begins[1:], len(h))) for x, y in similar_links(text[i:j])]
+            pairs = np.array(found, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    return met.select("meeting", "h", "text").repartition("meeting").sortWithinPartitions("meeting").mapInArrow(links, "a long, b long")
 
 
 def _removed(docs: DataFrame, id_col: str, text_col: str, row_col: str) -> DataFrame:
-    """row, doc_id, removed: of each row of `docs`, whose number is in `row_col`, the numbers of its repeated lines."""
+    """doc_id, file, at, removed: of each row of `docs`, which `row_col` tells, the numbers of its repeated lines."""
     lines = written(line_hashes(docs, id_col, text_col, row_col), "lines")
-    labels = components(similar_lines(lines))
-    at = F.struct("doc_id", "row", "line")
-    firsts = written(lines.groupBy("h").agg(F.min(at).alias("at"), F.count("*").alias("n")), "firsts")
-    joined = firsts.join(labels, firsts.h == labels.node, "left").select("h", "at", "n", F.coalesce("component", "h").alias("group"))
+    place = F.struct("doc_id", "file", "at", "line")
+    same = [F.min(x).alias(x) for x in FIELDS]
+    firsts = written(lines.groupBy("h").agg(F.min(place).alias("place"), F.count("*").alias("n"), F.min(F.octet_length("text")).alias("size"), *same), "firsts")
+    labels = components(similar_lines(lines, firsts))
+    joined = firsts.join(labels, firsts.h == labels.node, "left").select("h", "place", "n", F.coalesce("component", "h").alias("group"))
     # Only groups of more than one line matter further on.
-    groups = joined.groupBy("group").agg(F.min("at").alias("first"), F.sum("n").alias("lines")).filter("lines > 1")
-    named = joined.join(groups, "group").select("h", "first")
-    gone = lines.join(named, "h").filter(~at.eqNullSafe(F.col("first")))
-    return gone.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.array_sort(F.collect_list("line")).alias("removed"))
+    groups = joined.groupBy("group").agg(F.min("place").alias("first"), F.sum("n").alias("lines")).filter("lines > 1")
+    named = joined.join(groups, "group").select("h", "first", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    light = lines.select("doc_id", "file", "at", "line", "h", F.pmod(F.xxhash64("file", "at", "line"), F.lit(SALT)).cast("int").alias("salt"))
+    gone = light.join(named, ["h", "salt"]).filter(~place.eqNullSafe(F.col("first")))
+    return gone.groupBy("file", "at").agg(F.min("doc_id").alias("doc_id"), F.array_sort(F.collect_list("line")).alias("removed"))
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, removed: the numbers (from 0) of the lines of each document that repeat an earlier line of the corpus.
 
     Lines are the parts between line feeds. Lines group by equal normalised form (ASCII case, punctuation and the
-    digits of a number don't count) or by edit similarity of 0.8 or more at 3 or fewer differing SimHash bits, directly
-    or through others; the first of each group by doc_id and line number stays. Lines without a word stay.
-    Documents without such lines have no row. Rows with a null id come first in that order; each row is a document of
-    its own, also where rows share an id. Null and empty texts have no lines; other columns are ignored.
+    digits of a number don't count; 64-bit hashes stand for it), whatever their length, or by edit similarity of 0.8 or
+    more, directly or through others, if they share two blocks of the fingerprint (see above; README: how many do). The
+    first of each group by doc_id, row and line number stays. Lines without a word stay. Documents without such lines
+    have no row. Rows with a null id come first in that order; each row is a document of its own, also where rows share
+    an id or are equal. Null and empty texts have no lines; other columns are ignored.
     """
     row, staged = numbered_rows(docs, "row_of_lines")
     return _removed(staged, id_col, text_col, row).select("doc_id", "removed")
@@ -375,7 +405,7 @@ def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """
     key, removed, n_removed = free_names(docs, "key_of_lines", "removed_lines", "n_removed")
     row, staged = numbered_rows(docs, "row_of_lines")
-    gone = _removed(staged, id_col, text_col, row).select(F.col("row").alias(key), F.col("removed").alias(removed))
+    gone = written(_removed(staged, id_col, text_col, row).select(F.struct("file", "at").alias(key), F.col("removed").alias(removed)), "removed")
     joined = staged.join(gone, staged[row] == gone[key], "left")
     parts = F.split(F.col(text_col), "\n", -1)
     kept = F.array_join(F.filter(F.transform(parts, lambda x, i: F.when(~F.array_contains(removed, i.cast("long")), x)), lambda x: x.isNotNull()), "\n")

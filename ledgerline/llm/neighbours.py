@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import whole_groups, written
 
 #: Neighbours of a node in the graph; groupings by planes and rounds of NN-descent; nodes about that meet in a group.
 DEGREE, GROUPINGS, DESCENTS, MEETING = 40, 4, 4, 48
@@ -65,30 +65,6 @@ def nodes_of(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFram
     return nodes, written(rows.join(nodes.select("node", "exact"), "exact").select("node", "vec_id"), "members")
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Tables of whole groups from batches that are sorted by the first column."""
-    held: pa.Table | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
-        group = batch.column(0).to_numpy()
-        changes = np.flatnonzero(group[1:] != group[:-1])
-        if held is not None and group[0] != held.column(0)[-1].as_py():
-            yield held
-            held = None
-        if held is not None and not len(changes):
-            held = pa.concat_tables([held, table])
-            continue
-        last = int(changes[-1]) + 1 if len(changes) else 0
-        if last:
-            yield (pa.concat_tables([held, table.slice(0, last)]) if held is not None else table.slice(0, last)).combine_chunks()
-            held = None
-        held = table.slice(last)
-    if held is not None:
-        yield held.combine_chunks()
-
-
 def _bounds(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     begins = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
     return begins, np.append(begins[1:], len(group))

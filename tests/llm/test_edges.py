@@ -116,41 +116,38 @@ def test_lines(odd, none):
 
 
 def test_links_of_lines_connect_what_brute_force_connects(spark):
-    """Families of long lines with few words changed: some near by hash only, some by text too, in chains."""
+    """Families of lines with one to three words replaced: one or two leave two blocks equal, so all these pairs group."""
     import random
 
     rng = random.Random(8)
-    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 12))) for _ in range(80)]
-    texts = []
-    for _ in range(12):
-        line = [rng.choice(vocabulary) for _ in range(60)]
-        for _ in range(10):
-            line = list(line)
-            line[rng.randrange(60)] = rng.choice(vocabulary) * rng.choice((1, 1, 1, 9))
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(5, 12))) for _ in range(400)]
+    texts, expected = [], []
+    for _ in range(40):
+        base = [rng.choice(vocabulary) for _ in range(rng.randint(14, 60))]
+        texts.append(" ".join(base))
+        for n in (1, 2, 2):
+            line = list(base)
+            for at in rng.sample(range(len(line)), n):
+                line[at] = rng.choice(vocabulary)
+            expected.append(len(texts))
             texts.append(" ".join(line))
-    powers, backs = lines._powers(lines._BASE, 1 << 17), lines._powers(lines._BACK, 1 << 17)
-    _, h, sh, forms = lines.hashed_lines("\n".join(texts).encode(), powers, backs)
-    h, sh, forms = h.tolist(), sh.tolist(), forms.to_pylist()
-    group = list(range(len(texts)))
-
-    def root(i):
-        while group[i] != i:
-            i = group[i]
-        return i
-
-    near = 0
-    for i in range(len(texts)):
-        for j in range(i):
-            if (sh[i] ^ sh[j]).bit_count() <= 3:
-                alike = h[i] == h[j] or lines.similar(forms[i], forms[j])
-                near += not alike
-                if alike:
-                    low, high = sorted((root(i), root(j)))
-                    group[high] = low
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    expected = [i for i in range(len(texts)) if root(i) != i]
     assert sorted(r.doc_id for r in lines.repeated_lines(docs).collect()) == expected
-    assert near and 20 < len(expected)
+
+
+def test_large_buckets_of_lines_are_compared_in_blocks(spark, monkeypatch):
+    """The same groups come out where buckets are dealt over blocks, and repeated or null ids lose no line."""
+    texts = [f"{w} line of some more words that are all the same but one" for w in ("first", "second", "third", "fourth", "fifth", "sixth", "seventh")]
+    docs = spark.createDataFrame([(7, "\n".join(texts[:3]) + "\nunique one"), (7, "other unique\n" + "\n".join(texts[3:])), (None, "unique two\n" + texts[0])], "doc_id long, text string")
+    expected = [(None, f"unique two\n{texts[0]}"), (7, "other unique"), (7, "unique one")]
+    whole = sorted(((r.doc_id, r.text) for r in lines.without_repeated_lines(docs).collect()), key=str)
+    monkeypatch.setattr(lines, "MEETING", 2)
+    assert whole == sorted(((r.doc_id, r.text) for r in lines.without_repeated_lines(docs).collect()), key=str) == sorted(expected, key=str)
+
+
+def test_repeated_rows_lose_their_lines(spark):
+    docs = spark.createDataFrame([(1, "one line of a row\nanother line of it")] * 3, "doc_id long, text string")
+    assert sorted(r.n_removed for r in lines.without_repeated_lines(docs).collect()) == [0, 2, 2]
 
 
 def test_similar_is_edit_distance():

@@ -131,38 +131,68 @@ def test_language_on_held_out_documents(spark, sf_dir, docs):
     assert all((r.lang_pred == "und") == (not any(map(str.isalpha, docs[r.doc_id]))) for r in rows)
 
 
-def test_line_dedup_against_brute_force(spark, sf_dir, docs):
-    """Lines group by equal normalised form or by edit similarity of 0.8 at 3 differing SimHash bits; the first stays."""
-    from ledgerline.llm import lines as op
+def plain_form(line):
+    """A line's normalised form, written anew: ASCII letters in lower case, digit runs as 0, bytes beyond ASCII, words."""
+    import re
 
-    powers, backs = op._powers(op._BASE, 1 << 20), op._powers(op._BACK, 1 << 20)
-    found, forms = [], {}
-    for doc_id in sorted(docs):
-        line, h, sh, texts = op.hashed_lines(docs[doc_id].encode(), powers, backs)
-        for n, key, s, t in zip(line.tolist(), h.tolist(), sh.tolist(), texts.to_pylist(), strict=True):
-            found.append((doc_id, n, key))
-            forms[key] = (s, t)
-
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            last, row[0] = row[0], i
-            for j, y in enumerate(b, 1):
-                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-        return row[-1]
-
-    def linked(x, y):
-        (sx, tx), (sy, ty) = forms[x], forms[y]
-        return (sx ^ sy).bit_count() <= 3 and 5 * distance(tx, ty) <= max(len(tx), len(ty))
-
-    label, seen, gone = reachable(forms, linked), set(), {}
-    for doc_id, n, key in found:
-        if label[key] in seen:
-            gone.setdefault(doc_id, set()).add(n)
-        seen.add(label[key])
-    rows = {r.doc_id: (r.n_removed, r.text) for r in QUERIES["op5_line_dedup"](spark, sf_dir).collect()}
-    assert sum(map(len, gone.values())) > 0
+    kept = re.sub(rb"[^a-z0-9\x80-\xff]+", b" ", line.encode().lower()) if line else b""
+    return b" ".join(re.sub(rb"[0-9]+", b"0", kept).split())
+
+
+def edit_distance(a, b):
+    row = np.arange(len(b) + 1)
+    other = np.frombuffer(b, np.uint8)
+    for x in a:
+        step = np.minimum(row[1:] + 1, row[:-1] + (other != x))
+        first = row[0] + 1
+        row = np.minimum.accumulate(np.concatenate(([first], step)) - np.arange(len(b) + 1)) + np.arange(len(b) + 1)
+    return int(row[-1])
+
+
+def test_line_dedup_against_brute_force(spark, sf_dir, docs):
+    """Against groups by edit similarity alone: equal lines always group, similar ones nearly always, others never."""
+    found = [(doc_id, n, plain_form(x)) for doc_id in sorted(docs) for n, x in enumerate(docs[doc_id].split("\n"))]
+    found = [x for x in found if x[2]]
+    forms = sorted({form for _, _, form in found}, key=len)
+    near = {form: [] for form in forms}
+    counts = np.array([np.bincount(np.frombuffer(x, np.uint8) & 63, minlength=64) for x in forms])
+    sizes = np.array([len(x) for x in forms])
+    for i, a in enumerate(forms):
+        most = sizes // 5
+        apart = counts - counts[i]
+        able = (np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1)) <= most) & (np.arange(len(forms)) > i)
+        for j in np.flatnonzero(able):
+            if 5 * edit_distance(a, forms[j]) <= sizes[j]:
+                near[a].append(forms[j])
+                near[forms[j]].append(a)
+    label = {}
+    for start in forms:
+        if start not in label:
+            label[start], todo = start, [start]
+            while todo:
+                for y in near[todo.pop()]:
+                    if y not in label:
+                        label[y] = start
+                        todo.append(y)
+    rows = {r.doc_id: (r.n_removed, (r.text or "").split("\n")) for r in QUERIES["op5_line_dedup"](spark, sf_dir).collect()}
+    gone, seen, forms_seen, missed, should = {}, set(), set(), 0, 0
+    for doc_id, n, form in found:
+        gone.setdefault(doc_id, {})[n] = (label[form] in seen, form in forms_seen)
+        seen.add(label[form])
+        forms_seen.add(form)
     for doc_id, text in docs.items():
-        out = gone.get(doc_id, set())
-        kept = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in out)
-        assert rows[doc_id][0] == len(out) and (rows[doc_id][1] or "") == kept
+        own, kept = gone.get(doc_id, {}), iter(rows[doc_id][1])
+        expected = next(kept, None)
+        n_removed = 0
+        for n, line in enumerate(text.split("\n")):
+            similar, equal = own.get(n, (False, False))
+            should += similar and not equal
+            if line == expected and not equal:
+                missed += similar
+                expected = next(kept, None)
+            else:
+                assert similar, (doc_id, n)  # nothing is removed but what repeats an earlier line
+                n_removed += 1
+        assert expected is None or not text and expected == ""
+        assert rows[doc_id][0] == n_removed
+    assert len(forms_seen) > 0 and missed <= 0.25 * should, (missed, should)
