@@ -22,11 +22,11 @@ from .components import components
 
 #: Lines are linked from this edit similarity on.
 SIMILARITY, BLOCKS = 0.8, 6
-#: Pairs of blocks that make a key, if their features have at least KEY_BYTES bytes together.
-CHOICES, KEY_BYTES = tuple(combinations(range(BLOCKS), 2)), 12
+#: Pairs of blocks that make a key, if they have at least KEY_FEATURES features together.
+CHOICES, KEY_FEATURES = tuple(combinations(range(BLOCKS), 2)), 3
 #: Lines (normalised, in bytes) below the first have pairs of bytes as features, from the second on words; between the
 #: two both, as a line may be 0.8 times as long as its like.
-WORDS_FROM, PAIRS_BELOW = 32, 44
+WORDS_FROM, PAIRS_BELOW = 40, 54
 #: Bytes of text that are hashed at once, and rows of one bucket that one task compares with one another.
 CHUNK, MEETING = 1 << 18, 2048
 #: Bits of the filter of line hashes whose texts are wanted: 4 MB whatever the input.
@@ -67,34 +67,31 @@ def normalised(raw: bytes) -> bytes:
     return text[~again].tobytes()
 
 
-def _block_hashes(groups: np.ndarray, hashes: np.ndarray, size: int) -> np.ndarray:
-    """SimHash of 32 bits of the `hashes` of each of `size` groups (0 for an empty one)."""
-    out = np.zeros(size, np.uint32)
-    if not len(groups):
-        return out
-    order = np.argsort(groups, kind="stable")
-    groups = groups[order]
-    first = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1])))
-    count = np.diff(np.append(first, len(groups)))
-    # Four numbers with eight counters of 8 bits each; groups are cut so that no counter runs over.
-    bits = np.unpackbits(hashes[order].astype(">u4").view(np.uint8)).reshape(-1, 32).view(np.uint64)
-    longest = int(count.max())
-    cuts = np.unique(np.concatenate([first, *(first[count > k] + k for k in range(255, longest, 255))]))
-    ones = np.add.reduceat(bits, cuts, axis=0).view(np.uint8).reshape(-1, 32)
-    if longest > 255:
-        ones = np.add.reduceat(ones, np.searchsorted(cuts, first), axis=0, dtype=np.int32)
-    out[groups[first]] = np.packbits(2 * ones.astype(np.int32) > count[:, None], axis=1).view(">u4").ravel()
-    return out
-
-
-def _fingerprints(lines: int, line: np.ndarray, hashes: np.ndarray, sizes: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Of features (line, hash, bytes): the lines' blocks, two in a number, and a bit for each choice that makes a key."""
+def _fingerprints(lines: int, line: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of features (line, hash): the lines' blocks, two in a number, and a bit for each choice that makes a key.
+
+    A block is the SimHash, of 32 bits, of the line's distinct features in it (0 if there are none).
+    """
     group = line * BLOCKS + ((hashes >> np.uint64(40)) % np.uint64(BLOCKS)).astype(np.int64)
-    blocks = _block_hashes(group, (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32), lines * BLOCKS).reshape(lines, BLOCKS // 2, 2).astype(np.uint64)
-    held = np.bincount(group, sizes, lines * BLOCKS).reshape(lines, BLOCKS)
-    good = np.zeros(lines, np.int64)
+    rows = np.sort(group.astype(np.uint64) << np.uint64(32) | hashes & np.uint64(0xFFFFFFFF))
+    rows = rows[np.concatenate(([True], rows[1:] != rows[:-1]))] if len(rows) else rows
+    groups, held = (rows >> np.uint64(32)).astype(np.int64), np.zeros(lines * BLOCKS, np.int64)
+    blocks = np.zeros(lines * BLOCKS, np.uint64)
+    if len(rows):
+        first = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1])))
+        count = np.diff(np.append(first, len(groups)))
+        # Four numbers with eight counters of 8 bits each; groups are cut so that no counter runs over.
+        bits = np.unpackbits(rows.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 4:]).reshape(-1, 32).view(np.uint64)
+        longest = int(count.max())
+        cuts = np.unique(np.concatenate([first, *(first[count > k] + k for k in range(255, longest, 255))]))
+        ones = np.add.reduceat(bits, cuts, axis=0).view(np.uint8).reshape(-1, 32)
+        if longest > 255:
+            ones = np.add.reduceat(ones, np.searchsorted(cuts, first), axis=0, dtype=np.int32)
+        blocks[groups[first]] = np.packbits(2 * ones.astype(np.int32) > count[:, None], axis=1).view(">u4").ravel()
+        held[groups[first]] = count
+    held, blocks, good = held.reshape(lines, BLOCKS), blocks.reshape(lines, BLOCKS // 2, 2), np.zeros(lines, np.int64)
     for k, (i, j) in enumerate(CHOICES):
-        good |= (held[:, i] + held[:, j] >= (KEY_BYTES if sizes is not None else 3)).astype(np.int64) << k
+        good |= (held[:, i] + held[:, j] >= KEY_FEATURES).astype(np.int64) << k
     return blocks[:, :, 0] | blocks[:, :, 1] << np.uint64(32), good
 
 
@@ -132,14 +129,14 @@ def hashed_lines(raw: bytes, powers: np.ndarray, backs: np.ndarray) -> tuple[np.
     texts = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
     dense = np.repeat(np.arange(n), count)
     long = np.repeat(sizes >= WORDS_FROM, count)
-    by_word = _fingerprints(n, dense[long], words[long], (ends - starts)[long])
+    by_word = _fingerprints(n, dense[long], words[long])
     # Pairs of bytes that are next to one another in a short line.
     ends_of = offsets[1:]
     short = np.repeat(sizes < PAIRS_BELOW, sizes)
     short[ends_of - 1] = False
     at = np.flatnonzero(short)
     pairs = _mixed((flat[at].astype(np.uint64) << np.uint64(8) | flat[at + 1]) + np.uint64(_BASE)) if len(at) else np.zeros(0, np.uint64)
-    by_pair = _fingerprints(n, np.searchsorted(ends_of, at, side="right"), pairs, None)
+    by_pair = _fingerprints(n, np.searchsorted(ends_of, at, side="right"), pairs)
     parts = [x for blocks, good in (by_word, by_pair) for x in (*blocks.T.view(np.int64), good)]
     return line[first], whole, texts, dict(zip(FIELDS, parts, strict=True))
 
@@ -283,7 +280,9 @@ def similar(a: bytes, b: bytes) -> bool:
         at[x] = at.get(x, 0) | 1 << i
     full, top = (1 << len(b)) - 1, 1 << len(b) - 1
     up, down, distance = full, 0, len(b)
-    for x in a:
+    for rest, x in zip(range(len(a) - 1, -1, -1), a):
+        if distance - rest > most + 1:  # each byte to come makes up for one at most
+            return False
         eq = at.get(x, 0)
         diagonal = (((eq & up) + up) ^ up) | eq | down
         more, less = down | ~(diagonal | up) & full, up & diagonal
@@ -317,22 +316,25 @@ def wanted_texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.join(wanted, "h", "left_semi").groupBy("h").agg(F.min("text").alias("text"))
 
 
-def _letters(texts: list[bytes]) -> np.ndarray:
-    """How often each of 32 classes of bytes occurs in each text."""
+def _threes(texts: list[bytes]) -> np.ndarray:
+    """How often each of 512 classes of runs of three bytes occurs in each text."""
+    flat = np.frombuffer(b"".join(texts) + b"  ", np.uint8).astype(np.int64)
     sizes = np.array([len(x) for x in texts])
     owner = np.repeat(np.arange(len(texts)), sizes)
-    return np.bincount(owner * 32 + (np.frombuffer(b"".join(texts), np.uint8) & 31), minlength=32 * len(texts)).reshape(-1, 32)
+    runs = (flat[:-2] * 31 + flat[1:-1]) * 31 + flat[2:] & 511
+    inside = np.ones(len(owner), bool)
+    for back in (1, 2):
+        inside[np.maximum(np.cumsum(sizes) - back, 0)] = False
+    return np.bincount(owner[inside] * 512 + runs[inside], minlength=512 * len(texts)).reshape(-1, 512).astype(np.int32)
 
 
 def similar_links(texts: list[bytes]) -> list[tuple[int, int]]:
     """Links of a forest over the places of `texts` that connects all similar ones.
 
-    An edit changes the sizes by at most one, and the counts of letters by at most one each way; texts beyond that are
-    not compared.
+    An edit changes the size by at most one, and takes or adds at most three of the runs of three bytes; texts beyond
+    that are not compared.
     """
-    if len(texts) == 2:
-        return [(0, 1)] if similar(*texts) else []
-    sizes, letters = np.array([len(x) for x in texts]), _letters(texts)
+    sizes, threes = np.array([len(x) for x in texts]), _threes(texts)
     left, todo, links = np.arange(len(texts)), [], []
     while len(left):
         if not todo:
@@ -341,8 +343,8 @@ def similar_links(texts: list[bytes]) -> list[tuple[int, int]]:
         x = todo.pop()
         most = np.maximum(sizes[left], sizes[x]) * round(100 - 100 * SIMILARITY) // 100
         able = np.abs(sizes[left] - sizes[x]) <= most
-        apart = letters[left[able]] - letters[x]
-        able[able] = np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1)) <= most[able]
+        common = np.minimum(threes[left[able]], threes[x]).sum(axis=1)
+        able[able] = common >= np.maximum(sizes[left[able]], sizes[x]) - 2 - 3 * most[able]
         near = able.copy()
         near[able] = [similar(texts[i], texts[x]) for i in left[able]]
         links += [(x, int(i)) for i in left[near]]

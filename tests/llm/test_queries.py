@@ -101,14 +101,90 @@ def test_mixing_takes_what_it_should(spark, sf_dir):
         taken[r.source_size] = taken.get(r.source_size, 0) + r.taken
         targets[r.source_size] = r.target
     assert sum(targets.values()) == pytest.approx(sum(r.size for r in rows))
-    assert all(abs(taken[k] - targets[k]) <= 1 for k in taken)
+    # The schedule gives whole blocks, and its points are never more than a few off any share.
+    block = max(1, min(1024, round(sum(targets.values())) // 65536))
+    assert all(abs(taken[k] - targets[k]) <= 6 * block for k in taken)
 
 
-def test_html_text_is_whole_pages(spark, sf_dir):
+def test_mixing_comes_through_its_schedule(spark, sf_dir, monkeypatch):
+    """Other points give other blocks; the slots of a source are spread evenly."""
+    from ledgerline.llm import mixing
+
+    rows = sorted(QUERIES["op6_mixing"](spark, sf_dir).collect(), key=str)
+    monkeypatch.setattr(mixing, "GOLDEN", 0.123456)
+    other = sorted(QUERIES["op6_mixing"](spark, sf_dir).collect(), key=str)
+    assert [r.first_slot for r in rows] != [r.first_slot for r in other]
+    assert [r.taken for r in rows] != [r.taken for r in other]
+
+
+def article_text(source):
+    """The text of a page's articles by the standard library's parser; its blocks with a space between."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.depth, self.silent, self.parts = 0, 0, []
+
+        def handle_starttag(self, tag, attributes):
+            self.depth += tag == "article"
+            self.silent += tag in ("script", "style")
+            self.parts.append(" " if tag not in ("b", "i", "a", "em", "strong", "span") else "")
+
+        def handle_endtag(self, tag):
+            self.depth -= tag == "article"
+            self.silent -= tag in ("script", "style")
+            self.parts.append(" " if tag not in ("b", "i", "a", "em", "strong", "span") else "")
+
+        def handle_data(self, data):
+            if self.depth and not self.silent:
+                self.parts.append(data)
+
+    reader = Reader()
+    reader.feed(source or "")
+    reader.close()
+    return " ".join("".join(reader.parts).split())
+
+
+def test_html_text_against_brute_force(spark, sf_dir):
+    """All of these pages mark their article, which the wrapper must find as that which holds what varies."""
+    truth = {r.page_id: article_text(r.html) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     rows = QUERIES["op7_html_text"](spark, sf_dir).collect()
-    assert len(rows) == spark.read.parquet(f"{sf_dir}/pages.parquet").count()
+    assert len(rows) == len(truth)
     for r in rows:
-        assert r.n_chars == len(r.text) and r.text == " ".join(r.text.split()) and "<script" not in r.text
+        assert r.n_chars == len(r.text) and r.text == truth[r.page_id]
+
+
+def test_wrappers_decide_where_no_name_tells(spark, sf_dir, monkeypatch):
+    """With the lists of names blank, alignment alone drops menus, adverts and footers; names were of no use there."""
+    import re
+    from collections import defaultdict
+    from urllib.parse import urlparse
+
+    from ledgerline.llm import htmltext
+
+    pages = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/pages.parquet").collect()
+    never = re.compile(r"(?!)")
+    for name, blank in {"FORMS": {"head"}, "BESIDES": set(), "NAMES": never, "ARTICLE_NAMES": never, "ARTICLE": set(), "ROLES": set()}.items():
+        monkeypatch.setattr(htmltext, name, blank)
+    hosts = defaultdict(dict)
+    for r in pages:
+        page = htmltext.Page(r.html)
+        hosts[urlparse(r.url or "").netloc.lower()].setdefault(page.vote(), htmltext.template(page))
+    right = by_names = total = 0
+    for host, votes in hosts.items():
+        if host and len(votes) >= htmltext.MIN_PAGES:
+            first, *others = votes.values()
+            for other in others:
+                htmltext.merge(first, other, {})
+            wrapper = htmltext.wrapper(htmltext.trimmed(first))
+            for r in pages:
+                if urlparse(r.url or "").netloc.lower() == host:
+                    truth, page = article_text(r.html), htmltext.Page(r.html)
+                    total += 1
+                    right += page.by_wrapper(wrapper) == truth
+                    by_names += page.by_names() == truth
+    assert total > 100 and right >= 0.95 * total and by_names < 0.2 * total
 
 
 def test_rans_files_hold_the_tokens(spark, sf_dir, docs):
@@ -155,12 +231,15 @@ def test_line_dedup_against_brute_force(spark, sf_dir, docs):
     found = [x for x in found if x[2]]
     forms = sorted({form for _, _, form in found}, key=len)
     near = {form: [] for form in forms}
-    counts = np.array([np.bincount(np.frombuffer(x, np.uint8) & 63, minlength=64) for x in forms])
     sizes = np.array([len(x) for x in forms])
+    fours = np.zeros((len(forms), 1024), np.int16)  # an edit takes at most four of the runs of four bytes
+    for i, x in enumerate(forms):
+        for k in range(len(x) - 3):
+            fours[i, zlib.crc32(x[k : k + 4]) % 1024] += 1
     for i, a in enumerate(forms):
-        most = sizes // 5
-        apart = counts - counts[i]
-        able = (np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1)) <= most) & (np.arange(len(forms)) > i)
+        upto = int(np.searchsorted(sizes, sizes[i] * 1.25 + 1, side="right"))
+        able = np.zeros(len(forms), bool)
+        able[i + 1 : upto] = np.minimum(fours[i + 1 : upto], fours[i]).sum(axis=1) >= sizes[i + 1 : upto] - 3 - 4 * (sizes[i + 1 : upto] // 5)
         for j in np.flatnonzero(able):
             if 5 * edit_distance(a, forms[j]) <= sizes[j]:
                 near[a].append(forms[j])
@@ -193,6 +272,6 @@ def test_line_dedup_against_brute_force(spark, sf_dir, docs):
             else:
                 assert similar, (doc_id, n)  # nothing is removed but what repeats an earlier line
                 n_removed += 1
-        assert expected is None or not text and expected == ""
+        assert expected is None or expected == "" and n_removed in (0, text.count("\n") + 1)  # no line is left
         assert rows[doc_id][0] == n_removed
     assert len(forms_seen) > 0 and missed <= 0.25 * should, (missed, should)
