@@ -1,9 +1,9 @@
 """Approximate nearest neighbours by cosine: NN-descent builds a neighbour graph, greedy search walks it.
 
-Equal vectors are one node. A first graph comes from groups of vectors on the same side of some random planes. A round
-of NN-descent then meets, for each node, its neighbours and those whose neighbour it is, pairwise: a neighbour of a
-neighbour is likely one. A query starts at its own node and expands the best nodes found so far, until none of these is
-new.
+Equal vectors are one node. A first graph comes from runs of vectors in the order of the signs of their products with
+random planes. A round of NN-descent then meets, for each node, its neighbours and those whose neighbour it is, pairwise
+where one of the two is a new edge: a neighbour of a neighbour is likely one. Rounds go on while more than SETTLED of all
+edges are new. A query starts at its own node and expands the best nodes found so far, until none of these is new.
 """
 
 from __future__ import annotations
@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 
 from .common import whole_groups, written
 
-#: Neighbours of a node in the graph; groupings by planes and rounds of NN-descent; nodes about that meet in a group.
-DEGREE, GROUPINGS, DESCENTS, MEETING = 40, 4, 4, 48
-#: Of those that a node meets in a group, the best are passed on.
-PASSED = 12
-#: Best nodes of a query that are expanded, and rounds of that.
-BEAM, STEPS = 80, 8
+#: Neighbours of a node in the graph; orders by planes, and nodes that meet in a run of such an order.
+DEGREE, ORDERS, MEETING = 24, 4, 48
+#: Of those that a node meets in a group, the best are passed on; share of new edges at which the graph has settled.
+PASSED, SETTLED = 10, 0.02
+#: Best nodes of a query that are expanded.
+BEAM = 56
 
 
 def usable(vector: Column) -> Column:
@@ -74,26 +74,40 @@ def _column(table: pa.Table, i: int) -> np.ndarray:
     return table.column(i).to_numpy()
 
 
+def _best_pairs(ids: np.ndarray, units: np.ndarray, worst: np.ndarray | None, new: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of nodes that meet: the best pairs (u, w, sim) of each that do better than its worst, one of the two being new."""
+    sim = units @ units.T
+    np.fill_diagonal(sim, -9)
+    if new is not None:
+        sim[~(new[:, None] | new[None, :])] = -9
+    keep = min(PASSED, len(ids) - 1)
+    best = np.argpartition(-sim, keep - 1, axis=1)[:, :keep]
+    value = np.take_along_axis(sim, best, axis=1)
+    i, j = np.nonzero(value > (-8 if worst is None else np.maximum(worst[:, None], -8)))
+    return ids[i], ids[best[i, j]], value[i, j]
+
+
+def _pairs(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    none = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))]
+    u, w, sim = (np.concatenate(x) for x in zip(*(found or none), strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(u), pa.array(w), pa.array(sim.astype(np.float64))], names=["u", "w", "sim"])
+
+
+def run_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (node, unit) in an order: the best pairs of each node in its run of MEETING rows."""
+    for batch in batches:
+        if batch.num_rows > 1:
+            ids, units = batch.column(0).to_numpy(), _stacked(batch.column(1), "<f2").astype(np.float32)
+            cuts = [*range(0, max(1, len(ids) - MEETING // 2), MEETING), len(ids)]  # a short last run joins the one before
+            yield _pairs([_best_pairs(ids[a:b], units[a:b], None, None) for a, b in zip(cuts, cuts[1:]) if b - a > 1])
+
+
 def met_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (group, node, worst, unit): the best pairs of each node in its group that do better than its worst."""
+    """Of rows (group, node, new, worst, unit): the best pairs of each node in its group that do better than its worst."""
     for table in whole_groups(batches):
-        group, node, worst = (_column(table, i) for i in range(3))
-        units = _stacked(table.column(3).combine_chunks(), "<f2").astype(np.float32)
-        us, ws, sims = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
-        for a, b in zip(*_bounds(group)):
-            if b - a < 2:
-                continue
-            ids = node[a:b]
-            sim = units[a:b] @ units[a:b].T
-            np.fill_diagonal(sim, -9)
-            keep = min(PASSED, b - a - 1)
-            best = np.argpartition(-sim, keep - 1, axis=1)[:, :keep]
-            value = np.take_along_axis(sim, best, axis=1)
-            i, j = np.nonzero(value > np.maximum(worst[a:b, None], -8))
-            us.append(ids[i])
-            ws.append(ids[best[i, j]])
-            sims.append(value[i, j])
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(ws)), pa.array(np.concatenate(sims).astype(np.float64))], names=["u", "w", "sim"])
+        group, node, new, worst = (_column(table, i) for i in range(4))
+        units = _stacked(table.column(4).combine_chunks(), "<f2").astype(np.float32)
+        yield _pairs([_best_pairs(node[a:b], units[a:b], worst[a:b], new[a:b] > 0) for a, b in zip(*_bounds(group)) if b - a > 1])
 
 
 def best_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,14 +130,6 @@ def _graph(pairs: DataFrame) -> DataFrame:
     return written(rows.mapInArrow(best_edges, "u long, w long, sim double, new int"), "graph")
 
 
-def _meet(members: DataFrame, nodes: DataFrame, worst: DataFrame | None) -> DataFrame:
-    """Pairs (u, w, sim) from `members` (group, node)."""
-    rows = members.join(nodes.select("node", "unit"), "node")
-    rows = rows.join(worst, "node", "left") if worst is not None else rows.withColumn("worst", F.lit(None).cast("double"))
-    rows = rows.select("group", "node", F.coalesce("worst", F.lit(-8.0)).alias("worst"), "unit")
-    return rows.repartition("group").sortWithinPartitions("group").mapInArrow(met_pairs, "u long, w long, sim double")
-
-
 def _best(pairs: DataFrame, by: str, of: str, score: str, most: int) -> DataFrame:
     order = Window.partitionBy(by).orderBy(F.desc(score), of)
     return pairs.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= most).drop("_rank")
@@ -132,37 +138,41 @@ def _best(pairs: DataFrame, by: str, of: str, score: str, most: int) -> DataFram
 def neighbour_graph(nodes: DataFrame, seed: int = 11) -> DataFrame:
     """Edges (u, w, sim): for each node the DEGREE nearest that were found."""
     n = nodes.count()
-    bits = max(0, int(np.ceil(np.log2(max(1, n) / MEETING))))
 
-    def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             units = _stacked(batch.column(1), "<f2").astype(np.float32)
-            for turn in range(GROUPINGS):
-                planes = np.random.default_rng(seed + turn).normal(size=(bits, 4096)).astype(np.float32)[:, : units.shape[1]]
-                side = ((units @ planes.T) > 0) @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros(len(units), np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(len(units), turn)), pa.array(side.astype(np.int64))], names=["node", "turn", "side"])
-
-    coded = nodes.select("node", "unit").mapInArrow(sides, "node long, turn long, side long")
-    # One more grouping is by chance alone: it joins what the planes keep apart.
-    coded = coded.unionByName(nodes.select("node", F.lit(GROUPINGS).cast("long").alias("turn"), F.lit(0).cast("long").alias("side")))
-    sizes = coded.groupBy("turn", "side").agg(F.ceil(F.count("*") / MEETING).alias("parts"))
-    members = coded.join(sizes, ["turn", "side"]).select("node", F.xxhash64("turn", "side", F.pmod(F.xxhash64("node", "turn"), "parts")).alias("group"))
-    edges = _graph(_meet(members, nodes, None).withColumn("new", F.lit(1)))
-    for _ in range(DESCENTS):
-        counts = edges.groupBy("w").agg(F.count("*").alias("n"))
+            for turn in range(ORDERS):
+                # One row of numbers for each component, so that vectors of any length meet the same planes.
+                planes = np.random.default_rng(seed + turn).normal(size=(units.shape[1], 60)).astype(np.float32)
+                code = ((units @ planes) > 0) @ (1 << np.arange(59, -1, -1, dtype=np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(len(units), turn)), pa.array(code), batch.column(1)], names=["node", "turn", "code", "unit"])
+
+    rows = nodes.select("node", "unit").mapInArrow(coded, "node long, turn long, code long, unit binary")
+    # One more order is by chance alone: it joins what the planes keep apart.
+    rows = rows.unionByName(nodes.select("node", F.lit(ORDERS).cast("long").alias("turn"), F.xxhash64("node").alias("code"), "unit"))
+    ordered = rows.repartitionByRange("turn", "code", "node").sortWithinPartitions("turn", "code", "node").select("node", "unit")
+    edges = _graph(ordered.mapInArrow(run_pairs, "u long, w long, sim double").withColumn("new", F.lit(1)))
+    fresh, before = edges.filter("new = 1").count(), None
+    while fresh > SETTLED * n * DEGREE and (before is None or fresh < before):
         # Those whose neighbour a node is come in parts, each of which meets all neighbours of the node.
-        parts = counts.select(F.col("w").alias("at"), F.ceil(F.col("n") / (2 * DEGREE)).alias("parts"))
-        back = edges.select(F.col("w").alias("at"), F.col("u").alias("node"), "new").join(parts, "at").withColumn("part", F.pmod(F.xxhash64("node"), "parts")).select("at", "part", "node", "new")
-        own = edges.select(F.col("u").alias("at"), F.col("w").alias("node"), "new").join(parts, "at", "left")
-        forth = own.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))).select("at", "part", "node", "new")
-        met = back.unionByName(forth).withColumn("group", F.xxhash64("at", "part"))
-        fresh = met.groupBy("group").agg(F.max("new").alias("any")).filter("any = 1").select("group")
-        members = met.join(fresh, "group", "left_semi").select("group", "node").distinct()
-        worst = edges.groupBy("u").agg(F.min("sim").alias("worst"), F.count("*").alias("n")).select(F.col("u").alias("node"), F.when(F.col("n") >= DEGREE, F.col("worst")).alias("worst"))
-        found = _meet(members, nodes, worst).withColumn("new", F.lit(1))
+        counts = edges.groupBy("w").agg(F.count("*").alias("n"), F.max("new").alias("any"))
+        parts = counts.select(F.col("w").alias("at"), F.ceil(F.col("n") / (2 * DEGREE)).alias("parts"), F.col("any").alias("back_new"))
+        own = edges.groupBy("u").agg(F.max("new").alias("own_new"), F.min("sim").alias("worst"), F.count("*").alias("n"))
+        own = own.select(F.col("u").alias("at"), "own_new", F.when(F.col("n") >= DEGREE, F.col("worst")).otherwise(-8.0).alias("worst"))
+        state = written(own.join(parts, "at", "full").filter("at is not null"), "state")
+        live = state.filter("own_new = 1 or back_new = 1").select("at", F.coalesce("parts", F.lit(1)).cast("long").alias("parts"))
+        back = edges.select(F.col("w").alias("at"), F.col("u").alias("node"), "new").join(live, "at").withColumn("part", F.pmod(F.xxhash64("node"), "parts")).select("at", "part", "node", "new")
+        forth = edges.select(F.col("u").alias("at"), F.col("w").alias("node"), "new").join(live, "at")
+        forth = forth.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select("at", "part", "node", "new")
+        members = back.unionByName(forth).groupBy("at", "part", "node").agg(F.max("new").alias("new")).withColumn("group", F.xxhash64("at", "part"))
+        known = nodes.join(state.select(F.col("at").alias("node"), "worst"), "node", "left").select("node", F.coalesce("worst", F.lit(-8.0)).alias("worst"), "unit")
+        met = members.select("group", "node", "new").join(known, "node").select("group", "node", "new", "worst", "unit").repartition("group").sortWithinPartitions("group")
+        found = met.mapInArrow(met_pairs, "u long, w long, sim double").withColumn("new", F.lit(1))
         edges = _graph(found.unionByName(edges.withColumn("new", F.lit(0))))
+        fresh, before = edges.filter("new = 1").count(), fresh
     return edges.select("u", "w", "sim")
 
 
@@ -197,12 +207,15 @@ def near_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame) -> DataFrame:
-    """query, node, score: the BEAM best nodes that greedy search finds for each query (a node of the graph)."""
+    """query, node, score: the BEAM best nodes that greedy search finds for each query (a node of the graph).
+
+    Each round expands the nodes of the beam that weren't yet; it ends when no round finds a node it hasn't seen.
+    """
     asked = queries.join(nodes.select(F.col("node").alias("query"), "unit"), "query").select("query", F.lit(None).cast("long").alias("node"), "unit")
     asked = written(asked, "asked")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "node")
     found = queries.select("query", F.col("query").alias("node"), F.lit(9.0).alias("score"), F.lit(False).alias("expanded"))
-    for _ in range(STEPS):
+    while True:
         ranked = written(found.withColumn("top", F.row_number().over(order) <= BEAM), "beam")
         ways = ranked.filter("top and not expanded").join(graph, F.col("node") == F.col("u")).select("query", F.col("w").alias("node")).distinct()
         fresh = ways.join(ranked.select("query", "node"), ["query", "node"], "left_anti").join(nodes.select("node", "unit"), "node").select("query", "node", "unit")
