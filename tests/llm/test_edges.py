@@ -197,6 +197,29 @@ def test_constant_blocks_of_a_host_are_template(spark):
     assert {r.page_id: r.text for r in htmltext.main_text(rows).collect()} == {i: f"Own text {i} of page" for i in range(40)}
 
 
+def test_html_of_any_depth_and_clashing_names(spark):
+    deep = "<html><body>" + "<div>" * 10_000 + "<article><p>deep text</p></article>"
+    rows = spark.createDataFrame([(i, f"http://h.example/{i}", deep.replace("deep", f"deep{i}")) for i in range(4)], "page_id long, url string, html string")
+    for name in ("text", "n_chars", "wrapper", "salt", "host_of_page", "tree"):
+        rows = rows.withColumn(name, F.lit("clash"))
+    found = htmltext.main_text(rows)
+    assert found.columns == ["page_id", "url", "text", "n_chars"]
+    assert {r.page_id: r.text for r in found.collect()} == {i: f"deep{i} text" for i in range(4)}
+
+
+def test_unnamed_parts_of_a_host(spark):
+    """Parts without a telling name: constant lines, a menu of links and a short varying line beside a long text."""
+    def page(i):
+        menu = "".join(f"<li><a href='/{j}'>Topic {i} {j}</a></li>" for j in range(5))
+        prose = "".join(f"<p>Sentence {j} of page {i} which tells of something else, at some length.</p>" for j in range(6))
+        return f"<html><body><div><ul>{menu}</ul></div><div><p>The same on all pages</p></div><div><h1>Title {i}</h1>{prose}<p>Written by the staff</p></div><div>Short {i}</div></body></html>"
+
+    rows = spark.createDataFrame([(i, f"http://h.example/{i}", page(i)) for i in range(40)], "page_id long, url string, html string")
+    for r in htmltext.main_text(rows).collect():
+        prose = " ".join(f"Sentence {j} of page {r.page_id} which tells of something else, at some length." for j in range(6))
+        assert r.text == f"Title {r.page_id} {prose}"
+
+
 def test_quality(odd, none):
     rows = {r.doc_id: r for r in quality.quality_cascade(odd).collect()}
     assert rows[2].n_words == rows[3].n_words == 0 and rows[2].base_failed and not rows[2].kept
@@ -204,10 +227,21 @@ def test_quality(odd, none):
     assert quality.quality_cascade(none).count() == 0
 
 
-def test_quality_order_changes_no_verdict():
-    texts = [b"word " * n + b"! # $" * m for n in (0, 5, 40) for m in (0, 3, 30)]
-    orders = [quality.rule_order(texts), quality.rule_order(texts[:1])]
-    assert sorted(orders[0]) == sorted(orders[1]) == sorted(r.name for r in quality.RULES)
+def test_quality_order_changes_work_and_no_verdict(spark):
+    """On texts of which most fall to one rule, the measured order looks at fewer rules than the reverse one."""
+    words = " ".join(f"word{i}" for i in range(40))
+    texts = [words.replace(" ", "! ")] * 60 + ["7 8 9 10 11 12 13 14 15 16 17 18 19 20 21 22 33 44"] * 5 + [words] * 20 + ["- a b c\n- d e f g\n- h i j k l m"] * 5
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    costs = quality.rule_costs(docs, "text", quality.RULES, 2000)
+    assert set(costs) == {r.name for r in quality.RULES} and costs["exclamations"][1] > 0.5 > costs["letters"][1] > 0
+    order = quality.rule_order(costs)
+    assert order[0].name == "exclamations"
+    found = [quality.cascade(quality.measured(x.encode()), order) for x in texts]
+    other = [quality.cascade(quality.measured(x.encode()), order[::-1]) for x in texts]
+    assert [k for k, _ in found] == [k for k, _ in other] and sum(n for _, n in found) < sum(n for _, n in other)
+    rows = {r.doc_id: (r.kept, r.rules_run) for r in quality.quality_cascade(docs).collect()}
+    assert [rows[i][0] for i in range(len(texts))] == [k for k, _ in found]
+    assert sum(n for _, n in rows.values()) < sum(n for _, n in other)
 
 
 def test_rans(odd, none, tmp_path, spark):
