@@ -34,7 +34,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed_words(documents(spark, sf_dir)).drop("first_slot")
+    return mixing.mixed_words(documents(spark, sf_dir))
 
 
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,14 +92,26 @@ t AS (
          / CAST(sum(CASE WHEN stopped THEN 0 ELSE weight END) OVER () AS DOUBLE) * weight END AS target
   FROM fill WHERE round = 40),
 q AS (SELECT w.source, w.place, w.source_size, t.target, CAST(round(t.target) AS BIGINT) AS quota FROM w JOIN t USING (place)),
+n AS (
+  SELECT words, b, (words + b // 2) // b AS slots
+  FROM (SELECT words, greatest(1, least(1024, words // 65536)) AS b FROM (SELECT CAST(coalesce(sum(quota), 0) AS BIGINT) AS words FROM q))),
+spans AS (SELECT place, sum(quota) OVER (ORDER BY place) - quota AS lo, sum(quota) OVER (ORDER BY place) AS hi FROM q WHERE quota > 0),
+points AS (
+  SELECT k AS slot, CAST(floor((((k + 0.5::DOUBLE) * 0.6180339887498949::DOUBLE) % 1.0::DOUBLE) * words) AS BIGINT) AS point
+  FROM n, (SELECT unnest(range((SELECT slots FROM n))) AS k)),
+slots AS (
+  SELECT place, slot, row_number() OVER (PARTITION BY place ORDER BY slot) - 1 AS rank FROM points JOIN spans ON point >= lo AND point < hi),
+given AS (SELECT q.*, least(c.blocks * b, 3 * source_size) AS given, b FROM q JOIN (SELECT place, count(*) AS blocks FROM slots GROUP BY place) c USING (place), n),
 turns AS (
-  SELECT d.*, q.place, q.source_size, q.target, q.quota, e.epoch,
-         coalesce(sum(size) OVER (PARTITION BY q.place, e.epoch ORDER BY md5(e.epoch || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), size, r
-                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
-  FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source, (VALUES (0), (1), (2)) e(epoch))
-SELECT doc_id, size, source_size, target,
-       CAST(sum(greatest(0, least(size, quota - (epoch * source_size + ahead)))) AS BIGINT) AS taken
-FROM turns GROUP BY r, doc_id, size, source_size, target""",
+  SELECT d.*, g.place, g.given, g.b, e.epoch,
+         e.epoch * g.source_size + coalesce(sum(size) OVER (PARTITION BY g.place, e.epoch ORDER BY md5(e.epoch || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), size, r
+                                                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM d JOIN given g ON d.source IS NOT DISTINCT FROM g.source, (VALUES (0), (1), (2)) e(epoch)),
+begun AS (
+  SELECT r, greatest(0, least(size, given - start)) AS words, slot FROM turns t LEFT JOIN slots s ON t.size > 0 AND t.start < t.given AND s.place = t.place AND s.rank = t.start // t.b),
+taken AS (SELECT r, CAST(sum(words) AS BIGINT) AS taken, min(slot) AS first_slot FROM begun GROUP BY r)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, first_slot
+FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source LEFT JOIN taken USING (r)""",
     "op8_quality": r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
@@ -124,6 +136,9 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        AND NOT (10 * (length(t) - length(replace(t, '!', ''))) > 3 * n_words)
        AND word_chars BETWEEN 2 * n_words AND 20 * n_words
        AND NOT (2 * n_dup_lines > len(lines))
+       AND NOT (len(lines) > 2 AND 10 * len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*\x{2022}]'))) > 9 * len(lines))
+       AND NOT (len(lines) > 2 AND 10 * len(list_filter(lines, lambda x: regexp_matches(x, '([.][.][.]|\x{2026})[\x20\x09-\x0D]*$'))) > 3 * len(lines))
+       AND NOT (10 * coalesce(list_max(map_values(list_histogram(w))), 0) > 3 * n_words)
        AND NOT (10 * len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) < 5 * n_words) AS kept
 FROM judged""",
 }
