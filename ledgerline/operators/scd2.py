@@ -62,3 +62,39 @@ def upsert(stored: DataFrame, batch: DataFrame, key: list[str], immutable: bool
 def preserved(base: Column, stored: Column, when: Column) -> Column:
     """The stored value where a condition holds and it isn't null, else the base value."""
     return F.when(when & stored.isNotNull(), stored).otherwise(base)
+
+
+def merge_run(history: DataFrame, run: DataFrame, key: str, state: str, at: str, gate: DataFrame | None = None) -> DataFrame:
+    """The history after a run: key, state, valid_from, valid_to, last_observed and action.
+
+    `history` has one open period (valid_to null) for each key at most, `run` one row for each key. A new key opens a
+    period, an equal state refreshes last_observed, another one closes the open period and opens the next; a stale
+    observation and a key that the run doesn't have change nothing. `gate`, a table of one row (rejected), keeps the
+    whole run out where that is true: all or nothing. One join; closed periods don't take part in it.
+    """
+    columns = [key, state, "valid_from", "valid_to", "last_observed"]
+    open_ = history.filter("valid_to is null").select(F.col(key), F.col(state).alias("_old"), F.col("valid_from").alias("_from"), F.col("last_observed").alias("_last"))
+    seen = run.select(F.col(key), F.col(state).alias("_new"), F.col(at).alias("_at"))
+    joined = open_.join(seen, key, "full")
+    if gate is not None:
+        # The gate is one row.
+        joined = joined.crossJoin(F.broadcast(gate)).withColumn("_at", F.when(~F.col("rejected"), F.col("_at"))).filter("_last is not null or _at is not null")
+    same, last, now = F.col("_old").eqNullSafe(F.col("_new")), F.col("_last"), F.col("_at")
+    action = F.when(now.isNull(), "untouched").when(last.isNull(), "created").when((same & (now < last)) | (~same & (now <= last)), "stale").when(same, "confirmed").otherwise("changed")
+    period = lambda state_, from_, to, seen_: F.struct(state_.alias(state), from_.alias("valid_from"), to.alias("valid_to"), seen_.alias("last_observed"))
+    none = F.lit(None).cast(history.schema["valid_to"].dataType)
+    before, opened = period(F.col("_old"), F.col("_from"), none, last), period(F.col("_new"), now, none, now)
+    out = (
+        F.when(F.col("action") == "created", F.array(opened))
+        .when(F.col("action") == "changed", F.array(period(F.col("_old"), F.col("_from"), now, last), opened))
+        .when(F.col("action") == "confirmed", F.array(period(F.col("_old"), F.col("_from"), none, now)))
+        .otherwise(F.array(before))
+    )
+    merged = joined.withColumn("action", action).select(key, F.explode(out).alias("_p"), "action").select(key, "_p.*", "action")
+    return merged.unionByName(history.filter("valid_to is not null").select(*columns, F.lit("closed").alias("action")))
+
+
+def rule_counts(rows: DataFrame, **rules: Column) -> DataFrame:
+    """rule, n: how many rows break each of the rules, in one pass over them; rules that none breaks come with 0."""
+    counts = rows.agg(*(F.count_if(F.coalesce(broken, F.lit(False))).alias(name) for name, broken in rules.items()))
+    return counts.select(F.explode(F.array(*(F.struct(F.lit(x).alias("rule"), F.col(x).alias("n")) for x in rules))).alias("r")).select("r.rule", "r.n")
