@@ -31,8 +31,8 @@ WORDS_FROM, PAIRS_BELOW = 40, 54
 CHUNK, MEETING = 1 << 18, 2048
 #: Bits of the filter of line hashes whose texts are wanted: 4 MB whatever the input.
 FILTER_BITS = 1 << 25
-#: Tasks over which the copies of one line are dealt.
-SALT = 16
+#: Tasks over which the copies of one line are dealt; lines that a task remembers as seen.
+SALT, SEEN = 8, 500_000
 
 #: Normalised bytes: letters in lower case, digits as 0, bytes beyond ASCII as they are, and all else 32 (line feed: 10).
 _TABLE = np.full(256, 32, np.uint8)
@@ -142,10 +142,13 @@ def hashed_lines(raw: bytes, powers: np.ndarray, backs: np.ndarray) -> tuple[np.
 
 
 def line_hashes(docs: DataFrame, id_col: str, text_col: str, row_col: str) -> DataFrame:
-    """doc_id, row, line, h, text and the fields of fingerprints of each line that has a word in whole texts; text is normalised."""
+    """doc_id, file, at, line, h, text and the fields of fingerprints of each line that has a word in whole texts.
+
+    The text is normalised. A line is fresh unless its task has seen it: so a common line has few fresh copies.
+    """
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, backs = _powers(_BASE, CHUNK), _powers(_BACK, CHUNK)
+        powers, backs, known = _powers(_BASE, CHUNK), _powers(_BACK, CHUNK), set()
         for batch in batches:
             raws = [x or b"" for x in batch.column(3).to_pylist()]
             done = 0
@@ -161,26 +164,44 @@ def line_hashes(docs: DataFrame, id_col: str, text_col: str, row_col: str) -> Da
                 begins = np.cumsum([0] + [x.count(b"\n") + 1 for x in part])
                 owner = np.searchsorted(begins, line, side="right") - 1
                 ids = (batch.column(i).take(pa.array(owner + done)) for i in (0, 1, 2))
-                columns = [*ids, pa.array(line - begins[owner]), pa.array(h.view(np.int64)), texts, *map(pa.array, fields.values())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "file", "at", "line", "h", "text", *fields])
+                if len(known) > SEEN:
+                    known = set()
+                before = len(known)
+                fresh = np.zeros(len(h), bool)
+                for i, x in enumerate(h.tolist()):
+                    known.add(x)
+                    if len(known) > before:
+                        fresh[i], before = True, before + 1
+                columns = [*ids, pa.array(line - begins[owner]), pa.array(h.view(np.int64)), texts, pa.array(fresh), *map(pa.array, fields.values())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "file", "at", "line", "h", "text", "fresh", *fields])
                 done = upto
             if len(powers) > 64 * CHUNK:  # after a very long text
                 powers, backs = powers[:CHUNK].copy(), backs[:CHUNK].copy()
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    columns = f"doc_id {kind}, file long, at long, line long, h long, text binary, " + ", ".join(f"{x} long" for x in FIELDS)
+    columns = f"doc_id {kind}, file long, at long, line long, h long, text binary, fresh boolean, " + ", ".join(f"{x} long" for x in FIELDS)
     return docs.select(F.col(id_col).alias("doc_id"), F.col(row_col)["file"].alias("file"), F.col(row_col)["at"].alias("at"), F.col(text_col).cast("binary")).mapInArrow(hashes, columns)
 
 
-def keys_of_lines(firsts: DataFrame) -> DataFrame:
-    """h, size and key of distinct lines with fields of fingerprints: a key for each choice of two blocks that makes one."""
-    keys = []
-    for kind, marks in (("w", 0), ("p", len(CHOICES))):
-        for k, (i, j) in enumerate(CHOICES):
-            low, high = (F.shiftrightunsigned(F.col(f"{kind}{x // 2}"), 32) if x % 2 else F.col(f"{kind}{x // 2}").bitwiseAND(F.lit(0xFFFFFFFF)) for x in (i, j))
-            mark = F.lit(((marks + k + 1) * 0x9E3779B97F4A7C15 & (1 << 63) - 1))
-            keys.append(F.when(F.col(f"{kind}ok").bitwiseAND(F.lit(1 << k)) != 0, F.shiftleft(high, 32).bitwiseOR(low).bitwiseXOR(mark)))
-    return firsts.select("h", "size", F.explode(F.array(*keys)).alias("key")).filter("key is not null")
+def keys_of_lines(lines: DataFrame) -> DataFrame:
+    """key, h and size of fresh lines: a key for each choice of two blocks that makes one."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        half, mark = np.uint64(0xFFFFFFFF), np.uint64(0x9E3779B97F4A7C15)
+        for batch in batches:
+            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+            for k, first in enumerate((2, 2 + BLOCKS // 2 + 1)):  # words, then pairs of bytes
+                pairs = [batch.column(first + i).to_numpy().view(np.uint64) for i in range(BLOCKS // 2)]
+                blocks = [x >> np.uint64(32) if i % 2 else x & half for i in range(BLOCKS) for x in (pairs[i // 2],)]
+                good = batch.column(first + BLOCKS // 2).to_numpy()
+                for c, (i, j) in enumerate(CHOICES):
+                    at = np.flatnonzero(good >> c & 1)
+                    key = (blocks[j][at] << np.uint64(32) | blocks[i][at]) ^ np.uint64(k * len(CHOICES) + c + 1) * mark
+                    found.append((key.view(np.int64), at))
+            key, at = (np.concatenate(x) for x in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(key), *(batch.column(i).take(pa.array(at)) for i in (0, 1))], names=["key", "h", "size"])
+
+    return lines.filter("fresh").select("h", F.octet_length("text").alias("size"), *FIELDS).mapInArrow(keys, "key long, h long, size int")
 
 
 def _within(small: np.ndarray, large: np.ndarray) -> np.ndarray:
@@ -194,7 +215,7 @@ def line_buckets(keyed: DataFrame) -> DataFrame:
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.zeros(0, np.int64)
-        held = none, none, none  # key, h and size of the last bucket seen, which the next batch may go on with
+        held = none, none, none.astype(np.int32)  # key, h and size of the last bucket seen, which the next batch may go on with
         large = None  # its key, once it is above MEETING
 
         def out(bucket: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
@@ -204,8 +225,12 @@ def line_buckets(keyed: DataFrame) -> DataFrame:
             begins = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
             sizes = np.diff(np.append(begins, len(key)))
             place = np.repeat(np.arange(len(begins)), sizes)
-            order = np.lexsort((size, place))
-            place, h, size = place[order], h[order], size[order]
+            order = np.lexsort((h, size, place))
+            place, h, size, key = place[order], h[order], size[order], key[order]
+            once = np.concatenate(([True], (place[1:] != place[:-1]) | (h[1:] != h[:-1])))  # several tasks may have had a line
+            place, h, size, key = place[once], h[once], size[once], key[once]
+            begins = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+            sizes = np.diff(np.append(begins, len(place)))
             near = (place[1:] == place[:-1]) & _within(size[:-1], size[1:])
             several = np.zeros(len(begins), bool)
             several[place[1:][near]] = True
@@ -237,7 +262,7 @@ def line_buckets(keyed: DataFrame) -> DataFrame:
             held = tuple(x[last:] for x in now)
             if len(held[0]) > MEETING:
                 yield out(held[0], held[1])
-                large, held = held[0][-1], (none, none, none)
+                large, held = held[0][-1], (none, none, none.astype(np.int32))
         if len(held[0]):
             yield from close(*held)
 
@@ -302,18 +327,17 @@ def _filter_of(hashes: DataFrame) -> np.ndarray:
     return total
 
 
-def wanted_texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """h and text of the distinct normalised lines whose h is in `wanted`."""
-    bits = lines.sparkSession.sparkContext.broadcast(_filter_of(wanted))
+def among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose `h` is in `wanted` (h), once the filter of those has left what it can before the shuffle."""
+    bits = rows.sparkSession.sparkContext.broadcast(_filter_of(wanted))
+    place = rows.columns.index("h")
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h = batch.column(0).to_numpy()
-            found = bits.value[(h & (FILTER_BITS - 1)) >> 6] >> (h & 63) & 1
-            yield batch.filter(pa.array(found.astype(bool)))
+            h = batch.column(place).to_numpy()
+            yield batch.filter(pa.array((bits.value[(h & (FILTER_BITS - 1)) >> 6] >> (h & 63) & 1).astype(bool)))
 
-    found = lines.select("h", "text").mapInArrow(hits, "h long, text binary")
-    return found.join(wanted, "h", "left_semi").groupBy("h").agg(F.min("text").alias("text"))
+    return rows.mapInArrow(hits, rows.schema)
 
 
 def _threes(texts: list[bytes]) -> np.ndarray:
@@ -334,6 +358,8 @@ def similar_links(texts: list[bytes]) -> list[tuple[int, int]]:
     An edit changes the size by at most one, and takes or adds at most three of the runs of three bytes; texts beyond
     that are not compared.
     """
+    if len(texts) == 2:
+        return [(0, 1)] if similar(*texts) else []
     sizes, threes = np.array([len(x) for x in texts]), _threes(texts)
     left, todo, links = np.arange(len(texts)), [], []
     while len(left):
@@ -353,10 +379,12 @@ def similar_links(texts: list[bytes]) -> list[tuple[int, int]]:
     return links
 
 
-def similar_lines(lines: DataFrame, firsts: DataFrame) -> DataFrame:
+def similar_lines(lines: DataFrame) -> DataFrame:
     """Links (a, b) between hashes h of different normalised lines that connect all similar ones that share a key."""
-    buckets = written(line_buckets(keys_of_lines(firsts)), "buckets")
-    texts = written(wanted_texts(lines, buckets.select("h").distinct()), "texts")
+    buckets = written(line_buckets(keys_of_lines(lines)), "buckets")
+    wanted = buckets.select("h").distinct()
+    fresh = among(lines.filter("fresh").select("h", "text"), wanted)
+    texts = written(fresh.join(wanted, "h", "left_semi").groupBy("h").agg(F.min("text").alias("text")), "texts")
     met = meetings(buckets.join(texts, "h"), "h").withColumn("meeting", F.xxhash64("bucket", "p", "q"))
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -374,15 +402,16 @@ def _removed(docs: DataFrame, id_col: str, text_col: str, row_col: str) -> DataF
     """doc_id, file, at, removed: of each row of `docs`, which `row_col` tells, the numbers of its repeated lines."""
     lines = written(line_hashes(docs, id_col, text_col, row_col), "lines")
     place = F.struct("doc_id", "file", "at", "line")
-    same = [F.min(x).alias(x) for x in FIELDS]
-    firsts = written(lines.groupBy("h").agg(F.min(place).alias("place"), F.count("*").alias("n"), F.min(F.octet_length("text")).alias("size"), *same), "firsts")
-    labels = components(similar_lines(lines, firsts))
-    joined = firsts.join(labels, firsts.h == labels.node, "left").select("h", "place", "n", F.coalesce("component", "h").alias("group"))
-    # Only groups of more than one line matter further on.
-    groups = joined.groupBy("group").agg(F.min("place").alias("first"), F.sum("n").alias("lines")).filter("lines > 1")
-    named = joined.join(groups, "group").select("h", "first", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
-    light = lines.select("doc_id", "file", "at", "line", "h", F.pmod(F.xxhash64("file", "at", "line"), F.lit(SALT)).cast("int").alias("salt"))
-    gone = light.join(named, ["h", "salt"]).filter(~place.eqNullSafe(F.col("first")))
+    firsts = written(lines.groupBy("h").agg(F.min(place).alias("place"), F.count("*").alias("n")), "firsts")
+    labels = written(components(similar_lines(lines)), "labels")
+    # Lines that others are like group by their labels, of the rest only those that repeat matter further on.
+    linked = among(firsts, labels.select(F.col("node").alias("h"))).join(labels, F.col("h") == F.col("node")).select("h", "place", F.col("component").alias("group"))
+    heads = linked.groupBy("group").agg(F.min("place").alias("first"))
+    alone = firsts.filter("n > 1").join(labels, F.col("h") == F.col("node"), "left_anti").select("h", F.col("place").alias("first"))
+    named = written(linked.join(heads, "group").select("h", "first").unionByName(alone), "named")
+    dealt = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    light = among(lines.select("doc_id", "file", "at", "line", "h"), named.select("h")).withColumn("salt", F.pmod(F.xxhash64("file", "at", "line"), F.lit(SALT)).cast("int"))
+    gone = light.join(dealt, ["h", "salt"]).filter(~place.eqNullSafe(F.col("first")))
     return gone.groupBy("file", "at").agg(F.min("doc_id").alias("doc_id"), F.array_sort(F.collect_list("line")).alias("removed"))
 
 
@@ -408,7 +437,8 @@ def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
     key, removed, n_removed = free_names(docs, "key_of_lines", "removed_lines", "n_removed")
     row, staged = numbered_rows(docs, "row_of_lines")
     gone = written(_removed(staged, id_col, text_col, row).select(F.struct("file", "at").alias(key), F.col("removed").alias(removed)), "removed")
-    joined = staged.join(gone, staged[row] == gone[key], "left")
+    # A broadcast of what is removed would grow with the input.
+    joined = staged.hint("merge").join(gone, staged[row] == gone[key], "left")
     parts = F.split(F.col(text_col), "\n", -1)
     kept = F.array_join(F.filter(F.transform(parts, lambda x, i: F.when(~F.array_contains(removed, i.cast("long")), x)), lambda x: x.isNotNull()), "\n")
     text = F.when(F.col(removed).isNull(), F.col(text_col)).otherwise(kept)

@@ -264,8 +264,8 @@ SELECT match_id, CASE WHEN goals_a > goals_b THEN team_a WHEN goals_b > goals_a
     "resolved_slots": f"""
 WITH {_KNOCKOUT_SQL},
 s AS (SELECT match_id, CASE WHEN match_id % 2 = 0 THEN 'winner' ELSE 'loser' END AS kind, match_id - match_id % 7 - 1 AS ref FROM matches),
-t AS (SELECT s.match_id, CASE WHEN ref < 0 AND s.kind = 'winner' THEN 'winner' ELSE s.kind END AS kind, abs(ref) AS ref FROM s),
-j AS (SELECT t.*, winner, CASE WHEN kind = 'winner' THEN winner WHEN winner = team_a THEN team_b WHEN winner = team_b THEN team_a END AS team FROM t LEFT JOIN decided d ON d.match_id = t.ref)
+t AS (SELECT s.match_id, CASE WHEN ref < 0 AND s.kind = 'loser' THEN 'team' ELSE s.kind END AS kind, abs(ref) AS ref FROM s),
+j AS (SELECT t.*, winner, CASE WHEN kind = 'winner' THEN winner WHEN kind = 'team' THEN NULL WHEN winner = team_a THEN team_b WHEN winner = team_b THEN team_a END AS team FROM t LEFT JOIN decided d ON d.match_id = t.ref)
 SELECT match_id, kind, ref, team, CASE WHEN team IS NOT NULL THEN 'resolved' WHEN winner IS NULL THEN 'undecided' ELSE 'unknown' END AS why FROM j""",
     "inferred_winners": f"""
 WITH {MATCHES_SQL}, l AS (SELECT grp, team, max(match_id) AS last FROM sides GROUP BY ALL),
@@ -301,7 +301,7 @@ l AS (SELECT grp, team, round + 1 AS round, max(match_id) AS from_match FROM w G
 SELECT grp, round, count(*) AS n, count(from_match) AS linked, CAST(sum(coalesce(from_match, 0)) AS BIGINT) AS "check" FROM w LEFT JOIN l USING (grp, team, round) GROUP BY grp, round""",
     "dashboard_data": f"""
 WITH {_TABLE_SQL}
-SELECT 'teams' AS name, CAST(team AS VARCHAR) AS key, 10 AS n_fields, md5(concat_ws('|', drawn, ga, gf, groups, lost, place, played, points, team, won)) AS value FROM placed
+SELECT 'teams' AS name, CAST(team AS VARCHAR) AS key, 11 AS n_fields, md5(concat_ws('|', drawn, ga, gf, groups, lost, place, played, points, team, won)) AS value FROM placed
 UNION ALL SELECT 'phases', phase, 6, md5(concat_ws('|', even, goals, n, phase, place)) FROM phases
 UNION ALL SELECT 'champions', CAST(team AS VARCHAR), 4, md5(concat_ws('|', seconds, team, titles, won)) FROM champions""",
     "dedup_results": f"""
