@@ -65,10 +65,15 @@ def mapped(x: Column, values: Mapping[str, Iterable[str]]) -> Column:
 
 # States of a match.
 STATES = {
-    "Jugado": ("jugado", "finalizado", "terminado", "complete", "completed", "finished", "final", "completo", "ft", "full time", "f"),
-    "En vivo": ("en vivo", "live", "in progress", "jugando", "en juego", "1t", "2t", "halftime"),
-    "Programado": ("programado", "scheduled", "fixture", "por jugar", "o"),
-    "Pendiente": ("pendiente", "pending", "tbd", "por definir", "p"),
+    "Jugado": ("jugado", "finalizado", "finalizado ✅", "terminado", "complete", "completed", "finished", "final", "completo", "ft", "full time", "finalizado.", "terminado."),
+    "En vivo": ("en vivo", "live", "in progress", "jugando", "en juego", "1t", "2t", "primer tiempo", "segundo tiempo", "halftime", "medio tiempo"),
+    "Programado": ("programado", "scheduled", "fixture", "por jugar"),
+    "Pendiente": ("pendiente", "pending", "tbd", "por definir"),
+}
+# The same for a calendar with three states, of which the last is that of all other texts.
+SHORT_STATES = {
+    "FINAL": ("jugado", "final", "finalizado", "completado", "complete", "completed"),
+    "EN VIVO": ("en vivo", "live", "playing", "in progress"),
 }
 # Phases, in order of the tests; a text with any of the words is of the phase.
 PHASES = (
@@ -88,6 +93,11 @@ def state(x: Column) -> Column:
     return mapped(x, STATES)
 
 
+def short_state(x: Column) -> Column:
+    known = mapped(x, SHORT_STATES)
+    return F.when(known.isin(*SHORT_STATES) & F.lower(clean(x)).isin(*(w for words in SHORT_STATES.values() for w in words)), known).otherwise("PENDIENTE")
+
+
 def phase(x: Column) -> Column:
     text, out = match_key(x), clean(x)
     for name, words in reversed(PHASES):

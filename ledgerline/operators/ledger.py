@@ -9,30 +9,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def decisions(requests: DataFrame, key: str, at: str, request: str, apart: int, budget: int) -> DataFrame:
-    """Decides the requests of each key in order of time (`at`, a long), then of the request's id.
+def decisions(requests: DataFrame, key: str, at: str, row: str, request: str, apart: int, budget: int) -> DataFrame:
+    """Decides the rows of each key in order of time (`at`, a long), then of `row`.
 
-    RESERVED if the last reserved one is at least `apart` before and the budget isn't used up, WAIT if it is too soon,
-    DENY once the budget is used up. A decision depends on those before it, so each key's rows pass in order through
-    one task, which keeps three numbers of the key and no rows.
+    REPLAY if the request was granted before; else DENY once the budget is used up, WAIT if the last grant is less than
+    `apart` ago, and RESERVED otherwise. A decision depends on those before it, so each key's rows pass in order through
+    one task: a key is not dealt over tasks, however many rows it has. The task holds the grants of one key, `budget` of
+    them at most, and a batch of rows.
     """
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key, last_at, used = None, None, 0
+        now, last, granted = None, 0, set()
         for batch in batches:
             out = []
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                if k != last_key:
-                    last_key, last_at, used = k, None, 0
-                if used >= budget:
+            for k, t, asked in zip(batch.column(0).to_pylist(), batch.column(2).to_numpy().tolist(), batch.column(3).to_pylist(), strict=True):
+                if k != now:
+                    now, last, granted = k, None, set()
+                if asked in granted:
+                    out.append("REPLAY")
+                elif len(granted) >= budget:
                     out.append("DENY")
-                elif last_at is not None and t - last_at < apart:
+                elif last is not None and t - last < apart:
                     out.append("WAIT")
                 else:
                     out.append("RESERVED")
-                    last_at, used = t, used + 1
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=[key, request, "decision"])
+                    last = t
+                    granted.add(asked)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=[key, row, "decision"])
 
-    rows = requests.select(key, request, F.col(at).cast("long").alias("_at")).repartition(key).sortWithinPartitions(key, "_at", request)
-    kinds = {c: requests.schema[c].dataType.simpleString() for c in (key, request)}
-    return rows.mapInArrow(decide, f"`{key}` {kinds[key]}, `{request}` {kinds[request]}, decision string")
+    rows = requests.select(key, row, F.col(at).cast("long").alias("_at"), F.col(request).alias("_request")).repartition(key).sortWithinPartitions(key, "_at", row)
+    kinds = {c: requests.schema[c].dataType.simpleString() for c in (key, row)}
+    return rows.mapInArrow(decide, f"`{key}` {kinds[key]}, `{row}` {kinds[row]}, decision string")

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import ids, text
+from ..functions import ids, text, unicode
 from ..operators import aggregates, coverage, joins, ledger, sets, windows
 from ..sources.tables import as_text, read
 
@@ -112,9 +112,17 @@ def trace_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def request_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decisions of the request ledger about the events of each user, in order of time: 20 grants at most, 10 minutes apart."""
-    events = read(spark, sf_dir, "events").withColumn("at", F.unix_micros(F.col("ts").cast("timestamp")))
-    return ledger.decisions(events, "user_id", "at", "event_id", 600_000_000, 20)
+    """Decisions of the request ledger about the events of each user, in order of time: 20 grants at most, 10 minutes
+    apart; a request (the number in the properties) that was granted is replayed."""
+    request = F.coalesce(F.get_json_object("props", "$.k").try_cast("long"), F.lit(-1))
+    events = read(spark, sf_dir, "events").select("user_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), request.alias("request"))
+    return ledger.decisions(events, "user_id", "at", "event_id", "request", 600_000_000, 20)
+
+
+def unicode_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the comparison forms of whole texts: composed and folded, and without marks."""
+    x = F.col("text")
+    return read(spark, sf_dir, "documents").select("doc_id", F.md5(unicode.canonical_text(x).cast("binary")).alias("canonical"), F.md5(unicode.without_all_marks(x).cast("binary")).alias("unmarked"))
 
 
 def url_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +142,7 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def explode_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of all turns by conversation and place in the turn (cut to tens), with how often they come."""
+    """Words of all turns by role and place in the turn (cut to tens), with how often they come."""
     words = F.filter(F.split(F.coalesce(F.col("text"), F.lit("")), " "), lambda w: w != "")
     rows = read(spark, sf_dir, "conversations").select("role", F.posexplode(words).alias("place", "word"))
     return rows.groupBy("role", F.floor(F.col("place") / 10).alias("tens")).agg(F.count("*").alias("n_words"), F.sum(F.length("word").cast("long")).alias("n_chars"))
@@ -175,7 +183,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         semi_anti_checks, diff_two_sets, compare_traversals, owner_conflicts, overlap_windows, page_plan, page_budget, page_continuity, traversal_coverage, facet_counts, filter_values, quality_reasons,
-        trace_reconcile, request_ledger, url_canonical, url_parts, json_props, explode_turns, turn_continuity, text_clean, numbers_clean, slot_kinds, text_rows,
+        trace_reconcile, request_ledger, url_canonical, url_parts, json_props, explode_turns, turn_continuity, text_clean, numbers_clean, slot_kinds, text_rows, unicode_keys,
     )
 }
 
@@ -186,8 +194,20 @@ plan AS (SELECT p_brand, page, (page - 1) * 10 AS from_index, least(page * 10, n
 _MARKED, _PLAIN = "'" + text.MARKED + "'", "'" + text.PLAIN + "'"
 _FOLLOWS_SQL = "CASE WHEN before IS NULL THEN 'first' WHEN {0} = before + 1 THEN 'next' WHEN {0} > before + 1 THEN 'gap' ELSE 'overlap' END AS follows"
 
-#: request_ledger has none: a decision depends on the decisions before it; a test holds it against a plain loop.
+#: unicode_keys has none, as SQL has no compatibility forms; a test holds it against the standard library.
 ORACLE_SQL = {
+    "request_ledger": """
+WITH RECURSIVE r AS (
+  SELECT user_id, event_id, epoch_us(ts) AS moment, coalesce(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT), -1) AS request,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+f AS (
+  SELECT user_id, 0::BIGINT AS n, NULL::BIGINT AS event_id, NULL::VARCHAR AS decision, NULL::BIGINT AS last, []::BIGINT[] AS granted FROM r WHERE n = 1
+  UNION ALL
+  SELECT user_id, n, event_id, decision, CASE WHEN decision = 'RESERVED' THEN moment ELSE last END, CASE WHEN decision = 'RESERVED' THEN list_append(granted, request) ELSE granted END
+  FROM (SELECT r.user_id, r.n, r.event_id, r.moment, r.request, f.last, f.granted,
+               CASE WHEN list_contains(f.granted, r.request) THEN 'REPLAY' WHEN len(f.granted) >= 20 THEN 'DENY' WHEN r.moment - f.last < 600000000 THEN 'WAIT' ELSE 'RESERVED' END AS decision
+        FROM f JOIN r ON r.user_id = f.user_id AND r.n = f.n + 1))
+SELECT user_id, event_id, decision FROM f WHERE n > 0""",
     "semi_anti_checks": """
 SELECT c_nationkey, count(*) FILTER (c_custkey IN (SELECT o_custkey FROM orders)) AS with_orders,
        count(*) FILTER (c_custkey NOT IN (SELECT o_custkey FROM orders)) AS without_orders FROM customer GROUP BY c_nationkey""",
@@ -243,11 +263,13 @@ FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""",
     "url_canonical": r"""
 WITH b AS (SELECT page_id, regexp_replace(trim(url), '#.*$', '') AS bare FROM pages),
 p AS (
-  SELECT page_id, lower(regexp_extract(bare, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?]*)', 1)) AS site,
-         regexp_replace(regexp_extract(bare, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1), '/+$', '') AS path,
-         array_to_string(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'),
-                         lambda x: x <> '' AND NOT regexp_matches(string_split(x, '=')[1], '^(utm_.*|gclid|fbclid|msclkid)$')), '&') AS asked FROM b)
-SELECT page_id, site || path || CASE WHEN asked = '' THEN '' ELSE '?' || asked END AS canonical FROM p""",
+  SELECT page_id, lower(regexp_extract(bare, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?]+)', 1)) AS site,
+         regexp_replace(regexp_extract(bare, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]+([^?]*)', 1), '/+$', '') AS path,
+         list_transform(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'), lambda x: x <> ''),
+                        lambda x: {'k': url_decode(replace(split_part(x, '=', 1), '+', ' ')), 'v': url_decode(replace(regexp_extract(x, '^[^=]*=?(.*)$', 1), '+', ' '))}) AS pairs FROM b),
+q AS (SELECT *, array_to_string(list_transform(list_filter(pairs, lambda x: NOT regexp_matches(lower(x.k), '^(utm_.*|gclid|fbclid|msclkid|mc_cid|mc_eid)$')),
+             lambda x: replace(url_encode(x.k), '%20', '+') || '=' || replace(url_encode(x.v), '%20', '+')), '&') AS asked FROM p)
+SELECT page_id, CASE WHEN regexp_matches(site, '^https?://') THEN site || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN asked = '' THEN '' ELSE '?' || asked END END AS canonical FROM q""",
     "url_parts": r"""
 SELECT page_id, nullif(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1), '') AS host, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path,
        nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') AS page FROM pages""",

@@ -119,12 +119,11 @@ def best_thirds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bracket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rounds from the 32 best nations on: who meets whom, and who goes on.
-
-    Nations qualify by their tables over all groups; the rows left after each round are at most half of those before.
-    """
-    table = standings(spark, sf_dir).filter("pos <= 7").withColumn("strength", F.col("pts") * 1000 + F.col("dg"))
-    teams = tournament.seeded(table, ["pts", "dg", "gf"], 32).select(F.concat_ws(":", "grp", "team").alias("team"), "seed", "strength")
+    """The rounds from the 32 best teams of all groups on: who meets whom, and who goes on."""
+    table = standings(spark, sf_dir).withColumn("strength", F.col("pts") * 1000 + F.col("dg"))
+    best = tournament.seeded(table, ["pts", "dg", "gf"], 32).select(F.concat_ws(":", "grp", "team").alias("team"), "seed", "strength")
+    # 32 rows: the rounds are planned from them, not from the standings each.
+    teams = spark.createDataFrame(best.collect(), best.schema)
     rounds = None
     for k in range(5):
         played = tournament.play_round(teams).withColumn("round", F.lit(k + 1))
@@ -191,7 +190,7 @@ def future_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def strength_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Strength of each customer's supplier namesake: by its key, else by its nation's best, else 55."""
+    """Strength of each customer's supplier namesake: by its key, else by its nation's least, else 55."""
     suppliers = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", F.col("s_acctbal").alias("strength"))
     rows = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     return joins.looked_up(rows, suppliers, [("c_custkey", "s_suppkey"), ("c_nationkey", "s_nationkey")], "strength", F.lit(55.0)).select("c_custkey", "strength")
@@ -203,7 +202,23 @@ QUERIES = {
 }
 
 #: bracket has none: rounds follow from one another.
+_ROUNDS_SQL = ",".join(
+    f"""
+played{k} AS (
+  SELECT *, row_number() OVER (PARTITION BY match ORDER BY strength DESC, seed) = 1 AS won
+  FROM (SELECT *, least(place, many + 1 - place) AS match FROM (SELECT *, row_number() OVER (ORDER BY seed) AS place, count(*) OVER () AS many FROM teams{k}))),
+teams{k + 1} AS (SELECT team, seed, strength FROM played{k} WHERE won)"""
+    for k in range(1, 6)
+)
+
 ORACLE_SQL = {
+    "bracket": f"""
+WITH {STANDINGS_SQL},
+teams1 AS (
+  SELECT grp || ':' || team AS team, row_number() OVER (ORDER BY pts DESC, dg DESC, gf DESC, standings.team, grp) AS seed, pts * 1000 + dg AS strength
+  FROM standings ORDER BY seed LIMIT 32),{_ROUNDS_SQL}
+"""
+    + " UNION ALL ".join(f"SELECT {k} AS round, match, team, seed, won FROM played{k}" for k in range(1, 6)),
     "ranking_by_nation": """
 SELECT n_name, count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS spent
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
