@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -215,23 +216,17 @@ def plain_form(line):
     return b" ".join(re.sub(rb"[0-9]+", b"0", kept).split())
 
 
-def edit_distance(a, b):
-    row = np.arange(len(b) + 1)
-    other = np.frombuffer(b, np.uint8)
-    for x in a:
-        step = np.minimum(row[1:] + 1, row[:-1] + (other != x))
-        first = row[0] + 1
-        row = np.minimum.accumulate(np.concatenate(([first], step)) - np.arange(len(b) + 1)) + np.arange(len(b) + 1)
-    return int(row[-1])
-
-
 def test_line_dedup_against_brute_force(spark, sf_dir, docs):
     """Against groups by edit similarity alone: equal lines always group, similar ones nearly always, others never."""
+    from ledgerline.llm.lines import similar
+
     found = [(doc_id, n, plain_form(x)) for doc_id in sorted(docs) for n, x in enumerate(docs[doc_id].split("\n"))]
     found = [x for x in found if x[2]]
     forms = sorted({form for _, _, form in found}, key=len)
     near = {form: [] for form in forms}
     sizes = np.array([len(x) for x in forms])
+    letters = np.array([np.bincount(np.frombuffer(x, np.uint8), minlength=256) for x in forms])
+    grams = [Counter(x[k : k + 4] for k in range(len(x) - 3)) for x in forms]
     fours = np.zeros((len(forms), 1024), np.int16)  # an edit takes at most four of the runs of four bytes
     for i, x in enumerate(forms):
         for k in range(len(x) - 3):
@@ -240,8 +235,12 @@ def test_line_dedup_against_brute_force(spark, sf_dir, docs):
         upto = int(np.searchsorted(sizes, sizes[i] * 1.25 + 1, side="right"))
         able = np.zeros(len(forms), bool)
         able[i + 1 : upto] = np.minimum(fours[i + 1 : upto], fours[i]).sum(axis=1) >= sizes[i + 1 : upto] - 3 - 4 * (sizes[i + 1 : upto] // 5)
+        apart = letters[able] - letters[i]
+        able[able] = np.maximum(np.maximum(apart, 0).sum(axis=1), np.maximum(-apart, 0).sum(axis=1)) <= sizes[able] // 5
         for j in np.flatnonzero(able):
-            if 5 * edit_distance(a, forms[j]) <= sizes[j]:
+            shared = sum((grams[i] & grams[j]).values())
+            # similar() is held against plain dynamic programming in test_edges.
+            if shared >= sizes[j] - 3 - 4 * (sizes[j] // 5) and similar(a, forms[j]):
                 near[a].append(forms[j])
                 near[forms[j]].append(a)
     label = {}
