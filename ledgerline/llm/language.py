@@ -147,7 +147,9 @@ def trained(docs: DataFrame, sample_rows: int = 400) -> Hierarchy | None:
     kind = docs.schema["doc_id"].dataType.simpleString()
     # The broadcast side has at most sample_rows ids for each language.
     rows = known.select("doc_id", "lang", "text").join(F.broadcast(picked), "doc_id")
-    found = [r for r in rows.mapInArrow(measured, f"doc_id {kind}, lang string, raw binary").collect() if r.raw is not None]
+    features_of = rows.mapInArrow(measured, f"doc_id {kind}, lang string, raw binary").filter("raw is not null")
+    # Of rows that repeat an id and a language one is learned from, so that many rows are no more than the sample has ids.
+    found = features_of.groupBy("doc_id", "lang").agg(F.min("raw").alias("raw")).collect()
     if not found:
         return None
     found.sort(key=lambda r: (r.doc_id, r.lang, r.raw))

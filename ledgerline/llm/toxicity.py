@@ -27,6 +27,10 @@ PREFIXES = (3, 4, 5)
 PARTS = 1 + len(PREFIXES)
 #: Buckets that fewer texts to learn from hold stay at zero: what is seen so rarely would only be learned by heart.
 LEAST_TEXTS = 4
+#: Passes over the sample, and parts of it of which one is left out in turn for the calibration; at every size.
+EPOCHS, FOLDS = 3, 3
+#: What a marked text that is missed costs, where one that isn't marked and is taken for one costs 1.
+MISS = 2
 #: Distinct words that a worker remembers before it starts anew.
 MEMORY = 150_000
 #: Frequent function words by language.
@@ -158,25 +162,21 @@ class TextCNN:
         value -= rate * grad / np.sqrt(square)
 
     def calibrate(self, logits: np.ndarray, languages: np.ndarray, labels: np.ndarray, least: int = 20) -> None:
-        """Moves each language's zero point half the way to where errors are fewest.
-
-        A language with few texts of a class has the common point. It is half the way because the logits come from
-        classifiers of half the texts, which are less sure than the one of all.
-        """
+        """Moves each language's zero point to where errors cost least; one with few texts of a class has the common point."""
         whole = best_split(logits, labels)
         for k in range(len(self.offsets)):
             here = languages == k
             enough = min((labels[here] == 0).sum(), (labels[here] == 1).sum()) >= least
-            self.offsets[k] = 0.5 * (best_split(logits[here], labels[here]) if enough else whole)
+            self.offsets[k] = best_split(logits[here], labels[here]) if enough else whole
 
 
 def best_split(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The threshold with the fewest errors; of several, the middle of the widest gap."""
+    """The threshold with the least cost of errors; of several, the middle of the widest gap."""
     if not len(logits) or labels.min() == labels.max():
         return 0.0
     order = np.argsort(logits, kind="stable")
     x, y = logits[order], labels[order]
-    errors = np.concatenate(([0], np.cumsum(y == 1))) + (y == 0).sum() - np.concatenate(([0], np.cumsum(y == 0)))
+    errors = MISS * np.concatenate(([0], np.cumsum(y == 1))) + (y == 0).sum() - np.concatenate(([0], np.cumsum(y == 0)))
     low, high = np.concatenate(([x[0] - 1], x)), np.concatenate((x, [x[-1] + 1]))
     apart = high > low
     good = np.flatnonzero(apart & (errors == errors[apart].min()))
@@ -184,10 +184,47 @@ def best_split(logits: np.ndarray, labels: np.ndarray) -> float:
     return float((low[widest] + high[widest]) / 2)
 
 
+def learned(raws: list[bytes | None], y: np.ndarray, epochs: int = EPOCHS) -> TextCNN:
+    """A classifier of texts with labels `y` (both classes occur), its thresholds calibrated by language.
+
+    The logits that the thresholds are set by come from classifiers of FOLDS - 1 of FOLDS parts, each of the texts that it
+    hasn't seen, scaled to the spread that the classifier of all texts has on average: that of the folds' own texts.
+    """
+    words = Words()
+    numbers = [words.number(raw) for raw in raws]
+    languages = np.array([words.language(x) for x in numbers])
+    texts = [words.ids[x] for x in numbers]
+
+    def fitted(rows: np.ndarray) -> TextCNN:
+        model = TextCNN.fresh()
+        model.fit([texts[i] for i in rows], y[rows], epochs=epochs)
+        return model
+
+    def logits_of(model: TextCNN, rows: np.ndarray) -> np.ndarray:
+        responses = model.responses(words.ids[: len(words.place)])
+        return np.array([model.logit(responses[numbers[i]]) for i in rows])
+
+    logits, fold, spread = np.zeros(len(y)), np.zeros(len(y), np.int64), []
+    for label in (0, 1):
+        fold[y == label] = np.arange((y == label).sum()) % FOLDS
+    for k in range(FOLDS):
+        rows, unseen = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+        if len(unseen) and y[rows].min() != y[rows].max():
+            other = fitted(rows)
+            logits[unseen] = logits_of(other, unseen)
+            spread.append(np.abs(logits_of(other, rows)).mean())
+    everything = np.arange(len(y))
+    model = fitted(everything)
+    scale = np.abs(logits_of(model, everything)).mean() / max(float(np.mean(spread)), 1e-9) if spread else 1.0
+    model.calibrate(logits * scale, languages, y)
+    return model
+
+
 def trained(docs: DataFrame, labels: DataFrame, sample_rows: int = 6000) -> TextCNN | None:
     """A classifier learned from at most `sample_rows` labelled documents that aren't held out; None without both classes.
 
-    The sample holds the labelled rows of the smallest hashes of doc_id, half of it (if there are as many) toxic ones.
+    The sample holds the labelled ids of the smallest hashes of doc_id, half of it (if there are as many) toxic ones. Of
+    rows that repeat an id one is learned from, so the driver gets sample_rows texts at most.
     """
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -195,33 +232,12 @@ def trained(docs: DataFrame, labels: DataFrame, sample_rows: int = 6000) -> Text
     picked = known.filter("toxic = 1").orderBy(order, "doc_id").limit(sample_rows // 2).unionByName(known.filter("toxic = 0").orderBy(order, "doc_id").limit(sample_rows // 2))
     # The broadcast side has at most sample_rows rows.
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("raw")).join(F.broadcast(picked), "doc_id")
-    got = rows.collect()
-    got.sort(key=lambda r: (r.doc_id, r.raw or b""))
+    got = rows.groupBy("doc_id").agg(F.min("raw").alias("raw"), F.max("toxic").alias("toxic")).collect()
+    got.sort(key=lambda r: r.doc_id)
     y = np.array([r.toxic for r in got], np.int64)
     if not len(got) or y.min() == y.max():
         return None
-    words = Words()
-    numbers = [words.number(r.raw and bytes(r.raw)) for r in got]
-    languages = np.array([words.language(x) for x in numbers])
-    texts = [words.ids[x] for x in numbers]
-
-    def learned(rows: np.ndarray) -> TextCNN:
-        model = TextCNN.fresh()
-        model.fit([texts[i] for i in rows], y[rows], epochs=max(2, min(10, 12_000 // len(got))))
-        return model
-
-    # Logits for the calibration come from classifiers that haven't seen the text.
-    logits, fold = np.zeros(len(y)), np.zeros(len(y), np.int64)
-    for label in (0, 1):
-        fold[y == label] = np.arange((y == label).sum()) % 2
-    for k in (0, 1):
-        other = learned(np.flatnonzero(fold != k))
-        responses = other.responses(words.ids[: len(words.place)])
-        for i in np.flatnonzero(fold == k):
-            logits[i] = other.logit(responses[numbers[i]])
-    model = learned(np.arange(len(y)))
-    model.calibrate(logits, languages, y)
-    return model
+    return learned([r.raw and bytes(r.raw) for r in got], y)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 6000) -> DataFrame:

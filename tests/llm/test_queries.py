@@ -75,7 +75,47 @@ def test_toxicity_on_held_out_documents(spark, sf_dir):
     rows = QUERIES["op3_toxicity"](spark, sf_dir).collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
     held = [(r.predicted, truth[r.doc_id]) for r in rows if r.held_out and r.doc_id in truth]
-    assert sum(p == t for p, t in held) >= 0.9 * len(held)
+    assert sum(p == t for p, t in held) >= 0.95 * len(held) and sum(p and t for p, t in held) >= 0.6 * sum(t == 1 for _, t in held)
+
+
+def test_toxicity_finds_the_marked_texts():
+    """Recall and precision of class 1 on the held-out labels of a larger table, which always predicting 0 would fail."""
+    import pyarrow.parquet as pq
+
+    from ledgerline.llm import toxicity
+
+    truth = {r["doc_id"]: r["toxic"] for r in pq.read_table("/root/testdata/sf0.1/labels.parquet").to_pylist() if r["toxic"] in (0, 1)}
+    rows = [(r["doc_id"], (r["text"] or "").encode(), truth[r["doc_id"]]) for r in pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["doc_id", "text"]).to_pylist() if r["doc_id"] in truth]
+    known = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    model = toxicity.learned([r[1] for r in known], np.array([r[2] for r in known]))
+    words, hits = toxicity.Words(), {(p, t): 0 for p in (False, True) for t in (0, 1)}
+    for doc_id, raw, label in rows:
+        if zlib.crc32(str(doc_id).encode()) % 5 == 0:
+            numbers = words.number(raw)
+            hits[bool(model.logit(model.responses(words.ids[numbers])) >= model.offsets[words.language(numbers)]), label] += 1
+    assert hits[True, 1] >= 0.85 * (hits[True, 1] + hits[False, 1]) and hits[True, 1] >= 0.9 * (hits[True, 1] + hits[True, 0])
+
+
+@pytest.mark.parametrize(("widths", "learns"), [((1, 2, 3), True), ((1,), False)])
+def test_wide_filters_learn_the_order_of_words(monkeypatch, widths, learns):
+    """Texts that hold the same two words, in one order or the other: only filters of more than one word can tell."""
+    import random
+
+    from ledgerline.llm import toxicity
+
+    monkeypatch.setattr(toxicity, "WIDTHS", widths)
+    rng = random.Random(3)
+
+    def text(label):
+        words = [f"w{rng.randrange(40)}x" for _ in range(20)]
+        at = rng.randrange(19)
+        words[at : at + 2] = ["alpha", "beta"] if label else ["beta", "alpha"]
+        return " ".join(words).encode()
+
+    labels = np.arange(400) % 2
+    model, words = toxicity.learned([text(k) for k in labels], labels, epochs=12), toxicity.Words()
+    right = [(model.logit(model.responses(words.ids[words.number(text(k))])) >= model.offsets[-1]) == k for k in labels[:200]]
+    assert (np.mean(right) > 0.9) == learns
 
 
 def test_byte_bpe_is_what_tiktoken_gives(spark, sf_dir, docs):
