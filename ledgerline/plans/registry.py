@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import board, catalog, contests, history, nested, prices
+from . import board, catalog, contests, history, nested, prices, sheets
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**contests.QUERIES, **prices.QUERIES, **history.QUERIES, **nested.QUERIES, **board.QUERIES, **catalog.QUERIES}
-ORACLE_SQL: dict[str, str] = {**contests.ORACLE_SQL, **prices.ORACLE_SQL, **history.ORACLE_SQL, **nested.ORACLE_SQL, **board.ORACLE_SQL, **catalog.ORACLE_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**contests.QUERIES, **prices.QUERIES, **history.QUERIES, **nested.QUERIES, **board.QUERIES, **sheets.QUERIES, **catalog.QUERIES}
+ORACLE_SQL: dict[str, str] = {**contests.ORACLE_SQL, **prices.ORACLE_SQL, **history.ORACLE_SQL, **nested.ORACLE_SQL, **board.ORACLE_SQL, **sheets.ORACLE_SQL, **catalog.ORACLE_SQL}

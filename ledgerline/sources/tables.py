@@ -73,6 +73,10 @@ def overwrite(df: DataFrame, path: str) -> None:
 
 
 def append(df: DataFrame, path: str) -> None:
-    """Appends rows; none is no write."""
-    if not df.isEmpty():
-        df.write.mode("append").parquet(path)
+    """Appends rows, which may have other columns than those that are there; stored() reads the columns of all."""
+    df.write.mode("append").parquet(path)
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """A table that was appended to, with the columns of all appends; what a part of it lacks is null."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
