@@ -21,17 +21,18 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("u <> v").distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Labels each node that has an edge with the smallest node it can reach.
 
     `edges` has two long columns, a and b; direction, repeats, loops and nulls don't matter. Returns node, component.
-    Each round's edges are a table in the shared folder; the rounds end when a round changes nothing.
+    Each round's edges are a table in the shared folder; the rounds end when a round changes nothing, after a number that
+    grows with the logarithm of the longest path.
     """
     spark = edges.sparkSession
     now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v and a is not null and b is not null").distinct()
     old = None
     seen = None
-    for _ in range(max_rounds):
+    while True:
         path = new_path(spark, "edges")
         now.write.parquet(path)
         now = spark.read.schema("u long, v long").parquet(path)
@@ -43,6 +44,4 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         seen = state
         now = _star(_star(now, large=True), large=False)
-    else:
-        raise RuntimeError(f"components didn't settle in {max_rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
