@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +34,29 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Paths that new_path gave within each open scratch().
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes what operators wrote to the shared folder within it; results that need that must have been written before."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            remove(spark, path)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing uses yet; Hadoop removes it when the driver ends."""
+    """A path in the shared folder that nothing uses yet; Hadoop removes it when the driver ends, or scratch() before."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    if _OPEN:
+        _OPEN[-1].append(path)
     return path
 
 

@@ -187,7 +187,7 @@ def keys_of_lines(lines: DataFrame) -> DataFrame:
     """key, h and size of fresh lines: a key for each choice of two blocks that makes one."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        half, mark = np.uint64(0xFFFFFFFF), np.uint64(0x9E3779B97F4A7C15)
+        half = np.uint64(0xFFFFFFFF)
         for batch in batches:
             found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
             for k, first in enumerate((2, 2 + BLOCKS // 2 + 1)):  # words, then pairs of bytes
@@ -196,7 +196,7 @@ def keys_of_lines(lines: DataFrame) -> DataFrame:
                 good = batch.column(first + BLOCKS // 2).to_numpy()
                 for c, (i, j) in enumerate(CHOICES):
                     at = np.flatnonzero(good >> c & 1)
-                    key = (blocks[j][at] << np.uint64(32) | blocks[i][at]) ^ np.uint64(k * len(CHOICES) + c + 1) * mark
+                    key = (blocks[j][at] << np.uint64(32) | blocks[i][at]) ^ np.uint64((k * len(CHOICES) + c + 1) * _BASE & (1 << 64) - 1)
                     found.append((key.view(np.int64), at))
             key, at = (np.concatenate(x) for x in zip(*found, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(key), *(batch.column(i).take(pa.array(at)) for i in (0, 1))], names=["key", "h", "size"])

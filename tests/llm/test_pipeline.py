@@ -59,3 +59,24 @@ def test_run_against_the_stages_one_by_one(spark, sf_dir):
         expected.append((r.doc_id, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()))
     found = corpus_pipeline.run(spark, sf_dir).collect()
     assert sorted((r.doc_id, r.n_tokens, r.ids_sha256) for r in found) == sorted(expected)
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls in any column, empty and long texts, repeated rows, columns that clash with names the operators use."""
+    from pyspark.sql import functions as F
+
+    words = " ".join(f"{a}o{b}" for a in "bcdfghj" for b in "lmnprstv")
+    rows = [(1, words, "en", "web", 5), (1, words, "en", "web", 5), (2, None, None, None, None), (3, "", "en", "web", 0), (None, words + " more", None, None, 3), (4, " ".join(f"{a}{b}{c}{d}{e}" for a in "bcdfghjklm" for b in "aeiou" for c in "npqrstvwxz" for d in ("", *"aeiou") for e in "bcdfghjklmnpqrstvwxz"), "de", "b", 1), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in ("row", "file", "at", "line", "h", "group", "set", "raw", "removed", "n_removed", "size", "target", "taken", "slot", "place", "kept", "key", "ids"):
+        docs = docs.withColumn(name, F.lit("clash"))
+    found = {name: stage(spark, docs, "") for name, stage in corpus_pipeline.STAGES}
+    for name, _ in corpus_pipeline.STAGES[:-1]:
+        assert found[name].columns == docs.columns, name
+    ids = {name: sorted((r.doc_id for r in df.collect()), key=str) for name, df in found.items()}
+    assert ids["quality rules"] == [1, 1, 4, None]
+    assert ids["line dedup"] == [2, 3, 4, None, None]  # the null id comes first and keeps the line that both of id 1 repeat
+    assert ids["simhash near-dedup"] == [1, 2, 4]
+    assert set(ids["mixing sources"]) <= {1, 4, None} and ids["byte-level BPE"] == [1, 1, 2, 3, 4, None, None]
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), "").count() == 0, name
