@@ -7,6 +7,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 _SPACES = re.compile(r"\s+")
 
@@ -21,11 +22,11 @@ def unmarked(x: str | None) -> str | None:
     return None if x is None else "".join(c for c in unicodedata.normalize("NFD", x) if unicodedata.category(c) != "Mn")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def canonical_text(x: pd.Series) -> pd.Series:
     return x.map(canonical, na_action="ignore")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def without_all_marks(x: pd.Series) -> pd.Series:
     return x.map(unmarked, na_action="ignore")
