@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 from .common import whole_groups, written
 
 #: Neighbours of a node in the graph; orders by planes, and nodes that meet in a run of such an order.
-DEGREE, ORDERS, MEETING = 24, 4, 48
+DEGREE, ORDERS, MEETING = 28, 4, 48
 #: Of those that a node meets in a group, the best are passed on; share of new edges at which the graph has settled.
 PASSED, SETTLED = 10, 0.02
 #: Best nodes of a query that are expanded.
-BEAM = 56
+BEAM = 72
 
 
 def usable(vector: Column) -> Column:
@@ -44,7 +44,7 @@ def _units(x: np.ndarray) -> np.ndarray:
 
 
 def nodes_of(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, DataFrame]:
-    """The distinct vectors (node, exact: doubles, unit: halves), and the members (node, vec_id) that have each."""
+    """The distinct vectors (node, exact: doubles, unit: floats), and the members (node, vec_id) that have each."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
     rows = rows.filter(usable(F.col("vector")) & F.col("vec_id").isNotNull()).distinct()
 
@@ -55,13 +55,13 @@ def nodes_of(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFram
     rows = written(rows.mapInArrow(packed, "vec_id long, exact binary"), "vectors")
     classes = rows.groupBy("exact").agg(F.min("vec_id").alias("node"))
 
-    def halved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def floats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                units = _units(_stacked(batch.column(1), "<f8")).astype("<f2")
+                units = _units(_stacked(batch.column(1), "<f8")).astype("<f4")
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x.tobytes() for x in units], pa.binary())], names=["node", "exact", "unit"])
 
-    nodes = written(classes.select("node", "exact").mapInArrow(halved, "node long, exact binary, unit binary"), "nodes")
+    nodes = written(classes.select("node", "exact").mapInArrow(floats, "node long, exact binary, unit binary"), "nodes")
     return nodes, written(rows.join(nodes.select("node", "exact"), "exact").select("node", "vec_id"), "members")
 
 
@@ -76,7 +76,10 @@ def _column(table: pa.Table, i: int) -> np.ndarray:
 
 def _best_pairs(ids: np.ndarray, units: np.ndarray, worst: np.ndarray | None, new: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of nodes that meet: the best pairs (u, w, sim) of each that do better than its worst, one of the two being new."""
-    sim = units @ units.T
+    # By distances from the middle of those that meet: cosines of near-equal vectors would all round to one.
+    from_mean = units - units.mean(axis=0)
+    square = (from_mean * from_mean).sum(axis=1)
+    sim = 1 - (square[:, None] + square[None, :] - 2 * (from_mean @ from_mean.T)).astype(np.float64) / 2
     np.fill_diagonal(sim, -9)
     if new is not None:
         sim[~(new[:, None] | new[None, :])] = -9
@@ -88,16 +91,16 @@ def _best_pairs(ids: np.ndarray, units: np.ndarray, worst: np.ndarray | None, ne
 
 
 def _pairs(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    none = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))]
+    none = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float64))]
     u, w, sim = (np.concatenate(x) for x in zip(*(found or none), strict=True))
-    return pa.RecordBatch.from_arrays([pa.array(u), pa.array(w), pa.array(sim.astype(np.float64))], names=["u", "w", "sim"])
+    return pa.RecordBatch.from_arrays([pa.array(u), pa.array(w), pa.array(sim)], names=["u", "w", "sim"])
 
 
 def run_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows (node, unit) in an order: the best pairs of each node in its run of MEETING rows."""
     for batch in batches:
         if batch.num_rows > 1:
-            ids, units = batch.column(0).to_numpy(), _stacked(batch.column(1), "<f2").astype(np.float32)
+            ids, units = batch.column(0).to_numpy(), _stacked(batch.column(1), "<f4").astype(np.float32)
             cuts = [*range(0, max(1, len(ids) - MEETING // 2), MEETING), len(ids)]  # a short last run joins the one before
             yield _pairs([_best_pairs(ids[a:b], units[a:b], None, None) for a, b in zip(cuts, cuts[1:]) if b - a > 1])
 
@@ -106,7 +109,7 @@ def met_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows (group, node, new, worst, unit): the best pairs of each node in its group that do better than its worst."""
     for table in whole_groups(batches):
         group, node, new, worst = (_column(table, i) for i in range(4))
-        units = _stacked(table.column(4).combine_chunks(), "<f2").astype(np.float32)
+        units = _stacked(table.column(4).combine_chunks(), "<f4").astype(np.float32)
         yield _pairs([_best_pairs(node[a:b], units[a:b], worst[a:b], new[a:b] > 0) for a, b in zip(*_bounds(group)) if b - a > 1])
 
 
@@ -143,17 +146,19 @@ def neighbour_graph(nodes: DataFrame, seed: int = 11) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            units = _stacked(batch.column(1), "<f2").astype(np.float32)
+            units = _stacked(batch.column(1), "<f4").astype(np.float32)
             for turn in range(ORDERS):
                 # One row of numbers for each component, so that vectors of any length meet the same planes.
-                planes = np.random.default_rng(seed + turn).normal(size=(units.shape[1], 60)).astype(np.float32)
-                code = ((units @ planes) > 0) @ (1 << np.arange(59, -1, -1, dtype=np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(len(units), turn)), pa.array(code), batch.column(1)], names=["node", "turn", "code", "unit"])
+                products = units @ np.random.default_rng(seed + turn).normal(size=(units.shape[1], 61)).astype(np.float32)
+                code = (products[:, 1:] > 0) @ (1 << np.arange(59, -1, -1, dtype=np.int64))
+                # Vectors on the same side of all planes are in the order of one product more.
+                columns = [batch.column(0), pa.array(np.full(len(units), turn)), pa.array(code), pa.array(products[:, 0].astype(np.float64)), batch.column(1)]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "turn", "code", "along", "unit"])
 
-    rows = nodes.select("node", "unit").mapInArrow(coded, "node long, turn long, code long, unit binary")
+    rows = nodes.select("node", "unit").mapInArrow(coded, "node long, turn long, code long, along double, unit binary")
     # One more order is by chance alone: it joins what the planes keep apart.
-    rows = rows.unionByName(nodes.select("node", F.lit(ORDERS).cast("long").alias("turn"), F.xxhash64("node").alias("code"), "unit"))
-    ordered = rows.repartitionByRange("turn", "code", "node").sortWithinPartitions("turn", "code", "node").select("node", "unit")
+    rows = rows.unionByName(nodes.select("node", F.lit(ORDERS).cast("long").alias("turn"), F.xxhash64("node").alias("code"), F.lit(0.0).alias("along"), "unit"))
+    ordered = rows.repartitionByRange("turn", "code", "along", "node").sortWithinPartitions("turn", "code", "along", "node").select("node", "unit")
     edges = _graph(ordered.mapInArrow(run_pairs, "u long, w long, sim double").withColumn("new", F.lit(1)))
     fresh, before = edges.filter("new = 1").count(), None
     while fresh > SETTLED * n * DEGREE and (before is None or fresh < before):
@@ -197,12 +202,13 @@ def scored(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 def near_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows (query, node, unit), for each query its own vector first, with a null node: the cosines, about."""
     for table in whole_groups(batches):
-        query, units = _column(table, 0), _stacked(table.column(2).combine_chunks(), "<f2").astype(np.float32)
+        query, units = _column(table, 0), _stacked(table.column(2).combine_chunks(), "<f4").astype(np.float32)
         begins, ends = _bounds(query)
-        sims = np.einsum("ij,ij->i", units, np.repeat(units[begins], ends - begins, axis=0))
+        apart = units - np.repeat(units[begins], ends - begins, axis=0)
+        sims = 1 - np.einsum("ij,ij->i", apart, apart).astype(np.float64) / 2
         asked = np.zeros(len(query), bool)
         asked[begins] = True
-        rows = table.select([0, 1]).append_column("score", pa.array(sims.astype(np.float64))).filter(pa.array(~asked))
+        rows = table.select([0, 1]).append_column("score", pa.array(sims)).filter(pa.array(~asked))
         yield from rows.combine_chunks().to_batches()
 
 
