@@ -204,19 +204,20 @@ def learned(raws: list[bytes | None], y: np.ndarray, epochs: int = EPOCHS) -> Te
         responses = model.responses(words.ids[: len(words.place)])
         return np.array([model.logit(responses[numbers[i]]) for i in rows])
 
-    logits, fold, spread = np.zeros(len(y)), np.zeros(len(y), np.int64), []
+    logits, seen, fold, spread = np.zeros(len(y)), np.zeros(len(y), bool), np.zeros(len(y), np.int64), []
     for label in (0, 1):
         fold[y == label] = np.arange((y == label).sum()) % FOLDS
     for k in range(FOLDS):
         rows, unseen = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
-        if len(unseen) and y[rows].min() != y[rows].max():
+        if len(unseen) and len(set(y[rows].tolist())) == 2:
             other = fitted(rows)
-            logits[unseen] = logits_of(other, unseen)
+            logits[unseen], seen[unseen] = logits_of(other, unseen), True
             spread.append(np.abs(logits_of(other, rows)).mean())
     everything = np.arange(len(y))
     model = fitted(everything)
     scale = np.abs(logits_of(model, everything)).mean() / max(float(np.mean(spread)), 1e-9) if spread else 1.0
-    model.calibrate(logits * scale, languages, y)
+    if seen.any():  # else there are too few texts to leave any out, and the zero point stays
+        model.calibrate(logits[seen] * scale, languages[seen], y[seen])
     return model
 
 
