@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, htmltext, language, lines, mixing, neighbours, quality, rans, simhash, toxicity
+from . import audit, bpe, brown, htmltext, language, lines, mixing, neighbours, quality, rans, repair, simhash, toxicity
 from .common import documents, new_path
 
 
@@ -56,6 +56,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir))
 
 
+def op11_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.scored(documents(spark, sf_dir))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.audited(documents(spark, sf_dir, "conversations"))
+
+
+def op13_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_neighbours": op2_neighbours,
@@ -67,6 +79,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_rans": op9_rans,
     "op10_language": op10_language,
+    "op11_brown": op11_brown,
+    "op12_repair": op12_repair,
+    "op13_audit": op13_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -141,4 +156,90 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        AND NOT (10 * coalesce(list_max(map_values(list_histogram(w))), 0) > 3 * n_words)
        AND NOT (10 * len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) < 5 * n_words) AS kept
 FROM judged""",
+    "op12_repair": r"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda a, b: CASE WHEN (a & 1) = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t
+  FROM range(256) x(i)),
+c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(4294967295::BIGINT,
+             list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: ord(x)::BIGINT)),
+             lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS kind
+  FROM conversations, crc),
+d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM c WHERE kind <> 0),
+o AS (
+  SELECT *, left(role, 1) AS ini, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen FROM d),
+f AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+                 WHEN regexp_matches(text, '[^.!?\x20\x09-\x0D][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+         lag(ini) OVER (PARTITION BY conv_id ORDER BY i) AS prior FROM o),
+-- what is cheapest up to a turn for each state: cost, letters, rows; of equal costs the least letters
+s AS (
+  SELECT conv_id, 0::BIGINT AS i, {'c': 0::BIGINT, 'a': '', 'o': []::VARCHAR[]} AS s0, {'c': 1000000000000::BIGINT, 'a': '', 'o': []::VARCHAR[]} AS s1,
+         {'c': 3::BIGINT, 'a': 'I', 'o': ['user:']} AS s2, {'c': 6::BIGINT, 'a': 'II', 'o': ['user:', 'assistant:']} AS s3
+  FROM (SELECT DISTINCT conv_id FROM d)
+  UNION ALL
+  SELECT conv_id, i, n0, n1, m2, list_sort([n3, {'c': m2.c + 3, 'a': m2.a || 'I', 'o': list_append(m2.o, 'assistant:')}])[1] FROM (
+    SELECT conv_id, i, n0, n1, n3, list_sort([n2, {'c': n0.c + 3, 'a': n0.a || 'I', 'o': list_append(n0.o, 'user:')},
+           {'c': n1.c + 3, 'a': n1.a || 'I', 'o': list_append(n1.o, 'user:')}, {'c': n3.c + 3, 'a': n3.a || 'I', 'o': list_append(n3.o, 'user:')}])[1] AS m2 FROM (
+      SELECT conv_id, i, {'c': s0.c + 4, 'a': s0.a || 'D', 'o': s0.o} AS n0,
+             list_sort([{'c': s1.c + 4, 'a': s1.a || 'D', 'o': s1.o}, {'c': s0.c + cut + only_s, 'a': s0.a || 'K', 'o': list_append(s0.o, role || ':' || text)}])[1] AS n1,
+             list_sort([{'c': s2.c + 4, 'a': s2.a || 'D', 'o': s2.o},
+                        {'c': s0.c + cut + only_u, 'a': s0.a || 'K', 'o': list_append(s0.o, role || ':' || text)}, {'c': s0.c + cut + 3, 'a': s0.a || 'R', 'o': list_append(s0.o, 'user:' || text)},
+                        {'c': s1.c + cut + only_u, 'a': s1.a || 'K', 'o': list_append(s1.o, role || ':' || text)}, {'c': s1.c + cut + 3, 'a': s1.a || 'R', 'o': list_append(s1.o, 'user:' || text)},
+                        {'c': s3.c + cut + only_u, 'a': s3.a || 'K', 'o': list_append(s3.o, role || ':' || text)}, {'c': s3.c + cut + 3, 'a': s3.a || 'R', 'o': list_append(s3.o, 'user:' || text)}])[1] AS n2,
+             list_sort([{'c': s3.c + 4, 'a': s3.a || 'D', 'o': s3.o},
+                        {'c': s2.c + cut + only_a, 'a': s2.a || 'K', 'o': list_append(s2.o, role || ':' || text)}, {'c': s2.c + cut + 3, 'a': s2.a || 'R', 'o': list_append(s2.o, 'assistant:' || text)}])[1] AS n3
+      FROM (
+        SELECT s.conv_id, f.i, s0, s1, s2, s3, role, text,
+               CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000000000 WHEN fault = 'truncated' THEN 3 ELSE 0 END AS cut,
+               CASE WHEN ini = 's' THEN 0 ELSE 1000000000000 END AS only_s, CASE WHEN ini = 'u' THEN 0 ELSE 1000000000000 END AS only_u,
+               CASE WHEN ini = 'a' THEN 0 ELSE 1000000000000 END AS only_a
+        FROM s JOIN f ON s.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = s.i + 1)))),
+totals AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (prior IS NOT NULL AND prior || ini NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id),
+best AS (
+  SELECT totals.*, list_sort([s0, s3])[1] AS b FROM totals JOIN s ON s.conv_id IS NOT DISTINCT FROM totals.conv_id AND s.i = totals.n)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(b.c, 0) AS cost, coalesce(b.a, '') AS audit,
+       sha256(coalesce(array_to_string(b.o, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN best ON a.conv_id IS NOT DISTINCT FROM best.conv_id""",
+    "op13_audit": r"""
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, bool_or(coalesce(quality = 1, FALSE)) AS good, bool_or(coalesce(toxic = 1, FALSE)) AS toxic FROM labels GROUP BY doc_id),
+d AS (
+  SELECT part, coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic,
+         CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN w.doc_id > min(w.doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+counts AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM d GROUP BY part, fails),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, step, 1) AS x, left(filter_order, step - 1) AS before FROM orders, range(1, 6) r(step)),
+told AS (
+  SELECT part, filter_order, step, x, n, good, toxic, fails = x AS alone, contains(fails, x) AS hit,
+         length(before) > 0 AND length(translate(fails, before, '')) < length(fails) AS gone
+  FROM counts, steps),
+audit AS (
+  SELECT part, filter_order, step, x, coalesce(sum(n) FILTER (NOT gone AND NOT hit), 0) AS kept, coalesce(sum(n) FILTER (NOT gone AND hit), 0) AS removed,
+         coalesce(sum(n) FILTER (gone AND hit), 0) AS redundant, coalesce(sum(n) FILTER (alone), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (NOT gone AND hit), 0) AS good_lost, coalesce(sum(toxic) FILTER (NOT gone AND hit), 0) AS toxic_lost
+  FROM told GROUP BY part, filter_order, step, x)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM audit""",
 }
