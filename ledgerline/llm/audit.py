@@ -20,7 +20,7 @@ from fractions import Fraction
 from itertools import permutations
 from math import factorial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SPACES = r"[\x20\x09-\x0D]+"
@@ -61,9 +61,9 @@ def failures(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("doc_id").isNull(), F.col("n"))), F.lit(0)).alias("bare"),
         F.min("doc_id").alias("least"), F.min_by("n", "doc_id").alias("at_least"),
     )
-    firsts = texts.groupBy("digest").agg(F.min("least").alias("first"))
-    # A text has at most parts x 4 rows here, so the join has no hot key; all ids null: no first, and no copies.
-    told = texts.join(firsts, "digest").withColumn("fresh", F.col("bare") + F.when(F.col("least") == F.col("first"), F.col("at_least")).otherwise(0))
+    # A text has at most parts x 4 rows here, so no window is hot; all ids null: no first, and no copies.
+    first = F.min("least").over(Window.partitionBy("digest"))
+    told = texts.withColumn("fresh", F.col("bare") + F.when(F.col("least") == first, F.col("at_least")).otherwise(0))
     split = F.array(
         F.struct(F.col("mask").alias("mask"), F.col("fresh").alias("n")),
         F.struct(F.col("mask").bitwiseOR(1 << 4).alias("mask"), (F.col("n") - F.col("fresh")).alias("n")),
