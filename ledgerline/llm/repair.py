@@ -186,7 +186,9 @@ def edited_blocks(turns: DataFrame) -> DataFrame:
     """
     blocks = turns.groupBy("conv_id", F.shiftright("place", BITS).alias("block")).agg(F.sort_array(F.collect_list(F.struct("place", "sign"))).alias("turns"))
     signs = blocks.select("conv_id", F.struct("block", F.concat_ws("", "turns.sign").alias("signs")).alias("part"))
-    whole = signs.groupBy("conv_id").agg(F.sort_array(F.collect_list("part")).alias("parts")).select("conv_id", "parts.block", "parts.signs")
+    # Signs are few bytes but much work, so the number of tasks must not follow their size.
+    spread = signs.repartition(int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions")), "conv_id")
+    whole = spread.groupBy("conv_id").agg(F.sort_array(F.collect_list("part")).alias("parts")).select("conv_id", "parts.block", "parts.signs")
 
     def edit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
