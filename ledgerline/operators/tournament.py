@@ -37,17 +37,3 @@ def play_round(teams: DataFrame) -> DataFrame:
     placed = placed.withColumn("match", F.least("place", F.col("many") + 1 - F.col("place")))
     rank = Window.partitionBy("match").orderBy(F.desc("strength"), "seed")
     return placed.withColumn("won", F.row_number().over(rank) == 1).drop("place", "many")
-
-
-def allocate_thirds(slots: list[tuple[str, str]], thirds: list[tuple[str, str]]) -> dict[str, str]:
-    """Gives each slot (name, allowed groups), in order, the best third (team, group) left that it allows, else the best left.
-
-    The order matters and there are at most a dozen of each, so this is a loop on the driver.
-    """
-    left, out = list(thirds), {}
-    for name, groups in slots:
-        pick = next((t for t in left if t[1] in groups), left[0] if left else None)
-        if pick:
-            left.remove(pick)
-            out[name] = pick[0]
-    return out

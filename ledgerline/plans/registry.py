@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import board, catalog, contests, history, nested, prices, sheets
+from . import board, catalog, contests, history, nested, prices, sheets, tournaments
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**contests.QUERIES, **prices.QUERIES, **history.QUERIES, **nested.QUERIES, **board.QUERIES, **sheets.QUERIES, **catalog.QUERIES}
-ORACLE_SQL: dict[str, str] = {**contests.ORACLE_SQL, **prices.ORACLE_SQL, **history.ORACLE_SQL, **nested.ORACLE_SQL, **board.ORACLE_SQL, **sheets.ORACLE_SQL, **catalog.ORACLE_SQL}
+_MODULES = (contests, prices, history, nested, board, sheets, catalog, tournaments)
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
+ORACLE_SQL: dict[str, str] = {name: sql for module in _MODULES for name, sql in module.ORACLE_SQL.items()}

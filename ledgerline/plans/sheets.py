@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions import ids, model, results, text
-from ..operators import joins, tournament, windows
+from ..operators import joins, knockout, windows
 from ..sources import tables
 from ..sources.tables import read
 
@@ -75,9 +75,14 @@ def thirds_allocated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best thirds given to the slots that allow their groups, in order; a slot that none fits gets the best left."""
     from .contests import standings
 
-    table = standings(spark, sf_dir).filter("pos = 3").orderBy(F.desc("pts"), F.desc("dg"), F.desc("gf"), "team", "grp").limit(4).select(F.col("team").cast("string").alias("team"), "grp")
-    given = tournament.allocate_thirds([("S1", "13"), ("S2", "245"), ("S3", "1"), ("S4", "5")], [(r.team, r.grp[0]) for r in table.collect()])  # four rows
-    return spark.createDataFrame(sorted(given.items()), "slot string, team string")
+    table = standings(spark, sf_dir).filter("pos = 3").orderBy(F.desc("pts"), F.desc("dg"), F.desc("gf"), "team", "grp").limit(4)
+    seed = F.row_number().over(Window.orderBy(F.desc("pts"), F.desc("dg"), F.desc("gf"), "team", "grp"))  # four rows
+    entrants = table.select(F.lit(1).alias("cup"), F.col("team").cast("string").alias("team"), F.substring("grp", 1, 1).alias("digit"), seed.alias("seed"))
+    # Groups are letters in slots; here they are digits.
+    entrants = entrants.select("cup", "team", F.translate("digit", "12345", "ABCDE").alias("grp"), F.lit("third").alias("how"), "seed")
+    slots = spark.createDataFrame([(1, 1, "3AC"), (1, 2, "3BDE"), (1, 3, "3A"), (1, 4, "3E")], "cup int, place int, slot string")
+    given = knockout.allocated(slots, entrants, thirds_fall_back=True).filter("team is not null")
+    return given.select(F.concat(F.lit("S"), F.col("place").cast("string")).alias("slot"), "team")
 
 
 def order_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
