@@ -116,8 +116,10 @@ def exactly_one(left: DataFrame, right: DataFrame, on: list[str], row: str, othe
     both = left.select(*on, F.col(row).alias("l"), F.lit(None).cast(right.schema[other].dataType).alias("r")).unionByName(right.select(*on, F.lit(None).cast(left.schema[row].dataType).alias("l"), F.col(other).alias("r")))
     groups = both.groupBy(*on).agg(F.count("l").alias("n_left"), F.count("r").alias("n_right"), F.min("r").alias("r"))
     verdict = F.when(F.coalesce("n_right", F.lit(0)) == 0, "NONE").when((F.col("n_right") == 1) & (F.col("n_left") == 1), "MATCHED").otherwise("AMBIGUOUS")
-    named = left.join(groups, on, "left").withColumn("verdict", verdict)
-    return named.select(F.col(row), F.when(F.col("verdict") == "MATCHED", F.col("r")).alias(other), "verdict")
+    groups = groups.withColumnsRenamed({c: f"_g_{c}" for c in on})
+    same = [left[c].eqNullSafe(groups[f"_g_{c}"]) for c in on]  # a null attribute equals a null one, as it does in groups
+    named = left.join(groups, same, "left").withColumn("verdict", verdict)
+    return named.select(left[row], F.when(F.col("verdict") == "MATCHED", F.col("r")).alias(other), "verdict")
 
 
 def total_changes(pages: DataFrame, part: str, order: str, total: str) -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import ids, pricing
-from ..operators import scd2
+from ..operators import binding, scd2
 from ..sources.tables import read
+from . import evidence
 from .prices import RUN_FROM, STORED_UNTIL, _latest, _observed, _shown
 
 _SHOWN = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f') AS {0}"
@@ -80,9 +81,10 @@ def run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _run_rows(spark, sf_dir)
     actions = scd2.merge_run(_stored_periods(spark, sf_dir), _observed(spark, sf_dir), "user_id", "event_type", "ts").filter("valid_to is null").groupBy().pivot("action", ["created", "changed", "confirmed", "stale", "untouched"]).count()
     broken = _violations(spark, sf_dir).agg(F.sum("n").alias("violations"))
-    # A sum of the rows' hashes binds the record to its input in any order.
-    bound = rows.agg(F.count("*").alias("observed"), F.sum(F.conv(F.substring(F.sha2(F.concat_ws(":", "event_id", "state_hash"), 256), 1, 8), 16, 10).cast("long")).alias("evidence"), _shown(F.min("ts")).alias("first_seen"), _shown(F.max("ts")).alias("last_seen"))
-    joined = bound.crossJoin(F.broadcast(broken)).crossJoin(F.broadcast(actions))  # three tables of one row
+    # The root of a tree of digests binds the record to its rows in any order.
+    root = binding.merkle_roots(rows, [], ["event_id", "state_hash"]).select(F.col("root").alias("evidence"))
+    bound = rows.agg(F.count("*").alias("observed"), _shown(F.min("ts")).alias("first_seen"), _shown(F.max("ts")).alias("last_seen"))
+    joined = bound.crossJoin(F.broadcast(root)).crossJoin(F.broadcast(broken)).crossJoin(F.broadcast(actions))  # four tables of one row
     free = F.col("violations") == 0
     counts = [F.when(free, F.coalesce(c, F.lit(0))).otherwise(0).alias(c) for c in ("created", "changed", "confirmed")]
     return joined.select(F.when(free, "APPLIED").otherwise("REJECTED").alias("status"), "observed", "violations", "evidence", "first_seen", "last_seen", *counts)
@@ -234,9 +236,10 @@ UNION ALL SELECT action, count(*), count(*) FILTER (valid_to IS NULL) FROM merge
     "run_record": f"""
 WITH {_MERGE_SQL}, {_RUN_SQL.lstrip()},
 v AS (SELECT CAST(sum(n) AS BIGINT) AS violations FROM violations),
+said AS (SELECT 0 AS run, sha256('{{"event_id":' || event_id || ',"state_hash":"' || state_hash || '"}}') AS digest FROM run),{evidence.tree_sql("t", "said")},
 c AS (SELECT count(*) FILTER (action = 'created') AS created, count(*) FILTER (action = 'changed') AS changed, count(*) FILTER (action = 'confirmed') AS confirmed FROM merged WHERE valid_to IS NULL)
 SELECT CASE WHEN violations = 0 THEN 'APPLIED' ELSE 'REJECTED' END AS status, count(*) AS observed, violations,
-       CAST(sum(CAST('0x' || substr(sha256(event_id || ':' || state_hash), 1, 8) AS BIGINT)) AS BIGINT) AS evidence,
+       (SELECT node FROM t_n3) AS evidence,
        strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_seen, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_seen,
        CASE WHEN violations = 0 THEN created ELSE 0 END AS created, CASE WHEN violations = 0 THEN changed ELSE 0 END AS changed, CASE WHEN violations = 0 THEN confirmed ELSE 0 END AS confirmed
 FROM run, v, c GROUP BY ALL""",

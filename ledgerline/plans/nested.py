@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import ids
+from ..functions import ids, strict_json
 from ..operators import payload
 from ..sources.tables import read
 
@@ -211,11 +211,9 @@ def strict_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k")
     e = F.col("event_id")
     body = F.when(e % 11 == 0, F.concat(F.lit('{"k": 1, "k": '), k, F.lit("}"))).when(e % 13 == 0, F.lit('{"k": NaN}')).when(e % 17 == 0, F.lit('{"k": 90071992547409921}')).when(e % 19 == 0, F.lit('{"k": -Infinity}')).otherwise(F.col("props"))
-    keys = F.regexp_extract_all(F.col("body"), F.lit(r'"([^"]*)"\s*:'), F.lit(1))
-    whole = F.regexp_extract_all(F.col("body"), F.lit(r":\s*(-?[0-9]+)"), F.lit(1))
-    rows = read(spark, sf_dir, "events").select(F.coalesce(body, F.lit("")).alias("body"))
-    fault = F.when(F.size(F.array_distinct(keys)) < F.size(keys), "repeated_key").when(F.col("body").rlike(r":\s*-?(NaN|Infinity)"), "not_a_number").when(F.exists(whole, lambda x: F.abs(x.cast("decimal(38,0)")) > F.lit(2**53).cast("decimal(38,0)")), "unsafe_integer").otherwise("fine")
-    return rows.select(fault.alias("fault")).groupBy("fault").agg(F.count("*").alias("n"))
+    rows = read(spark, sf_dir, "events").select(body.alias("body"))
+    fault = strict_json.verdict(F.col("body"))
+    return rows.select(F.when(fault == "not_finite", "not_a_number").otherwise(fault).alias("fault")).groupBy("fault").agg(F.count("*").alias("n"))
 
 
 QUERIES = {
@@ -347,6 +345,6 @@ WITH s AS (SELECT ([200, 204, 301, 401, 403, 404, 408, 429, 500, 503])[event_id
 SELECT status, CASE WHEN status < 300 THEN 'OK' WHEN status IN (401, 403) THEN 'STOP_FORBIDDEN' WHEN status = 429 THEN 'STOP_RATE_LIMITED' WHEN status >= 500 THEN 'STOP_SERVER'
        WHEN status < 400 THEN 'STOP_REDIRECT' ELSE 'STOP_CLIENT' END AS kind, count(*) AS n FROM s GROUP BY ALL""",
     "strict_numbers": """
-SELECT CASE WHEN event_id % 11 = 0 AND json_extract_string(props, '$.k') IS NOT NULL THEN 'repeated_key' WHEN event_id % 11 = 0 THEN 'fine' WHEN event_id % 13 = 0 THEN 'not_a_number' WHEN event_id % 17 = 0 THEN 'unsafe_integer'
-            WHEN event_id % 19 = 0 THEN 'not_a_number' ELSE 'fine' END AS fault, count(*) AS n FROM events GROUP BY 1""",
+SELECT CASE WHEN event_id % 11 = 0 AND json_extract_string(props, '$.k') IS NOT NULL THEN 'repeated_key' WHEN event_id % 11 = 0 THEN 'missing' WHEN event_id % 13 = 0 THEN 'not_a_number' WHEN event_id % 17 = 0 THEN 'unsafe_integer'
+            WHEN event_id % 19 = 0 THEN 'not_a_number' WHEN props IS NULL THEN 'missing' ELSE 'fine' END AS fault, count(*) AS n FROM events GROUP BY 1""",
 }
