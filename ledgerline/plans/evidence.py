@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import strict_json
-from ..operators import binding
+from ..operators import binding, trees
 from ..sources.tables import read
 
 
@@ -73,7 +73,48 @@ def reconciled_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binding.differing(_records(rows), _records(changed), ["run"], _RECORD).select("run", "verdict", F.array_join("fields", ",").alias("fields"))
 
 
-QUERIES = {f.__name__: f for f in (strict_bodies, run_evidence, reconciled_runs)}
+def _deep_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree for each part, up to eleven levels deep, of which most have a fault somewhere: tree, body."""
+    k, n = F.col("p_partkey"), F.col("p_partkey") % 11 + 1
+    kind, spot = k % 14, k % 5 + 1
+    quantity = lambda i: F.lit(1000) - i * 7
+
+    def node(level, value, amount, children):  # noqa: ANN001, ANN202
+        return F.concat(F.lit('{"key":"category-'), level.cast("string"), F.lit('","value":"'), value, F.lit('","quantity":'), amount, F.lit(',"children":'), children, F.lit("}"))
+
+    def around(inner, i):  # noqa: ANN001, ANN202
+        """Level i: the branch that holds all deeper levels, with a leaf beside it, and what is wrong with either."""
+        here, said = i == spot, F.concat(F.lit("v"), i.cast("string"))
+        amount = quantity(i).cast("string")
+        branch = node(i, said, amount, inner)
+        leaf = node(i, F.lit("leaf"), F.lit("3"), F.lit("[]"))
+        odd = (
+            F.when(kind == 1, node(i, F.lit("odd"), F.lit('"5"'), F.lit("[]")))
+            .when(kind == 2, node(i, F.lit("odd"), F.lit("-2"), F.lit("[]")))
+            .when(kind == 3, node(i + 2, F.lit("odd"), F.lit("4"), F.lit("[]")))
+            .when(kind == 4, F.concat(F.lit('{"key":"category-'), i.cast("string"), F.lit('","value":"odd","quantity":4}')))
+            .when(kind == 5, node(i, F.lit("odd"), F.lit("5000"), F.lit("[]")))
+            .when(kind == 6, branch)  # the same again
+            .when(kind == 7, node(i, said, amount, F.lit("[]")))  # the same path, but nothing below
+            .when(kind == 8, F.lit("17"))
+            .when(kind == 9, node(i, F.lit("odd"), F.lit("4"), F.lit('{"a":1}')))
+            .when(kind == 10, node(i, F.lit(" "), F.lit("4"), F.lit("[]")))
+            .when(kind == 11, node(i, F.lit("odd"), F.lit("4"), F.lit('[{"quantity":null}]')))
+        )
+        return F.concat(F.lit("["), branch, F.lit(","), leaf, F.when(here & odd.isNotNull(), F.concat(F.lit(","), odd)).otherwise(""), F.lit("]"))
+
+    body = F.aggregate(F.reverse(F.sequence(F.lit(1), n.cast("int"))), F.lit("[]"), around)
+    return read(spark, sf_dir, "part").select(k.alias("tree"), F.when(k % 97 == 0, '{"rows":1}').otherwise(body).alias("body"))
+
+
+def deep_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report on each tree of categories: what it holds, and all that is wrong with it."""
+    given = _deep_trees(spark, sf_dir)
+    report = trees.tree_report(given, trees.tree_nodes(given))
+    return report.withColumn("faults", F.array_join("faults", ","))
+
+
+QUERIES = {f.__name__: f for f in (strict_bodies, run_evidence, reconciled_runs, deep_trees)}
 
 
 def tree_sql(name: str, said: str) -> str:
@@ -122,7 +163,59 @@ bodies AS (
     ELSE coalesce(props, '{}') END AS body
   FROM events)"""
 
+_AROUND = """'[' || branch || ',' || leaf || CASE WHEN i = spot AND kind BETWEEN 1 AND 11 THEN ',' || CASE kind
+    WHEN 1 THEN '{"key":"category-' || i || '","value":"odd","quantity":"5","children":[]}' WHEN 2 THEN '{"key":"category-' || i || '","value":"odd","quantity":-2,"children":[]}'
+    WHEN 3 THEN '{"key":"category-' || (i + 2) || '","value":"odd","quantity":4,"children":[]}' WHEN 4 THEN '{"key":"category-' || i || '","value":"odd","quantity":4}'
+    WHEN 5 THEN '{"key":"category-' || i || '","value":"odd","quantity":5000,"children":[]}' WHEN 6 THEN branch
+    WHEN 7 THEN '{"key":"category-' || i || '","value":"v' || i || '","quantity":' || (1000 - i * 7) || ',"children":[]}' WHEN 8 THEN '17'
+    WHEN 9 THEN '{"key":"category-' || i || '","value":"odd","quantity":4,"children":{"a":1}}' WHEN 10 THEN '{"key":"category-' || i || '","value":" ","quantity":4,"children":[]}'
+    ELSE '{"key":"category-' || i || '","value":"odd","quantity":4,"children":[{"quantity":null}]}' END ELSE '' END || ']'"""
+
 ORACLE_SQL: dict[str, str] = {
+    # The trees are built and walked by recursion; two nodes of a path are alike if all that is below them is.
+    "deep_trees": f"""
+WITH RECURSIVE built AS (
+  SELECT p_partkey AS tree, p_partkey % 11 + 1 AS i, p_partkey % 14 AS kind, p_partkey % 5 + 1 AS spot, '[]' AS body FROM part
+  UNION ALL
+  SELECT tree, i - 1, kind, spot, {_AROUND} FROM (
+    SELECT *, '{{"key":"category-' || i || '","value":"v' || i || '","quantity":' || (1000 - i * 7) || ',"children":' || body || '}}' AS branch,
+           '{{"key":"category-' || i || '","value":"leaf","quantity":3,"children":[]}}' AS leaf FROM built WHERE i >= 1)),
+given AS (SELECT tree, CASE WHEN tree % 97 = 0 THEN '{{"rows":1}}' ELSE body END AS body FROM built WHERE i = 0),
+walk AS (
+  SELECT tree, []::BIGINT[] AS place, []::VARCHAR[] AS path, NULL::BIGINT AS above, 0::BIGINT AS level, 0::BIGINT AS expected, NULL::BIGINT AS quantity, CAST(body AS JSON) AS kids,
+         json_type(body) = 'ARRAY' AS normal, NULL::VARCHAR AS fatal, NULL::VARCHAR AS ends FROM given
+  UNION ALL
+  SELECT tree, place, list_append(path, key || '=' || value), above, level, expected, quantity, kids, fatal IS NULL AND ends IS NULL, fatal, CASE WHEN fatal IS NULL THEN ends END FROM (
+    SELECT *, CASE WHEN json_type(node) <> 'OBJECT' THEN 'node_not_object' WHEN quantity IS NULL THEN 'quantity_not_integer' WHEN quantity < 0 THEN 'negative_quantity'
+                   WHEN level IS NULL OR value = '' THEN CASE WHEN quantity > 0 THEN 'invalid_positive_leaf' ELSE 'invalid_node_identity' END END AS fatal,
+           CASE WHEN kids IS NULL THEN 'children_missing' WHEN json_type(kids) <> 'ARRAY' THEN 'children_not_sequence' END AS ends FROM (
+      SELECT tree, list_append(place, pos) AS place, path, quantity AS above, level + 1 AS expected, node,
+             CASE WHEN json_type(node, '$.quantity') IN ('BIGINT', 'UBIGINT') THEN CAST(json_extract(node, '$.quantity') AS BIGINT) END AS quantity,
+             trim(coalesce(json_extract_string(node, '$.key'), '')) AS key, trim(coalesce(json_extract_string(node, '$.value'), '')) AS value,
+             TRY_CAST(regexp_extract(coalesce(json_extract_string(node, '$.key'), ''), '^category-([1-9][0-9]*)$', 1) AS BIGINT) AS level, json_extract(node, '$.children') AS kids
+      FROM (SELECT *, json_extract(kids, '$[' || pos || ']') AS node FROM (SELECT *, unnest(range(CAST(json_array_length(kids) AS BIGINT))) AS pos FROM walk WHERE normal))))),
+nodes AS (SELECT * FROM walk WHERE len(place) > 0),
+below AS (
+  SELECT a.tree, a.place, a.path, string_agg(array_to_string(b.path[len(a.path):], '/') || '#' || b.quantity, '|' ORDER BY array_to_string(b.path[len(a.path):], '/') || '#' || b.quantity) AS look,
+         count(*) FILTER (len(b.place) = len(a.place) + 1) AS n_normal
+  FROM nodes a JOIN nodes b ON a.tree = b.tree AND a.normal AND b.normal AND b.place[1:len(a.place)] = a.place GROUP BY ALL),
+paths AS (
+  SELECT n.tree, n.path, count(*) AS n, count(DISTINCT look) AS kinds, min_by(json_array_length(kids), n.place) AS n_kids, min_by(n_normal, n.place) AS n_normal, min_by(quantity, n.place) AS quantity
+  FROM nodes n JOIN below b ON b.tree = n.tree AND b.place = n.place GROUP BY ALL),
+faults AS (
+  SELECT tree, fatal AS fault FROM nodes WHERE fatal IS NOT NULL UNION SELECT tree, ends FROM nodes WHERE ends IS NOT NULL
+  UNION SELECT tree, 'category_level_above_limit' FROM nodes WHERE fatal IS NULL AND level > 8
+  UNION SELECT tree, 'contradictory_topology' FROM nodes WHERE fatal IS NULL AND level <> expected
+  UNION SELECT tree, 'child_quantity_exceeds_parent' FROM nodes WHERE fatal IS NULL AND quantity > above
+  UNION SELECT tree, 'duplicate_structural_node_conflict' FROM paths WHERE kinds > 1
+  UNION SELECT tree, 'positive_branch_without_valid_children' FROM paths WHERE n_kids > 0 AND n_normal = 0
+  UNION SELECT tree, 'facets_not_sequence' FROM given WHERE json_type(body) <> 'ARRAY'),
+a AS (SELECT tree, count(*) AS nodes_seen, count(*) FILTER (quantity > 0) AS positive_nodes FROM nodes GROUP BY tree),
+b AS (SELECT tree, sum(n - 1) AS duplicates, count(*) FILTER (n_kids = 0) AS leaves, sum(quantity) FILTER (n_kids = 0) AS leaf_quantity FROM paths GROUP BY tree),
+c AS (SELECT tree, string_agg(fault, ',' ORDER BY fault) AS faults FROM faults GROUP BY tree)
+SELECT g.tree, coalesce(nodes_seen, 0) AS nodes_seen, coalesce(positive_nodes, 0) AS positive_nodes, CAST(coalesce(duplicates, 0) AS BIGINT) AS duplicates, coalesce(leaves, 0) AS leaves,
+       CAST(coalesce(leaf_quantity, 0) AS BIGINT) AS leaf_quantity, coalesce(faults, '') AS faults, faults IS NULL AS complete
+FROM given g LEFT JOIN a ON a.tree = g.tree LEFT JOIN b ON b.tree = g.tree LEFT JOIN c ON c.tree = g.tree""",
     # What repeats, and which numbers there are, by the other engine's own tree of each well-formed body.
     "strict_bodies": f"""
 WITH {_BODIES_SQL.strip()},
