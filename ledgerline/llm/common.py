@@ -83,6 +83,11 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def all_columns(df: DataFrame) -> list[Column]:
+    """The columns of `df` for a select, whatever dots and backticks their names have."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
+
+
 def _is_scan(df: DataFrame) -> bool:
     """Whether `df` is nothing but a scan of files."""
     plan = df._jdf.queryExecution().analyzed()
@@ -97,7 +102,8 @@ def numbered_rows(df: DataFrame, name: str) -> tuple[str, DataFrame]:
     """
     row = free_names(df, name)[0]
     scan = df if _is_scan(df) else written(df, "staged")
-    place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    of_file = scan.metadataColumn("_metadata")  # also where the table has a column of that name
+    place = F.struct(F.xxhash64(of_file["file_path"]).alias("file"), of_file["row_index"].alias("at"))
     return row, scan.withColumn(row, place)
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, numbered_rows, whole_groups, written
+from .common import all_columns, free_names, numbered_rows, whole_groups, written
 from .components import components
 
 #: Lines are linked from this edit similarity on.
@@ -443,4 +443,4 @@ def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
     kept = F.array_join(F.filter(F.transform(parts, lambda x, i: F.when(~F.array_contains(removed, i.cast("long")), x)), lambda x: x.isNotNull()), "\n")
     text = F.when(F.col(removed).isNull(), F.col(text_col)).otherwise(kept)
     n = F.when(F.col(removed).isNull(), 0).otherwise(F.size(removed)).cast("long")
-    return joined.withColumn(text_col, text).withColumn(n_removed, n).select(*docs.columns, n_removed)
+    return joined.withColumn(text_col, text).withColumn(n_removed, n).select(*all_columns(docs), n_removed)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, free_names, numbered_rows, written
+from .common import WORD, all_columns, free_names, numbered_rows, written
 
 GOLDEN = 0.6180339887498949
 #: Words of a block: a SLOTS-th of the mix, so that a few blocks are little of any target, up to BLOCK words.
@@ -139,4 +139,4 @@ def mixed_documents(docs: DataFrame, source_col: str = "source", text_col: str =
     cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)), F.lit(1), F.col(taken).cast("int")), " ")
     whole = staged.join(turns, row).withColumn(text_col, F.when(F.col(taken) < F.col(size), cut).otherwise(F.col(text_col)))
     ordered = whole.repartitionByRange(F.col(slot), F.col(place)).sortWithinPartitions(slot, place)
-    return ordered.select(*docs.columns)
+    return ordered.select(*all_columns(docs))

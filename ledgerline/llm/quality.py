@@ -163,7 +163,9 @@ def kept_rows(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] =
         for batch in batches:
             yield batch.filter(pa.array([cascade(measured(x), order)[0] for x in raws(batch.column(place))], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    # By position, as names may have dots or backticks.
+    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
+    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)
 
 
 def quality_cascade(

@@ -47,22 +47,16 @@ def damaged(rows: DataFrame) -> DataFrame:
     return each.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.struct("own", "copy").alias("row"))
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """`rows` with a struct `row` that tells equal rows apart, where they have none."""
-    if "row" in rows.columns:
-        return rows
-    name, out = numbered_rows(rows, "row")
-    return out
-
-
-def ordered_turns(rows: DataFrame) -> DataFrame:
+def ordered_turns(rows: DataFrame, row_col: str | None = None) -> DataFrame:
     """`rows` (conv_id, turn, role, text) in the order of conversation, turn (null first), role and text, with what is wrong.
 
     Adds place (grows in that order), fault (`blank`, `duplicate`, `truncated` or null: the first that holds) and sign, one
     character for the search: the role's initial, or `x` if that is none of s, u and a; in capitals where the turn is
-    truncated; `-` where it has to go. Written to the shared folder, as a place is one of this run.
+    truncated; `-` where it has to go. Written to the shared folder, as a place is one of this run. `row_col` names a column that
+    tells equal rows apart, if there is one.
     """
-    rows = _numbered(rows).withColumns({c: F.coalesce(c, F.lit(" ")) for c in ("role", "text")})
+    name, numbered = (row_col, rows) if row_col else numbered_rows(rows, "row")
+    rows = numbered.select("conv_id", "turn", "role", "text", F.col(name).alias("row")).withColumns({c: F.coalesce(c, F.lit(" ")) for c in ("role", "text")})
     said = F.unhex(F.sha2(F.concat_ws("\x00", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("")), "role", "text"), 256))
     when = F.struct(F.col("turn").isNotNull(), F.col("turn"), F.col("row")).alias("when")  # null before any number
     rows = rows.withColumn("said", said).withColumn("when", when)
@@ -297,7 +291,7 @@ def audited(rows: DataFrame) -> DataFrame:
     turns are ordered by role and text; null roles and texts are one space. A role is judged by its initial, and one
     without an initial is never legal. Repeated rows are turns of their own. Other columns are ignored.
     """
-    turns = ordered_turns(damaged(rows))
+    turns = ordered_turns(damaged(rows), "row")
     blocks = written(edited_blocks(turns), "edits")
     digests = conversation_digests(repaired_turns(turns, blocks)).withColumnRenamed("conv_id", "_conv")
     report = conversation_report(rows, turns, blocks)

@@ -68,7 +68,7 @@ def test_stages_on_odd_rows(spark):
     words = " ".join(f"{a}o{b}" for a in "bcdfghj" for b in "lmnprstv")
     rows = [(1, words, "en", "web", 5), (1, words, "en", "web", 5), (2, None, None, None, None), (3, "", "en", "web", 0), (None, words + " more", None, None, 3), (4, " ".join(f"{a}{b}{c}{d}{e}" for a in "bcdfghjklm" for b in "aeiou" for c in "npqrstvwxz" for d in ("", *"aeiou") for e in "bcdfghjklmnpqrstvwxz"), "de", "b", 1), (None, None, None, None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    for name in ("row", "file", "at", "line", "h", "group", "set", "raw", "removed", "n_removed", "size", "target", "taken", "slot", "place", "kept", "key", "ids"):
+    for name in ("row", "file", "at", "line", "h", "group", "set", "raw", "removed", "n_removed", "size", "target", "taken", "slot", "place", "kept", "key", "ids", "_metadata", "a.b", "c`d"):
         docs = docs.withColumn(name, F.lit("clash"))
     found = {name: stage(spark, docs, "") for name, stage in corpus_pipeline.STAGES}
     for name, _ in corpus_pipeline.STAGES[:-1]:

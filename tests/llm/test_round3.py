@@ -236,8 +236,8 @@ def test_no_conversations(spark):
 
 
 def test_repaired_turns_are_the_conversation(spark):
-    rows = [(1, 0, "user", "Hi."), (1, 1, "user", "Again."), (1, 2, "assistant", "So.")]
-    turns = repair.ordered_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    rows = [(1, 0, "user", "Hi.", "r"), (1, 1, "user", "Again.", "r"), (1, 2, "assistant", "So.", "r")]
+    turns = repair.ordered_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, row string"))
     blocks = repair.edited_blocks(turns)
     found = [tuple(r) for r in repair.repaired_turns(turns, blocks).orderBy("place", "sub").select("edit", "role", "text").collect()]
     assert found == [("K", "user", "Hi."), ("I", "assistant", ""), ("K", "user", "Again."), ("K", "assistant", "So.")]
