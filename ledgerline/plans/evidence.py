@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import strict_json
 from ..operators import binding, trees
-from ..sources.tables import read
+from ..operators.fixpoint import shared_path
+from ..sources import store
+from ..sources.tables import TableSpec, read
 
 
 def _bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +116,51 @@ def deep_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumn("faults", F.array_join("faults", ","))
 
 
-QUERIES = {f.__name__: f for f in (strict_bodies, run_evidence, reconciled_runs, deep_trees)}
+_STORED = {  # table: source, key, columns
+    "markets": ("region", ["r_regionkey"], ["r_name"]),
+    "locations": ("nation", ["n_nationkey"], ["n_name", "n_regionkey"]),
+    "products": ("part", ["p_partkey"], ["p_name", "p_brand", "p_retailprice"]),
+    "current": ("supplier", ["s_suppkey"], ["s_name", "s_nationkey", "s_acctbal"]),
+    "history": ("orders", ["o_orderkey"], ["o_custkey", "o_orderstatus", "o_orderdate"]),
+    "runs": ("customer", ["c_custkey"], ["c_name", "c_nationkey", "c_mktsegment"]),
+}
+
+
+def _batches(spark: SparkSession, sf_dir: str) -> tuple[list[TableSpec], dict[str, DataFrame], dict[str, DataFrame]]:
+    """The tables' specs, the first batch (keys that 3 doesn't divide) and the second (those that 2 divides, with changed text)."""
+    specs, first, second = [], {}, {}
+    for name, (source, key, columns) in _STORED.items():
+        rows = read(spark, sf_dir, source).select(*key, *columns)
+        specs.append(TableSpec(name, rows.schema, tuple(key)))
+        text = next(c for c in columns if rows.schema[c].dataType.simpleString() == "string")
+        even = rows.filter(F.col(key[0]) % 2 == 0)
+        first[name] = rows.filter(F.col(key[0]) % 3 != 0)
+        second[name] = even if name == "history" else even.withColumn(text, F.concat(F.col(text), F.lit(" (2)")))
+    return specs, first, second
+
+
+def committed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six tables after two batches, a third that read the first version and is refused, and what version 1 still says."""
+    specs, first, second = _batches(spark, sf_dir)
+    kept = store.TableStore(spark, shared_path(spark, "store"), specs)
+    kept.commit(0, {name: store.Upsert(rows) for name, rows in first.items()})
+    kept.commit(1, {name: store.Upsert(rows, immutable=name == "history") for name, rows in second.items()})
+    try:
+        kept.commit(1, {"markets": store.Upsert(first["markets"])})
+        refused = False
+    except store.Conflict:
+        refused = True
+    out = None
+    for version in (1, 2):
+        for name, (_, key, columns) in _STORED.items():
+            text = next(c for c in columns if kept.specs[name].schema[c].dataType.simpleString() == "string")
+            rows = kept.read(name, version).agg(F.count("*").alias("n_rows"), F.sum(key[0]).alias("keys"), F.count_if(F.col(text).endswith(" (2)")).alias("changed"))
+            rows = rows.select(F.lit(version).alias("version"), F.lit(name).alias("name"), "n_rows", F.col("keys").cast("long").alias("keys"), "changed", F.lit(refused).alias("late_refused"))
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+QUERIES = {f.__name__: f for f in (strict_bodies, run_evidence, reconciled_runs, deep_trees, committed_batches)}
 
 
 def tree_sql(name: str, said: str) -> str:
@@ -171,7 +217,16 @@ _AROUND = """'[' || branch || ',' || leaf || CASE WHEN i = spot AND kind BETWEEN
     WHEN 9 THEN '{"key":"category-' || i || '","value":"odd","quantity":4,"children":{"a":1}}' WHEN 10 THEN '{"key":"category-' || i || '","value":" ","quantity":4,"children":[]}'
     ELSE '{"key":"category-' || i || '","value":"odd","quantity":4,"children":[{"quantity":null}]}' END ELSE '' END || ']'"""
 
+_COMMITTED_SQL = " UNION ALL ".join(
+    f"""SELECT {v} AS version, '{name}' AS name, count(*) AS n_rows, CAST(coalesce(sum({key[0]}), 0) AS BIGINT) AS keys,
+       count(*) FILTER ({"FALSE" if v == 1 or name == "history" else f"{key[0]} % 2 = 0"}) AS changed, TRUE AS late_refused
+FROM {source} WHERE {key[0]} % 3 <> 0{f" OR {key[0]} % 2 = 0" if v == 2 else ""}"""
+    for v in (1, 2)
+    for name, (source, key, _) in _STORED.items()
+)
+
 ORACLE_SQL: dict[str, str] = {
+    "committed_batches": _COMMITTED_SQL,
     # The trees are built and walked by recursion; two nodes of a path are alike if all that is below them is.
     "deep_trees": f"""
 WITH RECURSIVE built AS (
