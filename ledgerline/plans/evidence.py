@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import strict_json
-from ..operators import binding, trees
+from ..operators import binding, scans, trees
 from ..operators.fixpoint import shared_path
 from ..sources import store
 from ..sources.tables import TableSpec, read
@@ -160,7 +160,13 @@ def committed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-QUERIES = {f.__name__: f for f in (strict_bodies, run_evidence, reconciled_runs, deep_trees, committed_batches)}
+def scan_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of at most 15 minutes and three events, and what their scans find."""
+    events = read(spark, sf_dir, "events")
+    return scans.scanned(events, "ts", scans.scan_windows(events, "ts", 15, 3))
+
+
+QUERIES = {f.__name__: f for f in (strict_bodies, run_evidence, reconciled_runs, deep_trees, committed_batches, scan_plan)}
 
 
 def tree_sql(name: str, said: str) -> str:
@@ -227,6 +233,17 @@ FROM {source} WHERE {key[0]} % 3 <> 0{f" OR {key[0]} % 2 = 0" if v == 2 else ""}
 
 ORACLE_SQL: dict[str, str] = {
     "committed_batches": _COMMITTED_SQL,
+    "scan_plan": """
+WITH RECURSIVE c AS (
+  SELECT CAST(ts AS DATE) AS day, CAST(hour(ts) * 60 + minute(ts) AS INTEGER) AS minute, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY 1, 2),
+m AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY minute) AS i FROM c),
+w AS (
+  SELECT day, i, minute, n, minute AS start, n AS taken FROM m WHERE i = 1
+  UNION ALL
+  SELECT m.day, m.i, m.minute, m.n, CASE WHEN m.minute - w.start < 15 AND w.taken + m.n <= 3 THEN w.start ELSE m.minute END,
+         CASE WHEN m.minute - w.start < 15 AND w.taken + m.n <= 3 THEN w.taken + m.n ELSE m.n END
+  FROM w JOIN m ON m.day = w.day AND m.i = w.i + 1)
+SELECT day, start, max(minute) AS last, CAST(sum(n) AS BIGINT) AS rows, sum(n) > 3 AS truncated, CAST(sum(n) AS BIGINT) AS found FROM w GROUP BY day, start""",
     # The trees are built and walked by recursion; two nodes of a path are alike if all that is below them is.
     "deep_trees": f"""
 WITH RECURSIVE built AS (
