@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .fixpoint import settled
+
 _ORDER = ("first", "last", "page")
 _BUCKET_PAGES = 1024
 
@@ -90,10 +92,11 @@ def evaluated(leaves: DataFrame, pages: DataFrame, limit: int = 50) -> DataFrame
     Of a position seen more than once the page first in order (first, last, page) decides. A leaf of no products is proved by no
     pages. Pages of an unknown leaf give a row with expected null and the one reason `leaf_not_planned`. A page without a valid
     range counts as attempted and for its total alone. Products with a null key, or outside their page's range, take no place.
-    A null total differs from any other. Other columns are ignored. All counts are aggregated before they meet in one last
+    A null total differs from any other. Other columns are ignored. Checked
+    pages are written once to spark.checkpoint.dir, as six counts read them; all counts are aggregated before they meet in one last
     shuffle; nothing of a leaf is collected in one task but slim rows of its buckets of pages.
     """
-    rows = _checked(pages, leaves, limit)
+    rows = settled(_checked(pages, leaves, limit), "traversal")
     asked = rows.filter("expected > 0")
     items = asked.select("leaf", *_ORDER, F.explode("kept").alias("p"))
     placed = items.groupBy("leaf", F.col("p.position").alias("position"), F.col("p.key").alias("key")).agg(F.count("*").alias("n"), F.min(F.struct(*_ORDER, "p.offset")).alias("at"))
