@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import board, catalog, contests, evidence, history, nested, prices, proofs, reports, sheets, tournaments
+from . import board, catalog, contests, evidence, forecasting, history, nested, prices, proofs, reports, sheets, tournaments
 
-_MODULES = (contests, prices, history, nested, board, sheets, catalog, tournaments, evidence, proofs, reports)
+_MODULES = (contests, prices, history, nested, board, sheets, catalog, tournaments, evidence, proofs, reports, forecasting)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL: dict[str, str] = {name: sql for module in _MODULES for name, sql in module.ORACLE_SQL.items()}
