@@ -1,10 +1,12 @@
 """Fuzzy line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity, one occurrence per group kept.
 
-A line's features (words, or pairs of bytes where it is short) are dealt over BLOCKS blocks by their hashes, and each
-block of the fingerprint is the SimHash of its features. An edit touches the blocks of the features that come and go and
-no others: a replaced word at most two. So of BLOCKS = 6 blocks, two stay equal while one or two words are replaced (or
-up to four added or left out), and most often with three; any two equal blocks are a join key. Lines that meet in a
-bucket are linked by edit similarity of their whole texts alone.
+A line's features (words, or pairs of bytes where it is short or has hardly any spaces) are dealt over blocks by their
+hashes, and each block of the fingerprint is the SimHash of its features. An edit touches the blocks of the features that
+come and go and no others: a replaced word at most two. Lines of few words have six blocks, of which any two equal ones
+are a join key: two stay equal while one or two words are replaced (or up to four added or left out). Lines of many words
+have ten more, each a key by itself: two stay equal while four words are replaced, and some most often with far more.
+The shortest lines, in which one edit can touch all, meet by what is left of them without one or two bytes: that finds
+all pairs. Lines that meet in a bucket are linked by edit similarity of their whole texts alone.
 """
 
 from __future__ import annotations
@@ -24,9 +26,14 @@ from .components import components
 SIMILARITY, BLOCKS = 0.8, 6
 #: Pairs of blocks that make a key, if they have at least KEY_FEATURES features together.
 CHOICES, KEY_FEATURES = tuple(combinations(range(BLOCKS), 2)), 3
+#: Lines of so many distinct words have SINGLES blocks that are keys alone, if they have at least SINGLE_FEATURES
+#: features; below PAIRED distinct words, pairs of blocks are keys.
+SINGLES, SINGLE_FEATURES, SINGLE_FROM, PAIRED = 10, 4, 16, 40
 #: Lines (normalised, in bytes) below the first have pairs of bytes as features, from the second on words; between the
-#: two both, as a line may be 0.8 times as long as its like.
-WORDS_FROM, PAIRS_BELOW = 40, 54
+#: two both, as a line may be 0.8 times as long as its like. Longer ones have both too if their words are long on average.
+WORDS_FROM, PAIRS_BELOW, LONG_WORDS = 40, 54, 16
+#: Lines up to so many bytes meet by what is left of them: similar ones are at most two edits apart.
+SHORT = 14
 #: Bytes of text that are hashed at once, and rows of one bucket that one task compares with one another.
 CHUNK, MEETING = 1 << 18, 2048
 #: Bits of the filter of line hashes whose texts are wanted: 4 MB whatever the input.
@@ -67,16 +74,16 @@ def normalised(raw: bytes) -> bytes:
     return text[~again].tobytes()
 
 
-def _fingerprints(lines: int, line: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of features (line, hash): the lines' blocks, two in a number, and a bit for each choice that makes a key.
+def _blocks(lines: int, line: np.ndarray, hashes: np.ndarray, n: int, shift: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of features (line, hash): the lines' n blocks, how many distinct features are in each, and a sum over those.
 
     A block is the SimHash, of 32 bits, of the line's distinct features in it (0 if there are none).
     """
-    group = line * BLOCKS + ((hashes >> np.uint64(40)) % np.uint64(BLOCKS)).astype(np.int64)
+    group = line * n + ((hashes >> np.uint64(shift)) % np.uint64(n)).astype(np.int64)
     rows = np.sort(group.astype(np.uint64) << np.uint64(32) | hashes & np.uint64(0xFFFFFFFF))
     rows = rows[np.concatenate(([True], rows[1:] != rows[:-1]))] if len(rows) else rows
-    groups, held = (rows >> np.uint64(32)).astype(np.int64), np.zeros(lines * BLOCKS, np.int64)
-    blocks = np.zeros(lines * BLOCKS, np.uint64)
+    groups, held = (rows >> np.uint64(32)).astype(np.int64), np.zeros(lines * n, np.int64)
+    blocks, sums = np.zeros(lines * n, np.uint64), np.zeros(lines * n, np.uint64)
     if len(rows):
         first = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1])))
         count = np.diff(np.append(first, len(groups)))
@@ -87,32 +94,26 @@ def _fingerprints(lines: int, line: np.ndarray, hashes: np.ndarray) -> tuple[np.
         ones = np.add.reduceat(bits, cuts, axis=0).view(np.uint8).reshape(-1, 32)
         if longest > 255:
             ones = np.add.reduceat(ones, np.searchsorted(cuts, first), axis=0, dtype=np.int32)
-        blocks[groups[first]] = np.packbits(2 * ones.astype(np.int32) > count[:, None], axis=1).view(">u4").ravel()
-        held[groups[first]] = count
-    held, blocks, good = held.reshape(lines, BLOCKS), blocks.reshape(lines, BLOCKS // 2, 2), np.zeros(lines, np.int64)
-    for k, (i, j) in enumerate(CHOICES):
-        good |= (held[:, i] + held[:, j] >= KEY_FEATURES).astype(np.int64) << k
-    return blocks[:, :, 0] | blocks[:, :, 1] << np.uint64(32), good
+        at = groups[first]
+        blocks[at] = np.packbits(2 * ones.astype(np.int32) > count[:, None], axis=1).view(">u4").ravel()
+        held[at] = count
+        sums[at] = np.add.reduceat(_mixed((rows & np.uint64(0xFFFFFFFF)) + np.uint64(_BASE)), first)
+    return blocks.reshape(lines, n), held.reshape(lines, n), sums.reshape(lines, n)
 
 
-#: Fields of a line's fingerprints: of its words, and of its pairs of bytes.
-FIELDS = [f"{kind}{i}" for kind in "wp" for i in (*range(BLOCKS // 2), "ok")]
-
-
-def hashed_lines(raw: bytes, powers: np.ndarray, backs: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array, dict[str, np.ndarray]]:
-    """Of the lines that have a word: number, hash and text of the normalised line, and the fields of its fingerprints."""
+def hashed_lines(raw: bytes, powers: np.ndarray, backs: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Of the lines that have a word: number, hash and text of the normalised line."""
     text = np.frombuffer(normalised(raw), np.uint8)
     inside = text > 32
     edge = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):
         none = np.zeros(0, np.int64)
-        return none, none.view(np.uint64), pa.array([], pa.binary()), dict.fromkeys(FIELDS, none)
+        return none, none.view(np.uint64), pa.array([], pa.binary())
     line = np.searchsorted(np.flatnonzero(text == 10), starts)
     first = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
     count = np.diff(np.append(first, len(line)))
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(text.astype(np.uint64) * powers[: len(text)], dtype=np.uint64)))
-    words = _mixed((sums[ends] - sums[starts]) * backs[starts] + (ends - starts).astype(np.uint64))
+    words = _word_hashes(text, starts, ends, powers, backs)
     place = np.arange(len(line)) - np.repeat(first, count)
     whole = np.add.reduceat(_mixed(words + (place + 1).astype(np.uint64) * np.uint64(_BASE)), first)
     # The texts: words and the one byte after each, but for the last of a line.
@@ -125,26 +126,80 @@ def hashed_lines(raw: bytes, powers: np.ndarray, backs: np.ndarray) -> tuple[np.
     kept = np.cumsum(kept[:-1], dtype=np.int8) > 0
     upto = np.concatenate(([0], np.cumsum(kept)))
     offsets = np.concatenate(([0], upto[ends[last]])).astype(np.int32)
-    flat, sizes, n = text[kept], np.diff(offsets), len(first)
-    texts = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
-    dense = np.repeat(np.arange(n), count)
-    long = np.repeat(sizes >= WORDS_FROM, count)
-    by_word = _fingerprints(n, dense[long], words[long])
-    # Pairs of bytes that are next to one another in a short line.
-    ends_of = offsets[1:]
-    short = np.repeat(sizes < PAIRS_BELOW, sizes)
-    short[ends_of - 1] = False
-    at = np.flatnonzero(short)
-    pairs = _mixed((flat[at].astype(np.uint64) << np.uint64(8) | flat[at + 1]) + np.uint64(_BASE)) if len(at) else np.zeros(0, np.uint64)
-    by_pair = _fingerprints(n, np.searchsorted(ends_of, at, side="right"), pairs)
-    parts = [x for blocks, good in (by_word, by_pair) for x in (*blocks.T.view(np.int64), good)]
-    return line[first], whole, texts, dict(zip(FIELDS, parts, strict=True))
+    texts = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(text[kept])])
+    return line[first], whole, texts
+
+
+def _word_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: np.ndarray, backs: np.ndarray) -> np.ndarray:
+    """A hash of each word of `text`, whatever its place."""
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(text.astype(np.uint64) * powers[: len(text)], dtype=np.uint64)))
+    return _mixed((sums[ends] - sums[starts]) * backs[starts] + (ends - starts).astype(np.uint64))
+
+
+def _family(k: int) -> np.uint64:
+    """What sets the keys of one kind apart from those of all others."""
+    return np.uint64((k + 1) * _BASE & (1 << 64) - 1)
+
+
+def _remainders(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """key, line: of each line of up to SHORT bytes, what is left without as many bytes as similar ones may have edits, and
+    without fewer. Lines that are k edits apart have a rest in common, each without k bytes at most."""
+    for size in range(4, SHORT + 1):
+        at = np.flatnonzero(sizes == size)
+        if not len(at):
+            continue
+        text = flat[begins[at][:, None] + np.arange(size)].astype(np.uint64) + np.uint64(1)
+        for gone in range(size * round(100 - 100 * SIMILARITY) // 100 + 1):
+            powers = _powers(_BASE, size - gone)
+            for out in combinations(range(size), gone):
+                left = np.delete(text, out, axis=1)
+                yield _mixed((left * powers).sum(axis=1, dtype=np.uint64) + _family(101)), at
+
+
+def line_keys(flat: np.ndarray, offsets: np.ndarray, powers: np.ndarray, backs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """key, line: the join keys of normalised lines, whose bytes are in `flat` from each offset to the next."""
+    n, sizes = len(offsets) - 1, np.diff(offsets)
+    inside = flat != 32
+    begin, end = inside.copy(), inside.copy()
+    begin[1:] &= ~inside[:-1]
+    end[:-1] &= ~inside[1:]
+    begin[offsets[:-1]] = end[offsets[1:] - 1] = True  # a line starts and ends with a word
+    starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
+    line = np.searchsorted(offsets, starts, side="right") - 1
+    words = _word_hashes(flat, starts, ends, powers, backs)
+    count = np.bincount(line, minlength=n)
+    found = list(_remainders(flat, offsets[:-1], sizes))
+
+    def by_pairs(kind: int, blocks: np.ndarray, held: np.ndarray, able: np.ndarray) -> None:
+        for c, (i, j) in enumerate(CHOICES):
+            at = np.flatnonzero(able & (held[:, i] + held[:, j] >= KEY_FEATURES))
+            found.append(((blocks[at, j] << np.uint64(32) | blocks[at, i]) ^ _family(kind * len(CHOICES) + c), at))
+
+    worded = (sizes >= WORDS_FROM)[line]
+    blocks, held, _ = _blocks(n, line[worded], words[worded], BLOCKS, 40)
+    distinct = held.sum(axis=1)
+    by_pairs(0, blocks, held, distinct < PAIRED)
+    # Pairs of bytes that are next to one another.
+    few = np.repeat((sizes < PAIRS_BELOW) | (sizes > LONG_WORDS * count), sizes)
+    few[offsets[1:] - 1] = False
+    at = np.flatnonzero(few)
+    pairs = _mixed((flat[at].astype(np.uint64) << np.uint64(8) | flat[np.minimum(at + 1, len(flat) - 1)]) + np.uint64(_BASE))
+    blocks, held, _ = _blocks(n, np.searchsorted(offsets, at, side="right") - 1, pairs, BLOCKS, 40)
+    by_pairs(1, blocks, held, np.True_)
+    # Blocks that are keys alone: the sum tells apart more of them than 32 bits can.
+    many = (distinct >= SINGLE_FROM)[line]
+    blocks, held, sums = _blocks(n, line[many], words[many], SINGLES, 33)
+    for b in range(SINGLES):
+        at = np.flatnonzero(held[:, b] >= SINGLE_FEATURES)
+        found.append(((blocks[at, b] << np.uint64(32) | sums[at, b] >> np.uint64(32)) ^ _family(2 * len(CHOICES) + b), at))
+    key, at = (np.concatenate(x) for x in zip(*found, strict=True))
+    return key.view(np.int64), at
 
 
 def line_hashes(docs: DataFrame, id_col: str, text_col: str, row_col: str) -> DataFrame:
-    """doc_id, file, at, line, h, text and the fields of fingerprints of each line that has a word in whole texts.
+    """doc_id, file, at, line, h, text and fresh of each line that has a word in whole texts.
 
-    The text is normalised. A line is fresh unless its task has seen it: so a common line has few fresh copies.
+    A line is fresh unless its task has seen it: so a common line has few fresh copies. Those have their normalised text.
     """
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +215,7 @@ def line_hashes(docs: DataFrame, id_col: str, text_col: str, row_col: str) -> Da
                 if size > len(powers):
                     powers, backs = _powers(_BASE, size), _powers(_BACK, size)
                 part = raws[done:upto]
-                line, h, texts, fields = hashed_lines(b"\n".join(part), powers, backs)
+                line, h, texts = hashed_lines(b"\n".join(part), powers, backs)
                 begins = np.cumsum([0] + [x.count(b"\n") + 1 for x in part])
                 owner = np.searchsorted(begins, line, side="right") - 1
                 ids = (batch.column(i).take(pa.array(owner + done)) for i in (0, 1, 2))
@@ -172,36 +227,44 @@ def line_hashes(docs: DataFrame, id_col: str, text_col: str, row_col: str) -> Da
                     known.add(x)
                     if len(known) > before:
                         fresh[i], before = True, before + 1
-                columns = [*ids, pa.array(line - begins[owner]), pa.array(h.view(np.int64)), texts, pa.array(fresh), *map(pa.array, fields.values())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "file", "at", "line", "h", "text", "fresh", *fields])
+                texts = texts.take(pa.array(np.where(fresh, np.arange(len(h)), 0), mask=~fresh))
+                columns = [*ids, pa.array(line - begins[owner]), pa.array(h.view(np.int64)), texts, pa.array(fresh)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "file", "at", "line", "h", "text", "fresh"])
                 done = upto
             if len(powers) > 64 * CHUNK:  # after a very long text
                 powers, backs = powers[:CHUNK].copy(), backs[:CHUNK].copy()
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    columns = f"doc_id {kind}, file long, at long, line long, h long, text binary, fresh boolean, " + ", ".join(f"{x} long" for x in FIELDS)
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(row_col)["file"].alias("file"), F.col(row_col)["at"].alias("at"), F.col(text_col).cast("binary")).mapInArrow(hashes, columns)
+    columns = f"doc_id {kind}, file long, at long, line long, h long, text binary, fresh boolean"
+    row = F.col(row_col)
+    wanted = docs.select(F.col(id_col).alias("doc_id"), row["file"].alias("file"), row["at"].alias("at"), F.col(text_col).cast("binary"))
+    return wanted.mapInArrow(hashes, columns)
 
 
 def keys_of_lines(lines: DataFrame) -> DataFrame:
-    """key, h and size of fresh lines: a key for each choice of two blocks that makes one."""
+    """key, h and size of fresh lines: a row for each key of a line."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        half = np.uint64(0xFFFFFFFF)
+        powers, backs = _powers(_BASE, CHUNK), _powers(_BACK, CHUNK)
         for batch in batches:
-            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-            for k, first in enumerate((2, 2 + BLOCKS // 2 + 1)):  # words, then pairs of bytes
-                pairs = [batch.column(first + i).to_numpy().view(np.uint64) for i in range(BLOCKS // 2)]
-                blocks = [x >> np.uint64(32) if i % 2 else x & half for i in range(BLOCKS) for x in (pairs[i // 2],)]
-                good = batch.column(first + BLOCKS // 2).to_numpy()
-                for c, (i, j) in enumerate(CHOICES):
-                    at = np.flatnonzero(good >> c & 1)
-                    key = (blocks[j][at] << np.uint64(32) | blocks[i][at]) ^ np.uint64((k * len(CHOICES) + c + 1) * _BASE & (1 << 64) - 1)
-                    found.append((key.view(np.int64), at))
-            key, at = (np.concatenate(x) for x in zip(*found, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(key), *(batch.column(i).take(pa.array(at)) for i in (0, 1))], names=["key", "h", "size"])
+            h, texts = batch.column(0), batch.column(1)
+            _, offsets, flat = texts.buffers()
+            offsets = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+            done = 0
+            while done < len(texts):
+                upto = max(done + 1, int(np.searchsorted(offsets, offsets[done] + CHUNK, side="right")) - 1)
+                part = offsets[done : upto + 1]
+                size = int(part[-1] - part[0])
+                if size > len(powers):
+                    powers, backs = _powers(_BASE, size), _powers(_BACK, size)
+                key, at = line_keys(np.frombuffer(flat, np.uint8, size, int(part[0])), part - part[0], powers, backs)
+                sizes = np.diff(part).astype(np.int32)[at]
+                yield pa.RecordBatch.from_arrays([pa.array(key), h.take(pa.array(at + done)), pa.array(sizes)], names=["key", "h", "size"])
+                done = upto
+            if len(powers) > 64 * CHUNK:  # after a very long line
+                powers, backs = powers[:CHUNK].copy(), backs[:CHUNK].copy()
 
-    return lines.filter("fresh").select("h", F.octet_length("text").alias("size"), *FIELDS).mapInArrow(keys, "key long, h long, size int")
+    return lines.filter("fresh").select("h", "text").mapInArrow(keys, "key long, h long, size int")
 
 
 def _within(small: np.ndarray, large: np.ndarray) -> np.ndarray:
@@ -420,8 +483,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Lines are the parts between line feeds. Lines group by equal normalised form (ASCII case, punctuation and the
     digits of a number don't count; 64-bit hashes stand for it), whatever their length, or by edit similarity of 0.8 or
-    more, directly or through others, if they share two blocks of the fingerprint (see above; README: how many do). The
-    first of each group by doc_id, row and line number stays. Lines without a word stay. Documents without such lines
+    more, directly or through others, if they share a key (see above; README: how many do). Of lines up to 14 bytes all
+    similar ones do. The first of each group by doc_id, row and line number stays. Lines without a word stay. Documents without such lines
     have no row. Rows with a null id come first in that order; each row is a document of its own, also where rows share
     an id or are equal. Null and empty texts have no lines; other columns are ignored.
     """

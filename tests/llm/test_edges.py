@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -145,6 +146,49 @@ def test_large_buckets_of_lines_are_compared_in_blocks(spark, monkeypatch):
     assert whole == sorted(((r.doc_id, r.text) for r in lines.without_repeated_lines(docs).collect()), key=str) == sorted(expected, key=str)
 
 
+def meeting(forms):
+    """Pairs of normalised lines that share a key."""
+    flat, offsets = np.frombuffer(b"".join(forms), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in forms])))
+    key, at = lines.line_keys(flat, offsets, lines._powers(lines._BASE, len(flat)), lines._powers(lines._BACK, len(flat)))
+    held = {}
+    for k, i in zip(key.tolist(), at.tolist(), strict=True):
+        held.setdefault(k, set()).add(i)
+    return {(i, j) for members in held.values() for i in members for j in members if i < j}
+
+
+def test_all_similar_short_lines_meet():
+    """Lines of up to 14 bytes over few letters, against edit similarity of all pairs."""
+    draw = np.random.default_rng(5)
+    forms = sorted({bytes(draw.choice(list(b"abc"), draw.integers(1, 15)).tolist()) for _ in range(500)} | {b"a b c d e f g", b"a b c d e f", b"ab cd"})
+    near = {(i, j) for i in range(len(forms)) for j in range(i + 1, len(forms)) if lines.similar(forms[i], forms[j])}
+    assert len(near) > 100 and near <= meeting(forms)
+
+
+def test_long_lines_with_four_replaced_words_meet():
+    """Four words touch eight of ten blocks at most; twelve of eighty words most often leave one."""
+    draw = np.random.default_rng(6)
+    word = lambda: bytes(draw.choice(list(b"abcdefghijklmnop"), 6).tolist())
+    forms, four, twelve = [], [], []
+    for k in range(300):
+        base = [word() for _ in range(80)]
+        edited = list(base)
+        for i in draw.choice(80, 12 if k % 3 == 0 else 4, replace=False):
+            edited[i] = word()
+        (twelve if k % 3 == 0 else four).append((len(forms), len(forms) + 1))
+        forms += [b" ".join(base), b" ".join(edited)]
+    met = meeting(forms)
+    assert met <= {*four, *twelve}
+    assert sum(x in met for x in four) == len(four)
+    assert sum(x in met for x in twelve) >= 0.3 * len(twelve)
+
+
+def test_long_lines_of_one_word_meet():
+    """Scripts without spaces: pairs of bytes are the features of lines whose words are long."""
+    draw = np.random.default_rng(7)
+    base = bytes(draw.integers(128, 256, 300).tolist())
+    assert meeting([base, base[:150] + b"xyz" + base[153:]]) == {(0, 1)}
+
+
 def test_repeated_rows_lose_their_lines(spark):
     docs = spark.createDataFrame([(1, "one line of a row\nanother line of it")] * 3, "doc_id long, text string")
     assert sorted(r.n_removed for r in lines.without_repeated_lines(docs).collect()) == [0, 2, 2]
