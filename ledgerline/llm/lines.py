@@ -38,6 +38,10 @@ SHORT = 14
 CHUNK, MEETING = 1 << 18, 2048
 #: Bits of the filter of line hashes whose texts are wanted: 4 MB whatever the input.
 FILTER_BITS = 1 << 25
+#: Bytes of a line after which a comparison looks whether it can still succeed.
+COLUMNS = 64
+#: Bytes up to which pairs of lines are compared TOGETHER, and lines of a bucket up to which its pairs wait for those of others.
+TABLE, TOGETHER, WAITING = 4096, 256, 64
 #: Tasks over which the copies of one line are dealt; lines that a task remembers as seen.
 SALT, SEEN = 8, 500_000
 
@@ -342,42 +346,151 @@ def meetings(rows: DataFrame, by: str) -> DataFrame:
     return small.unionByName(met.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other")).drop("n", "blocks", "own", "other"))
 
 
-def similar(a: bytes, b: bytes) -> bool:
-    """Whether the edit distance is at most 1 - SIMILARITY of the longer; bit-parallel dynamic programming."""
+def _replaced(a: list[bytes], b: list[bytes]) -> int:
+    """Bytes to replace where a longest common subsequence of the words holds: not less than the edit distance.
+
+    Bit i of a row is 0 where word i of `a` makes the subsequence longer, given the words of `b` so far.
+    """
+    at: dict[bytes, int] = {}
+    for i, x in enumerate(a):
+        at[x] = at.get(x, 0) | 1 << i
+    full = row = (1 << len(a)) - 1
+    rows = [row]
+    for x in b:
+        common = row & at.get(x, 0)
+        row = (row + common | row - common) & full
+        rows.append(row)
+    i, j, total, gone, come = len(a) - 1, len(b), 0, 0, 0
+    while i >= 0 and j:
+        if rows[j] >> i & 1:
+            gone += len(a[i]) + 1
+            i -= 1
+        elif not rows[j - 1] >> i & 1:
+            j -= 1
+            come += len(b[j]) + 1
+        else:  # words i and j - 1 are a pair
+            total += max(gone, come)
+            gone = come = 0
+            i, j = i - 1, j - 1
+    gone += sum(map(len, a[: i + 1])) + i + 1
+    come += sum(map(len, b[:j])) + j
+    return total + max(gone, come)
+
+
+def _in_common(a: bytes, b: bytes) -> int:
+    """How many bytes both start with."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def _told(a: bytes, b: bytes) -> bool | tuple[bytes, bytes, int]:
+    """Whether the edit distance is at most 1 - SIMILARITY of the longer, or what is to be compared for that, and the most edits."""
     if len(a) < len(b):
         a, b = b, a
     most = len(a) - -(-len(a) * round(SIMILARITY * 100) // 100)
     if len(a) - len(b) > most:
         return False
-    begin = 0
-    while begin < len(b) and a[begin] == b[begin]:
-        begin += 1
-    end = 0
-    while end < len(b) - begin and a[-1 - end] == b[-1 - end]:
-        end += 1
-    a, b = a[begin : len(a) - end], b[begin : len(b) - end]
+    begin = _in_common(a, b)
+    a, b = a[begin:], b[begin:]
+    end = _in_common(a[::-1], b[::-1])
+    a, b = a[: len(a) - end], b[: len(b) - end]
     if len(a) <= most:  # replacing what differs is enough
         return True
+    if not b:
+        return False
     words_a, words_b = a.split(b" "), b.split(b" ")
     if len(words_a) == len(words_b) and sum(max(len(x), len(y)) for x, y in zip(words_a, words_b) if x != y) <= most:
         return True
-    if not b:
-        return False
+    if len(words_a) > 2 and _replaced(words_a, words_b) <= most:
+        return True
+    return a, b, most
+
+
+def similar(a: bytes, b: bytes) -> bool:
+    """Whether the edit distance is at most 1 - SIMILARITY of the longer."""
+    told = _told(a, b)
+    return told if isinstance(told, bool) else _within_edits(*told)
+
+
+def _within_edits(a: bytes, b: bytes, most: int) -> bool:
+    """Whether the edit distance of `a` and the shorter `b` is at most `most`; bit-parallel dynamic programming."""
     at: dict[int, int] = {}
     for i, x in enumerate(b):
         at[x] = at.get(x, 0) | 1 << i
-    full, top = (1 << len(b)) - 1, 1 << len(b) - 1
-    up, down, distance = full, 0, len(b)
-    for rest, x in zip(range(len(a) - 1, -1, -1), a):
-        if distance - rest > most + 1:  # each byte to come makes up for one at most
+    full, up, down, get = (1 << len(b)) - 1, (1 << len(b)) - 1, 0, at.get
+    for begin in range(0, len(a), COLUMNS):
+        for x in a[begin : begin + COLUMNS]:
+            eq = get(x, 0)
+            diagonal = (((eq & up) + up) ^ up) | eq | down
+            more, less = (down | ~(diagonal | up) & full) << 1 | 1, (up & diagonal) << 1
+            up, down = (less | ~(diagonal | more)) & full, more & diagonal & full
+        done = min(begin + COLUMNS, len(a))
+        if _beyond(up, down, done, len(b), len(a) - done, most):
+            return False
+    return len(a) + up.bit_count() - down.bit_count() <= most
+
+
+def _beyond(up: int, down: int, done: int, size: int, rest: int, most: int) -> bool:
+    """Whether no way through this column of distances, whose steps are `up` and `down`, ends within `most`.
+
+    From row i at least as many edits follow as what is left of both texts differs in length. That sum changes by two from row to
+    row at most, so every 16th row tells of those up to 8 rows away; rows further than `most` from the diagonal are beyond.
+    """
+    first, last = max(0, done - most), min(size, done + most)
+    for i in (*range(first, last, 16), last):
+        below = (1 << i) - 1
+        if done + (up & below).bit_count() - (down & below).bit_count() + abs(size - i - rest) <= most + 16:
             return False
-        eq = at.get(x, 0)
-        diagonal = (((eq & up) + up) ^ up) | eq | down
-        more, less = down | ~(diagonal | up) & full, up & diagonal
-        distance += bool(more & top) - bool(less & top)
-        more, less = (more << 1 | 1) & full, less << 1 & full
-        up, down = less | ~(diagonal | more) & full, more & diagonal
-    return distance <= most
+    return True
+
+
+def _all_within_edits(pairs: list[tuple[bytes, bytes, int]]) -> list[bool]:
+    """_within_edits of each of `pairs`, many at once: tables of distances by diagonals, only as far from the middle as edits allow."""
+    out = [False] * len(pairs)
+    long = [k for k, (a, _, _) in enumerate(pairs) if len(a) > TABLE]
+    rest = sorted((k for k, (a, _, _) in enumerate(pairs) if len(a) <= TABLE), key=lambda k: len(pairs[k][0]))
+    few = rest if len(rest) < TOGETHER // 8 else []
+    for k in long + few:
+        out[k] = _within_edits(*pairs[k])
+    for begin in range(0, len(rest) if not few else 0, TOGETHER):
+        part = rest[begin : begin + TOGETHER]
+        for k, distance in zip(part, _distances([pairs[k] for k in part]).tolist()):
+            out[k] = distance <= pairs[k][2]
+    return out
+
+
+def _distances(pairs: list[tuple[bytes, bytes, int]]) -> np.ndarray:
+    """Edit distances of pairs up to TABLE bytes; those above what is allowed may come out larger."""
+    first, second = np.array([len(a) for a, _, _ in pairs]), np.array([len(b) for _, b, _ in pairs])
+    n, m, most = int(first.max()), int(second.max()), max(x for _, _, x in pairs)
+    down, back = np.zeros((n + 1, len(pairs)), np.uint8), np.ones((m + 1, len(pairs)), np.uint8)
+    for k, (a, b, _) in enumerate(pairs):
+        down[1 : len(a) + 1, k] = np.frombuffer(a, np.uint8)
+        back[m - len(b) : m, k] = np.frombuffer(b, np.uint8)[::-1]
+    far, found, ends = np.int16(4 * TABLE), np.zeros(len(pairs), np.int64), first + second
+    # Of diagonal d, cell i (at i + 1) is the distance of the first i bytes of `a` and the first d - i of `b`.
+    before, last, now = (np.full((n + 3, len(pairs)), far, np.int16) for _ in range(3))
+    last[1] = 0
+    stops = set(ends.tolist())
+    for d in range(1, int(ends.max()) + 1):
+        lo, hi = max(0, d - m, (d - most + 1) // 2), min(n, d, (d + most) // 2)
+        here, same = now[lo + 1 : hi + 2], before[lo : hi + 1]
+        np.minimum(last[lo : hi + 1], last[lo + 1 : hi + 2], out=here)
+        here += np.int16(1)
+        same += down[lo : hi + 1] != back[m - d + lo : m - d + hi + 1]  # these cells aren't read again
+        np.minimum(here, same, out=here)
+        now[lo] = now[hi + 2] = far
+        if d in stops:
+            at = np.flatnonzero(ends == d)
+            found[at] = now[first[at] + 1, at]
+        before, last, now = last, now, before
+    return found
 
 
 def _filter_of(hashes: DataFrame) -> np.ndarray:
@@ -415,33 +528,62 @@ def _threes(texts: list[bytes]) -> np.ndarray:
     return np.bincount(owner[inside] * 512 + runs[inside], minlength=512 * len(texts)).reshape(-1, 512).astype(np.int32)
 
 
-def similar_links(texts: list[bytes]) -> list[tuple[int, int]]:
+def similar_links(texts: list[bytes], later: list[tuple[int, int, tuple[bytes, bytes, int]]] | None = None) -> list[tuple[int, int]]:
     """Links of a forest over the places of `texts` that connects all similar ones.
 
     An edit changes the size by at most one, and takes or adds at most three of the runs of three bytes; texts beyond
-    that are not compared.
+    that are not compared. With `later`, pairs of which that and their words don't tell go there instead, as places and what is to be
+    compared; the links connect all similar ones together with those of them that are found similar.
     """
     if len(texts) == 2:
-        return [(0, 1)] if similar(*texts) else []
+        told = _told(*texts)
+        if later is not None and not isinstance(told, bool):
+            later.append((0, 1, told))
+            return []
+        return [(0, 1)] if told is True or told and _within_edits(*told) else []
     sizes, threes = np.array([len(x) for x in texts]), _threes(texts)
-    left, todo, links = np.arange(len(texts)), [], []
+    left, todo, links, unsure, linked = np.arange(len(texts)), [], [], [], np.zeros(len(texts), bool)
     while len(left):
         if not todo:
             todo, left = [int(left[0])], left[1:]
             continue
         x = todo.pop()
         most = np.maximum(sizes[left], sizes[x]) * round(100 - 100 * SIMILARITY) // 100
-        able = np.abs(sizes[left] - sizes[x]) <= most
-        common = np.minimum(threes[left[able]], threes[x]).sum(axis=1)
-        able[able] = common >= np.maximum(sizes[left[able]], sizes[x]) - 2 - 3 * most[able]
-        near = able.copy()
-        near[able] = [similar(texts[i], texts[x]) for i in left[able]]
-        links += [(x, int(i)) for i in left[near]]
-        todo += left[near].tolist()
-        left = left[~near]
+        close = np.abs(sizes[left] - sizes[x]) <= most
+        able, most = left[close], most[close]
+        common = np.minimum(threes[able], threes[x]).sum(axis=1)
+        able = able[common >= np.maximum(sizes[able], sizes[x]) - 2 - 3 * most]
+        told = [(int(i), _told(texts[i], texts[x])) for i in able]
+        open_ = [(i, t) for i, t in told if not isinstance(t, bool)]
+        near = [i for i, t in told if t is True]
+        if later is None:
+            near += [i for (i, _), yes in zip(open_, _all_within_edits([t for _, t in open_])) if yes]
+        else:
+            unsure += [(x, i, t) for i, t in open_]
+        if near:
+            links += [(x, i) for i in near]
+            todo += near
+            linked[near] = True
+            left = left[~linked[left]]
+    if unsure:
+        group = list(range(len(texts)))
+        for a, b in links:  # b is new to the group of a
+            group[b] = group[a]
+        later += [(x, i, t) for x, i, t in unsure if group[x] != group[i]]
     return links
 
 
+def links_of_groups(groups: list[list[bytes]]) -> list[tuple[int, int, int]]:
+    """group, place, place: links within each of `groups` that connect all similar texts. Small groups wait for what words don't tell,
+    which is compared for all of them at once."""
+    links, later = [], []
+    for k, texts in enumerate(groups):
+        unsure = [] if len(texts) <= WAITING else None
+        links += [(k, x, y) for x, y in similar_links(texts, unsure)]
+        later += [(k, *u) for u in unsure or ()]
+    return links + [(k, x, y) for (k, x, y, _), yes in zip(later, _all_within_edits([u[3] for u in later])) if yes]
+
+
 def similar_lines(lines: DataFrame) -> DataFrame:
     """Links (a, b) between hashes h of different normalised lines that connect all similar ones that share a key."""
     buckets = written(line_buckets(keys_of_lines(lines)), "buckets")
@@ -454,7 +596,8 @@ def similar_lines(lines: DataFrame) -> DataFrame:
         for table in whole_groups(batches):
             meeting, h, text = table.column(0).to_numpy(), table.column(1).to_numpy(), table.column(2).to_pylist()
             begins = np.flatnonzero(np.concatenate(([True], meeting[1:] != meeting[:-1])))
-            found = [(h[i + x], h[i + y]) for i, j in zip(begins, np.append(begins[1:], len(h))) for x, y in similar_links(text[i:j])]
+            groups = [text[i:j] for i, j in zip(begins, np.append(begins[1:], len(h)))]
+            found = [(h[begins[k] + x], h[begins[k] + y]) for k, x, y in links_of_groups(groups)]
             pairs = np.array(found, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
