@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,9 +48,11 @@ def forecasts(calendar: DataFrame, results: DataFrame, ratings: DataFrame, runs:
     Means of goals are weighted by recency (model.HALF_LIFE) and taken relative to those of all teams as of the run; a team without
     results plays like the mean, which `note` says, and one without a rating has none. favourite is the team, or `draw`; of chances
     equal to nine digits that of a comes first, then the draw. Results with a null in any column don't count, matches without a day have no run
-    before them, and repeated matches repeat. What a run needs is one row for each team and day of running sums.
+    before them, and repeated matches repeat. What a run needs is one row for each team and day of running sums. Matches of the same
+    sides as of the same day have the same chances, so those are worked out once for each (run_day, team_a, team_b).
     """
-    asked = _asked(calendar, runs, horizon)
+    matches = _asked(calendar, runs, horizon)
+    asked = matches.select("run_day", "team_a", "team_b").distinct()
     known = joins.asof(_team_days(asked), _running(results, ["team"]), "team", "run_day", "day", "n", "_row")
     stats = known.select("team", "run_day", F.col("r_n").alias("n"), (F.col("r_gf") / F.col("r_w")).alias("gf"), (F.col("r_ga") / F.col("r_w")).alias("ga"))
     whole = joins.asof(runs.select(F.lit(0).alias("_all"), "run_day").distinct().withColumn("_row", F.lit(0).cast("long")), _running(results, []).withColumn("_all", F.lit(0)), "_all", "run_day", "day", "n", "_row")
@@ -57,7 +62,10 @@ def forecasts(calendar: DataFrame, results: DataFrame, ratings: DataFrame, runs:
         named = lambda df, *columns: df.select(F.col("team").alias(f"team_{side}"), *(F.col(c).alias(f"{c}_{side}") for c in columns))  # noqa: E731, B023
         rows = rows.join(stats.select(F.col("team").alias(f"team_{side}"), "run_day", *(F.col(c).alias(f"{c}_{side}") for c in ("n", "gf", "ga"))), [f"team_{side}", "run_day"], "left")
         rows = rows.join(named(ratings, "points", "elo"), f"team_{side}", "left")
-    return _played_out(rows)
+    chances = _played_out(rows)
+    sides = ("run_day", "team_a", "team_b")
+    out = matches.join(chances.withColumnsRenamed({c: f"_{c}" for c in sides}), reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in sides)))
+    return out.select("run_id", "run_at", "run_day", "match_id", "day", "team_a", "team_b", *(c for c in chances.columns if c not in sides))
 
 
 def _team_days(asked: DataFrame) -> DataFrame:
@@ -80,7 +88,7 @@ def _played_out(rows: DataFrame) -> DataFrame:
     favourite = F.when(near("p_a"), F.col("team_a").cast("string")).when(near("p_draw"), "draw").otherwise(F.col("team_b").cast("string"))
     lacking = F.concat_ws(" ", *(F.when(F.coalesce(f"n_{s}", F.lit(0)) == 0, F.concat(F.lit("no results of "), F.col(f"team_{s}").cast("string"), F.lit("."))) for s in ("a", "b")))
     return rows.select(
-        "run_id", "run_at", "run_day", "match_id", "day", "team_a", "team_b", F.round("mean_a", 3).alias("mean_a"), F.round("mean_b", 3).alias("mean_b"), *(F.round(c, 4).alias(c) for c in ("p_a", "p_draw", "p_b")),
+        "run_day", "team_a", "team_b", F.round("mean_a", 3).alias("mean_a"), F.round("mean_b", 3).alias("mean_b"), *(F.round(c, 4).alias(c) for c in ("p_a", "p_draw", "p_b")),
         favourite.alias("favourite"), F.round(best[0], 4).alias("p_favourite"), model.confidence(best[0], best[1]).alias("confidence"), "score", lacking.alias("note"),
     )
 

@@ -68,3 +68,16 @@ def test_the_last_forecast_before_a_match_counts(spark):
         5: ("x", "draw", None, None, False, False, None, True, "the favourite is neither side"), 6: (None, "A", None, None, False, False, None, False, "no forecast before the match"),
         None: (None, "A", None, None, False, False, None, False, "no forecast before the match"),
     }
+
+
+def test_chances_are_worked_out_once_for_the_same_sides_and_day(spark, monkeypatch):
+    taken, own = [], forecasts._played_out
+    monkeypatch.setattr(forecasts, "_played_out", lambda rows: taken.append(rows) or own(rows))
+    sides = [("a", "b"), ("b", "a"), ("a", None)]
+    calendar = spark.createDataFrame([(k, DAY + dt.timedelta(1 + k % 9), *sides[k % 3]) for k in range(90)], "match_id long, day date, team_a string, team_b string")
+    results = spark.createDataFrame([(DAY, "a", "b", 2, 1)], "day date, team_a string, team_b string, goals_a int, goals_b int")
+    ratings = spark.createDataFrame([("a", 1000.0, 1500.0)], "team string, points double, elo double")
+    runs = spark.createDataFrame([("r", "1", DAY), ("s", "2", DAY)], "run_id string, run_at string, run_day date")
+    out = forecasts.forecasts(calendar, results, ratings, runs, 20).collect()
+    assert len(out) == len({(r.run_id, r.match_id) for r in out}) == 180 and taken[0].count() == 3
+    assert {r.favourite for r in out if r.team_b is None} != {None} and len({r.p_a for r in out}) == 3
