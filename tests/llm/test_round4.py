@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 
-from ledgerline.llm import lines
+import numpy as np
+
+from ledgerline.llm import lines, nearcopies
 
 
 def distance(a: bytes, b: bytes) -> int:
@@ -62,3 +64,16 @@ def test_groups_that_wait_have_the_links_of_those_that_do_not():
         all_pairs = [(i, j) for i in range(len(texts)) for j in range(i) if 5 * distance(texts[i], texts[j]) <= max(len(texts[i]), len(texts[j]))]
         expected = parts(len(texts), all_pairs)
         assert parts(len(texts), [(a, b) for g, a, b in found if g == k]) == expected == parts(len(texts), lines.similar_links(texts)), k
+
+
+def test_near_copies_meet_by_simhash_of_blocks():
+    """Sets at Jaccard similarity 0.8 share a block's SimHash, whatever their sizes; unrelated ones do not."""
+    rng = np.random.default_rng(3)
+    for size in (5, 6, 9, 15, 16, 31, 64, 127, 250, 256, 1000, 3000):
+        for _ in range(20):
+            both, gone = rng.integers(0, 1 << 63, size, np.uint64) << np.uint64(1), size // 5
+            cut = rng.integers(0, gone + 1)
+            a, b = np.sort(np.delete(both, np.arange(cut))), np.sort(np.delete(both, np.arange(cut, gone)))
+            assert np.isin(nearcopies.block_keys(a), nearcopies.block_keys(b)).any(), size
+            assert not np.isin(nearcopies.block_keys(a), nearcopies.block_keys(np.sort(both * np.uint64(3)))).any(), size
+    assert not len(nearcopies.block_keys(np.arange(3, dtype=np.uint64)))
