@@ -29,3 +29,11 @@ def settled(df: DataFrame, name: str = "round") -> DataFrame:
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """`df` dealt by columns over all shuffle partitions, however few tasks read it and however small it is.
+
+    For rows that become far more, or cost far more, than their size in files shows; Spark alone would merge them into few tasks.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)

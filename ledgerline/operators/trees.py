@@ -1,7 +1,8 @@
 """Trees of categories of any depth, read from JSON, checked node by node and fingerprinted from the leaves up.
 
 A tree is a VARIANT; each level is one explode of the one above, written before the next, so the work is one pass over each node
-however deep trees are, and a tree's nodes may be spread over all tasks. Fingerprints go back up, a level at a time.
+however deep trees are, and a tree's nodes may be spread over all tasks. Fingerprints go back up, a level at a time. Trees are dealt
+over all tasks first: a small file, which one task reads, may hold very many.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .fixpoint import settled
+from .fixpoint import settled, spread
 
 #: What a category's key looks like; its number is the level that it belongs to.
 KEY = r"^category-([1-9][0-9]*)$"
@@ -67,7 +68,7 @@ def tree_nodes(trees: DataFrame, most_level: int = 8) -> DataFrame:
 
     What stands below a node that isn't normal is not visited. A body that is no list, or no JSON, has no nodes.
     """
-    start = trees.select("tree", F.expr(f"try_cast(try_parse_json(body) AS {_LISTED})").alias("kids"))
+    start = spread(trees.select("tree", "body"), "tree").select("tree", F.expr(f"try_cast(try_parse_json(body) AS {_LISTED})").alias("kids"))
     roots = start.select("tree", F.posexplode("kids").alias("at", "node")).select("tree", F.array("at").alias("place"), F.array().cast("array<string>").alias("parents"), F.lit(None).cast("long").alias("parent_quantity"), F.lit(1).alias("expected"), "node")
     levels = [settled(_judged(roots, most_level), "nodes")]
     while not levels[-1].filter("normal and n_kids > 0").isEmpty():
@@ -98,12 +99,12 @@ def tree_report(trees: DataFrame, nodes: DataFrame) -> DataFrame:
     """
     leaf = F.col("first.n_kids") == 0
     paths = nodes.filter("normal").groupBy("tree", "path").agg(
-        F.count("*").alias("n"), F.count_distinct("fingerprint").alias("kinds"), F.min(F.struct("place", "n_kids", "n_normal", "quantity")).alias("first")
+        F.count("*").alias("n"), (F.min("fingerprint") < F.max("fingerprint")).alias("clash"), F.min(F.struct("place", "n_kids", "n_normal", "quantity")).alias("first")
     )
     barren = F.when((F.col("first.n_kids") > 0) & (F.col("first.n_normal") == 0), "positive_branch_without_valid_children")
     of_paths = paths.groupBy("tree").agg(
         F.sum(F.col("n") - 1).alias("duplicates"), F.count_if(leaf).alias("leaves"), F.sum(F.when(leaf, F.col("first.quantity"))).alias("leaf_quantity"),
-        F.collect_set(F.when(F.col("kinds") > 1, "duplicate_structural_node_conflict")).alias("conflicts"), F.collect_set(barren).alias("barren"),
+        F.collect_set(F.when(F.col("clash"), "duplicate_structural_node_conflict")).alias("conflicts"), F.collect_set(barren).alias("barren"),
     )
     of_nodes = nodes.groupBy("tree").agg(F.count("*").alias("nodes_seen"), F.count_if(F.col("quantity") > 0).alias("positive_nodes"), F.flatten(F.collect_set("faults")).alias("own"))
     out = trees.select("tree", F.expr(f"try_cast(try_parse_json(body) AS {_LISTED})").isNull().alias("_odd"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import strict_json
 from ..operators import binding, scans, trees
-from ..operators.fixpoint import shared_path
+from ..operators.fixpoint import shared_path, spread
 from ..sources import store
 from ..sources.tables import TableSpec, read
 
@@ -106,7 +106,7 @@ def _deep_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat(F.lit("["), branch, F.lit(","), leaf, F.when(here & odd.isNotNull(), F.concat(F.lit(","), odd)).otherwise(""), F.lit("]"))
 
     body = F.aggregate(F.reverse(F.sequence(F.lit(1), n.cast("int"))), F.lit("[]"), around)
-    return read(spark, sf_dir, "part").select(k.alias("tree"), F.when(k % 97 == 0, '{"rows":1}').otherwise(body).alias("body"))
+    return spread(read(spark, sf_dir, "part").select("p_partkey"), "p_partkey").select(k.alias("tree"), F.when(k % 97 == 0, '{"rows":1}').otherwise(body).alias("body"))
 
 
 def deep_trees(spark: SparkSession, sf_dir: str) -> DataFrame:

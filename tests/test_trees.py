@@ -36,3 +36,9 @@ def test_faults_are_named_and_order_of_siblings_does_not_matter(spark):
     assert nodes["one", (0,)].fingerprint == nodes["two", (0,)].fingerprint != nodes["same", (0,)].fingerprint == nodes["same", (1,)].fingerprint
     assert (report["same"].duplicates, report["same"].leaves, report["one"].leaves, report["one"].leaf_quantity, report["deep"].nodes_seen) == (2, 1, 2, 4, 12)
     assert told(spark, [])[0] == {}
+
+
+def test_trees_of_one_partition_are_dealt_over_all(spark):
+    rows = [(k, json.dumps([node(1, "r", 9, node(2, "a", 3))])) for k in range(64)]
+    nodes = trees.tree_nodes(spark.createDataFrame(rows, "tree long, body string").coalesce(1))
+    assert nodes.count() == 128 and len(nodes.inputFiles()) >= 2 * 3
