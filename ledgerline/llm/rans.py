@@ -18,6 +18,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from concurrent.futures import Executor
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -117,9 +118,9 @@ class Coder:
         return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
-#: Bytes that are white space, that are ASCII letters or digits, and that end sentences and the like. One of the last
-#: kind between the second and the first is a token of its own, so a word may end before it.
-_SPACE, _ALNUM, _STOP = (np.isin(np.arange(256), list(x)) for x in (b" \t\n\x0b\x0c\r", bytes(x for x in range(128) if chr(x).isalnum()), b".,;:!?"))
+#: Bytes that are white space, that are ASCII letters or digits, and ASCII punctuation but for what words may hold. No token
+#: holds a letter or digit and one of the last kind after it, so a word may end between them.
+_SPACE, _ALNUM, _STOP = (np.isin(np.arange(256), list(x)) for x in (b" \t\n\x0b\x0c\r", bytes(x for x in range(128) if chr(x).isalnum()), b"!\"#$%&()*+,-./:;<=>?@[\\]^`{|}~"))
 
 
 def split_words(raws: list[bytes]) -> tuple[pa.Array, np.ndarray]:
@@ -129,7 +130,9 @@ def split_words(raws: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     inside = ~space
     begins = inside.copy()
     begins[1:] &= space[:-1]
-    begins[1:-1] |= _STOP[text[1:-1]] & _ALNUM[text[:-2]] & space[2:]
+    known = _ALNUM[text[:-1]]
+    known[1:] |= (text[:-2] == 0xC3) & (text[1:-1] != 0x97) & (text[1:-1] != 0xB7)  # letters of Latin-1, two bytes each
+    begins[1:] |= _STOP[text[1:]] & known
     place = np.flatnonzero(begins)
     offsets = np.append(np.cumsum(inside)[place] - 1, inside.sum()).astype(np.int64)
     words = pa.Array.from_buffers(pa.large_binary(), len(place), [None, pa.py_buffer(offsets), pa.py_buffer(text[inside])])
@@ -140,10 +143,14 @@ class WordTokens:
     """Ids of texts for a tokenizer that lower-cases, splits at white space and drops it: those of the words in a row."""
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.normalizer, self.nothing = self.tokenizer.normalizer, normalizers.Sequence([])
+        # Of each character twice in a row: where they stay as they are, lower-case ASCII words need no normalizer.
+        plain = "".join(chr(x) * 2 for x in range(128) if not chr(x).isupper() and not _SPACE[x])
+        self.bare = self.normalizer is not None and self.normalizer.normalize_str(plain) == plain
         self.special = {k: v.content for k, v in self.tokenizer.get_added_tokens_decoder().items() if v.special}
         self.reset()
 
@@ -156,18 +163,28 @@ class WordTokens:
         """Ids of each word. Many words go to the tokenizer as one text, with a special token between any two."""
         if not self.special:
             return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-        between, text = next(iter(self.special.items()))
         plain = [w for w in words if b"<|" not in w]
-        texts = [text.join([w.decode() for w in plain[i : i + 500]]) for i in range(0, len(plain), 500)]
+        ascii_ = [w for w in plain if w.isascii() and w == w.lower()] if self.bare else []
+        known: dict[bytes, np.ndarray] = {}
+        if ascii_:
+            self.tokenizer.normalizer = self.nothing
+            try:
+                known.update(zip(ascii_, self._together(ascii_), strict=True))
+            finally:
+                self.tokenizer.normalizer = self.normalizer
+        others = [w for w in plain if w not in known]
+        known.update(zip(others, self._together(others), strict=True))
+        return [known[w] if w in known else np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32) for w in words]
+
+    def _together(self, words: list[bytes]) -> list[np.ndarray]:
+        between, text = next(iter(self.special.items()))
+        texts = [text.join([w.decode() for w in words[i : i + 500]]) for i in range(0, len(words), 500)]
         found: list[np.ndarray] = []
         for one in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
             ids = np.array(one.ids, np.uint32)
             cuts = np.flatnonzero(ids == between)
             found += [ids[x:y] for x, y in zip(np.concatenate(([0], cuts + 1)).tolist(), np.append(cuts, len(ids)).tolist())]
-        if len(plain) == len(words):
-            return found
-        known = dict(zip(plain, found, strict=True))
-        return [known[w] if w in known else np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32) for w in words]
+        return found
 
     def add(self, words: list[bytes]) -> None:
         found = self._encoded(words)
@@ -188,13 +205,15 @@ class WordTokens:
         """The place of each word in the memory, where each distinct one is looked up once."""
         coded = words.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        new = [w for w in distinct if w not in self.place]
+        at = np.fromiter(map(self.place.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(at < 0)
         if len(self.place) + len(new) > MEMORY and self.place:
             self.reset()
-            new = distinct
-        if new:
-            self.add(new)
-        return np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+            new = np.arange(len(distinct))
+        if len(new):
+            at[new] = len(self.place) + np.arange(len(new))
+            self.add([distinct[i] for i in new.tolist()])
+        return at[coded.indices.to_numpy()]
 
     def encode(self, raws: list[bytes], end_id: int) -> list[np.ndarray]:
         marked = {i: raw.split() for i, raw in enumerate(raws) if b"<|" in raw}  # may hold special tokens, which have a case
