@@ -31,6 +31,16 @@ def settled(df: DataFrame, name: str = "round") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of input, as Spark estimates them, for which shares() gives a task.
+_SHARE = 1 << 22
+
+
+def shares(df: DataFrame) -> int:
+    """Over how many tasks to deal `df`: all shuffle partitions, and more where it is large, so that no task grows with it."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return min(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // _SHARE), 10_000)
+
+
 def spread(df: DataFrame, *by: str) -> DataFrame:
     """`df` dealt by columns over all shuffle partitions, however few tasks read it and however small it is.
 

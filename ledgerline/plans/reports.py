@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import ids
 from ..operators import report
+from ..operators.fixpoint import shares
 from ..sources.tables import read
 
 # What a source says of a part (p_...) in a market (m from 0 to 4), and of its state (price, stock); any SQL engine reads it.
@@ -42,33 +43,50 @@ _SAID = {
 }
 
 
-def _periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Periods of each part's price and stock in five markets, as lines by day of shipment show them."""
-    lines = read(spark, sf_dir, "lineitem")
-    last = F.max(F.struct("l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(18,4)").alias("price")))
-    days = lines.groupBy(F.col("l_partkey").alias("p_partkey"), (F.col("l_suppkey") % 5).alias("m"), F.to_date("l_shipdate").alias("day")).agg(last.alias("last"))
+def _offer(part: str, market: str) -> Column:
+    return ids.stable_id("of_", market=F.col(market), part=F.col(part))
+
+
+def _periods(lines: DataFrame, n: int) -> DataFrame:
+    """Periods of each part's price and stock in five markets, as lines by day of shipment show them.
+
+    Lines are dealt by offer over n tasks, without its id, and everything up to the report stays where its offer is: one shuffle and one sort.
+    """
+    lines = lines.select(
+        F.col("l_partkey").alias("p_partkey"), (F.col("l_suppkey") % 5).alias("m"), F.to_date("l_shipdate").alias("day"), "l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(18,4)").alias("price")
+    )
+    dealt = lines.repartition(n, _offer("p_partkey", "m")).select(_offer("p_partkey", "m").alias("offer_id"), "*")
+    dealt = dealt.filter("offer_id is not null")  # all are; as joins add this, both tables share the shuffle only with it
+    last = F.max(F.struct("l_orderkey", "l_linenumber", "price")).alias("last")
+    days = dealt.groupBy("offer_id", "day", "p_partkey", "m").agg(last)
     order = F.col("last.l_orderkey")
     price = F.when(order % 29 != 0, F.col("last.price"))
-    seen = days.select("p_partkey", "m", "day", price.alias("price"), F.when(price.isNull(), "unknown").when(order % 7 == 0, "out_of_stock").otherwise("available").alias("availability"))
-    w = Window.partitionBy("p_partkey", "m").orderBy("day")
+    seen = days.select("offer_id", "p_partkey", "m", "day", price.alias("price"), F.when(price.isNull(), "unknown").when(order % 7 == 0, "out_of_stock").otherwise("available").alias("availability"))
+    w = Window.partitionBy("offer_id").orderBy("day")
     same = F.col("price").eqNullSafe(F.lag("price").over(w)) & F.col("availability").eqNullSafe(F.lag("availability").over(w))
-    runs = seen.withColumn("same", same).withColumn("period", F.count_if(~F.col("same")).over(w))
-    spans = runs.groupBy("p_partkey", "m", "period").agg(F.min("day").alias("valid_from"), F.max("day").alias("last_observed_at"), F.first("price").alias("price"), F.first("availability").alias("availability"))
-    after = F.lead("valid_from").over(Window.partitionBy("p_partkey", "m").orderBy("period"))
+    runs = seen.withColumn("starts", ~same)
+    runs = runs.withColumn("ends", F.coalesce(F.lead("starts").over(w), F.lit(True)))
+    # Of a period the first and the last day are left; the first has all of it.
+    edges = runs.filter("starts or ends").select(
+        "*", F.when(F.col("ends"), F.col("day")).otherwise(F.lead("day").over(w)).alias("last_observed_at"), F.when(F.col("ends"), F.lead("day").over(w)).otherwise(F.lead("day", 2).over(w)).alias("valid_to")
+    )
     run = F.concat(F.lit("run-"), F.date_format("last_observed_at", "yyyyMMdd"))
     hashed = ids.digest(price=F.coalesce(F.col("price").cast("string"), F.lit("")), availability=F.col("availability"))
-    offer = ids.stable_id("of_", market=F.col("m"), part=F.col("p_partkey"))
-    return spans.withColumns({"valid_to": after, "last_scrape_run_id": run, "state_hash": hashed, "offer_id": offer, "currency": F.lit("HNL")})
+    return edges.filter("starts").withColumnRenamed("day", "valid_from").withColumns({"last_scrape_run_id": run, "state_hash": hashed, "currency": F.lit("HNL")})
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Current rows and history; for most rests of a part's number by 37 from 1 to 10 one of them is wrong in one way."""
-    spans, parts = _periods(spark, sf_dir), read(spark, sf_dir, "part")
+    lines = read(spark, sf_dir, "lineitem")
+    n = shares(lines)
+    spans = _periods(lines, n)
+    markets = read(spark, sf_dir, "part").select("*", F.explode(F.sequence(F.lit(0), F.lit(4)).cast("array<long>")).alias("m"))
+    parts = markets.repartition(n, _offer("p_partkey", "m")).select(_offer("p_partkey", "m").alias("offer_id"), *(c for c in markets.columns if c != "m"))
     fault = F.col("p_partkey") % 37
     if_ = lambda k, wrong, right: F.when(fault == k, wrong).otherwise(F.col(right)).alias(right)
     said = [F.expr(text).alias(c) for c, text in _SAID.items()]
     made = [ids.stable_id("sp_", market=F.col("m"), key=F.col("p_partkey")).alias("source_product_id"), ids.stable_id("pr_", part=F.col("p_partkey")).alias("product_id")]
-    current = spans.filter("valid_to is null").join(parts, "p_partkey").filter(fault != 1).select(
+    current = spans.filter("valid_to is null").drop("p_partkey").join(parts, "offer_id").filter(fault != 1).select(
         "offer_id", *said, *made, "currency", F.col("price").alias("current_price"), "availability", if_(7, F.date_sub("valid_from", 1), "valid_from").alias("first_observed_at"),
         if_(8, F.date_add("last_observed_at", 1), "last_observed_at"), if_(9, F.lit("run-0"), "last_scrape_run_id"), if_(6, F.lit("0"), "state_hash"),
     )
