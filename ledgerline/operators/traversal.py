@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .fixpoint import settled
+from .fixpoint import settled, shares
 
 _ORDER = ("first", "last", "page")
 _BUCKET_PAGES = 1024
@@ -56,14 +56,14 @@ _OF_PAGES = (
 )
 
 
-def _in_order(pages: DataFrame, limit: int) -> DataFrame:
+def _in_order(pages: DataFrame, limit: int, tasks: int) -> DataFrame:
     """For each page whether its total differs from the page before, and whether primary pages leave a gap before it.
 
     A leaf's pages are taken in buckets of positions, so that no task sorts a large leaf: what a bucket needs of those before
     is one row each.
     """
     reach = F.when((F.col("purpose") == "PRIMARY") & F.col("valid") & (F.col("first") < F.col("expected")), F.least("last", F.col("expected") - 1))
-    rows = pages.select("leaf", *_ORDER, "expected", "total", reach.alias("reach"), F.floor(F.coalesce("first", F.lit(-1)) / (limit * _BUCKET_PAGES)).alias("bucket"))
+    rows = pages.select("leaf", *_ORDER, "expected", "total", reach.alias("reach"), F.floor(F.coalesce("first", F.lit(-1)) / (limit * _BUCKET_PAGES)).alias("bucket")).repartition(tasks, "leaf", "bucket")
     whole = rows.groupBy("leaf", "bucket").agg(F.max_by(F.struct("total"), F.struct(*_ORDER)).alias("ends"), F.max("reach").alias("reaches"))
     across = Window.partitionBy("leaf").orderBy("bucket")
     whole = whole.select("leaf", "bucket", F.lag("ends").over(across).alias("ends"), F.max("reaches").over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("reaches"))
@@ -94,12 +94,14 @@ def evaluated(leaves: DataFrame, pages: DataFrame, limit: int = 50) -> DataFrame
     range counts as attempted and for its total alone. Products with a null key, or outside their page's range, take no place.
     A null total differs from any other. Other columns are ignored. Checked
     pages are written once to spark.checkpoint.dir, as six counts read them; all counts are aggregated before they meet in one last
-    shuffle; nothing of a leaf is collected in one task but slim rows of its buckets of pages.
+    shuffle. Positions, and buckets of pages, are dealt over more tasks where there are more; nothing of a leaf is collected in one task but slim rows of its buckets of pages.
     """
     rows = settled(_checked(pages, leaves, limit), "traversal")
     asked = rows.filter("expected > 0")
     items = asked.select("leaf", *_ORDER, F.explode("kept").alias("p"))
-    placed = items.groupBy("leaf", F.col("p.position").alias("position"), F.col("p.key").alias("key")).agg(F.count("*").alias("n"), F.min(F.struct(*_ORDER, "p.offset")).alias("at"))
+    n = shares(rows)
+    dealt = items.select("leaf", F.col("p.position").alias("position"), F.col("p.key").alias("key"), F.struct(*_ORDER, "p.offset").alias("at")).repartition(n, "leaf", "position")
+    placed = dealt.groupBy("leaf", "position", "key").agg(F.count("*").alias("n"), F.min("at").alias("at"))
     positions = placed.groupBy("leaf", "position").agg((F.sum("n") - F.min_by("n", "at")).alias("conflict"), F.min_by("key", "at").alias("holder"))
     pairs = items.select("leaf", F.col("p.key").alias("key"), F.explode("p.skus").alias("sku")).groupBy("leaf", "sku", "key").count()
     parts = [
@@ -111,7 +113,7 @@ def evaluated(leaves: DataFrame, pages: DataFrame, limit: int = 50) -> DataFrame
         positions.groupBy("leaf", "holder").agg((F.count("*") > 1).alias("duplicate_compensates_omission")).select("leaf", "duplicate_compensates_omission"),
         placed.groupBy("leaf", "key").agg(F.sum("n").alias("occurrences")).select("leaf", "occurrences", F.lit(1).cast("long").alias("distinct")),
         pairs.groupBy("leaf", "sku").agg(F.count("*").alias("owners")).select("leaf", "owners"),
-        _in_order(asked, limit),
+        _in_order(asked, limit, n),
     ]
     tall = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)

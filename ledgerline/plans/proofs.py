@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import locations, traversal
+from ..operators.fixpoint import shares
 from ..sources.tables import read
 
 _PAGE = 4
@@ -24,6 +25,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customers = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")
     w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
     key = F.col("o_orderkey").cast("string")
+    orders = orders.select("o_custkey", "o_orderkey").repartition(shares(orders), "o_custkey")
     rows = orders.select(F.col("o_custkey").alias("leaf"), (F.row_number().over(w) - 1).cast("long").alias("place"), key.alias("key"), F.lag(key).over(w).alias("last_key"), F.count("*").over(Window.partitionBy("o_custkey")).alias("n"))
     rows = rows.join(customers.select(F.col("c_custkey").alias("leaf"), "c_mktsegment"), "leaf").withColumn("kind", F.col("leaf") % 16)
     kind, place = F.col("kind"), F.col("place")
