@@ -42,8 +42,12 @@ FILTER_BITS = 1 << 25
 COLUMNS = 64
 #: Bytes up to which pairs of lines are compared TOGETHER, and lines of a bucket up to which its pairs wait for those of others.
 TABLE, TOGETHER, WAITING = 4096, 256, 64
-#: Tasks over which the copies of one line are dealt; lines that a task remembers as seen.
+#: Tasks over which the copies of one line are dealt; lines that a task remembers as seen, or as linked.
 SALT, SEEN = 8, 500_000
+#: Keys go through the shuffle in chunks of at most CHUNKED that share a slot, of which there are SLOTS at least and four for each
+#: partition; a task sorts its keys by slots once it has PACKED.
+SLOTS, CHUNKED, PACKED = 4096, 256, 1 << 20
+_KEYED = np.dtype([("key", "<i8"), ("h", "<i8"), ("size", "<i4")])
 
 #: Normalised bytes: letters in lower case, digits as 0, bytes beyond ASCII as they are, and all else 32 (line feed: 10).
 _TABLE = np.full(256, 32, np.uint8)
@@ -94,7 +98,7 @@ def _blocks(lines: int, line: np.ndarray, hashes: np.ndarray, n: int, shift: int
         # Four numbers with eight counters of 8 bits each; groups are cut so that no counter runs over.
         bits = np.unpackbits(rows.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 4:]).reshape(-1, 32).view(np.uint64)
         longest = int(count.max())
-        cuts = np.unique(np.concatenate([first, *(first[count > k] + k for k in range(255, longest, 255))]))
+        cuts = np.sort(np.concatenate([first, *(first[count > k] + k for k in range(255, longest, 255))])) if longest > 255 else first
         ones = np.add.reduceat(bits, cuts, axis=0).view(np.uint8).reshape(-1, 32)
         if longest > 255:
             ones = np.add.reduceat(ones, np.searchsorted(cuts, first), axis=0, dtype=np.int32)
@@ -246,12 +250,26 @@ def line_hashes(docs: DataFrame, id_col: str, text_col: str, row_col: str) -> Da
 
 
 def keys_of_lines(lines: DataFrame) -> DataFrame:
-    """key, h and size of fresh lines: a row for each key of a line."""
+    """slot and rows of fresh lines: chunks of keys of that slot, each with its line's h and size (_KEYED). All rows of a key are in one slot."""
+    partitions = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = np.uint64(max(SLOTS, 4 * partitions))
+
+    def chunks(held: list[np.ndarray]) -> pa.RecordBatch:
+        rows = np.concatenate(held)
+        slot = (_mixed(rows["key"].view(np.uint64)) % slots).astype(np.int32)
+        order = np.argsort(slot, kind="stable")
+        rows, slot = rows[order], slot[order]
+        begins = np.union1d(np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1]))), np.arange(0, len(rows), CHUNKED))
+        offsets = (np.append(begins, len(rows)) * _KEYED.itemsize).astype(np.int32)
+        packed = pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(rows.view(np.uint8))])
+        return pa.RecordBatch.from_arrays([pa.array(slot[begins]), packed], names=["slot", "rows"])
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, backs = _powers(_BASE, CHUNK), _powers(_BACK, CHUNK)
+        found: list[np.ndarray] = []
+        n = 0
         for batch in batches:
-            h, texts = batch.column(0), batch.column(1)
+            h, texts = batch.column(0).to_numpy(), batch.column(1)
             _, offsets, flat = texts.buffers()
             offsets = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
             done = 0
@@ -262,13 +280,20 @@ def keys_of_lines(lines: DataFrame) -> DataFrame:
                 if size > len(powers):
                     powers, backs = _powers(_BASE, size), _powers(_BACK, size)
                 key, at = line_keys(np.frombuffer(flat, np.uint8, size, int(part[0])), part - part[0], powers, backs)
-                sizes = np.diff(part).astype(np.int32)[at]
-                yield pa.RecordBatch.from_arrays([pa.array(key), h.take(pa.array(at + done)), pa.array(sizes)], names=["key", "h", "size"])
+                rows = np.empty(len(key), _KEYED)
+                rows["key"], rows["h"], rows["size"] = key, h[at + done], np.diff(part)[at]
+                found.append(rows)
+                n += len(rows)
+                if n >= PACKED:
+                    yield chunks(found)
+                    found, n = [], 0
                 done = upto
             if len(powers) > 64 * CHUNK:  # after a very long line
                 powers, backs = powers[:CHUNK].copy(), backs[:CHUNK].copy()
+        if n:
+            yield chunks(found)
 
-    return lines.filter("fresh").select("h", "text").mapInArrow(keys, "key long, h long, size int")
+    return lines.filter("fresh").select("h", "text").mapInArrow(keys, "slot int, rows binary")
 
 
 def _within(small: np.ndarray, large: np.ndarray) -> np.ndarray:
@@ -277,64 +302,74 @@ def _within(small: np.ndarray, large: np.ndarray) -> np.ndarray:
 
 
 def line_buckets(keyed: DataFrame) -> DataFrame:
-    """bucket, h: the lines that share a key, where some two of them are about as long; buckets of the same lines have
-    the same number. Lines of buckets above MEETING all come, with the key as the number."""
+    """bucket, home, h: the lines that share a key, where some two of them are about as long; buckets of the same lines have
+    the same number, and their least line as home. Lines of buckets above MEETING all come, with the key as number and home."""
+
+    def out(bucket: np.ndarray, home: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(home), pa.array(h)], names=["bucket", "home", "h"])
+
+    def close(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(rows["key"])
+        key = rows["key"][order]
+        same = key[1:] == key[:-1]
+        shared = np.concatenate((same, [False])) | np.concatenate(([False], same))
+        if not shared.any():
+            return
+        rows, key = rows[order[shared]], key[shared]
+        h, size = rows["h"], rows["size"]
+        place = np.cumsum(np.concatenate(([True], key[1:] != key[:-1]))) - 1
+        order = np.lexsort((h, size, place))
+        place, h, size, key = place[order], h[order], size[order], key[order]
+        once = np.concatenate(([True], (place[1:] != place[:-1]) | (h[1:] != h[:-1])))  # several tasks may have had a line
+        place, h, size, key = place[once], h[once], size[once], key[once]
+        begins = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+        sizes = np.diff(np.append(begins, len(place)))
+        near = (place[1:] == place[:-1]) & _within(size[:-1], size[1:])
+        several = np.zeros(len(begins), bool)
+        several[place[1:][near]] = True
+        # A bucket's number is a sum over its lines.
+        number = np.add.reduceat(_mixed(h.view(np.uint64) + np.uint64(_BASE)), begins).view(np.int64)
+        home = np.minimum.reduceat(h, begins)
+        kept = several[place] & (sizes[place] <= MEETING)
+        if kept.any():
+            yield out(number[place[kept]], home[place[kept]], h[kept])
+        for k in np.flatnonzero(sizes > MEETING):
+            own = slice(begins[k], begins[k] + sizes[k])
+            yield out(key[own], key[own], h[own])
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.zeros(0, np.int64)
-        held = none, none, none.astype(np.int32)  # key, h and size of the last bucket seen, which the next batch may go on with
-        large = None  # its key, once it is above MEETING
-
-        def out(bucket: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(h)], names=["bucket", "h"])
-
-        def close(key: np.ndarray, h: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
-            begins = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-            sizes = np.diff(np.append(begins, len(key)))
-            place = np.repeat(np.arange(len(begins)), sizes)
-            order = np.lexsort((h, size, place))
-            place, h, size, key = place[order], h[order], size[order], key[order]
-            once = np.concatenate(([True], (place[1:] != place[:-1]) | (h[1:] != h[:-1])))  # several tasks may have had a line
-            place, h, size, key = place[once], h[once], size[once], key[once]
-            begins = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-            sizes = np.diff(np.append(begins, len(place)))
-            near = (place[1:] == place[:-1]) & _within(size[:-1], size[1:])
-            several = np.zeros(len(begins), bool)
-            several[place[1:][near]] = True
-            # A bucket's number is a sum over its lines.
-            number = np.add.reduceat(_mixed(h.view(np.uint64) + np.uint64(_BASE)), begins).view(np.int64)
-            kept = several[place] & (sizes[place] <= MEETING)
-            if kept.any():
-                yield out(number[place[kept]], h[kept])
-            for k in np.flatnonzero(sizes > MEETING):
-                yield out(key[begins[k] : begins[k] + sizes[k]], h[begins[k] : begins[k] + sizes[k]])
-
+        held: list[np.ndarray] = []
+        large = np.zeros(0, np.int64)  # keys of this slot above MEETING, whose lines aren't held
+        now, n, most = None, 0, PACKED
         for batch in batches:
-            now = tuple(np.concatenate((x, batch.column(i).to_numpy())) for i, x in enumerate(held))
-            if large is not None:
-                other = np.flatnonzero(now[0] != large)
-                same = int(other[0]) if len(other) else len(now[0])
-                if same:
-                    yield out(now[0][:same], now[1][:same])
-                now = tuple(x[same:] for x in now)
-                if not len(now[0]):
-                    held = now
-                    continue
-                large = None
-            if not len(now[0]):
-                continue
-            last = int(np.flatnonzero(np.concatenate(([True], now[0][1:] != now[0][:-1])))[-1])
-            if last:
-                yield from close(*(x[:last] for x in now))
-            held = tuple(x[last:] for x in now)
-            if len(held[0]) > MEETING:
-                yield out(held[0], held[1])
-                large, held = held[0][-1], (none, none, none.astype(np.int32))
-        if len(held[0]):
-            yield from close(*held)
-
-    rows = keyed.select("key", "h", "size").repartition("key").sortWithinPartitions("key")
-    return rows.mapInArrow(members, "bucket long, h long").distinct()
+            slots = batch.column(0).to_numpy()
+            for slot, raw in zip(slots.tolist(), batch.column(1), strict=True):
+                if slot != now:
+                    if n >= PACKED // 8:  # of small slots several are taken together
+                        yield from close(np.concatenate(held))
+                        held, n = [], 0
+                    now, large, most = slot, large[:0], PACKED
+                rows = np.frombuffer(raw.as_buffer(), _KEYED)
+                if len(large):
+                    hit = np.isin(rows["key"], large)
+                    if hit.any():
+                        yield out(*(rows[x][hit] for x in ("key", "key", "h")))
+                        rows = rows[~hit]
+                held.append(rows)
+                n += len(rows)
+                if n > most:
+                    rows = np.concatenate(held)
+                    keys, counts = np.unique(rows["key"], return_counts=True)
+                    large = np.concatenate((large, keys[counts > MEETING]))
+                    hit = np.isin(rows["key"], large)
+                    yield out(*(rows[x][hit] for x in ("key", "key", "h")))
+                    held, n = [rows[~hit]], int((~hit).sum())
+                    most = max(PACKED, 2 * n)
+        if n:
+            yield from close(np.concatenate(held))
+
+    rows = keyed.repartition("slot").sortWithinPartitions("slot")
+    return rows.mapInArrow(members, "bucket long, home long, h long").distinct()
 
 
 def meetings(rows: DataFrame, by: str) -> DataFrame:
@@ -528,12 +563,13 @@ def _threes(texts: list[bytes]) -> np.ndarray:
     return np.bincount(owner[inside] * 512 + runs[inside], minlength=512 * len(texts)).reshape(-1, 512).astype(np.int32)
 
 
-def similar_links(texts: list[bytes], later: list[tuple[int, int, tuple[bytes, bytes, int]]] | None = None) -> list[tuple[int, int]]:
+def similar_links(texts: list[bytes], later: list[tuple[int, int, tuple[bytes, bytes, int]]] | None = None, linked: list[int] | None = None) -> list[tuple[int, int]]:
     """Links of a forest over the places of `texts` that connects all similar ones.
 
     An edit changes the size by at most one, and takes or adds at most three of the runs of three bytes; texts beyond
     that are not compared. With `later`, pairs of which that and their words don't tell go there instead, as places and what is to be
-    compared; the links connect all similar ones together with those of them that are found similar.
+    compared; the links connect all similar ones together with those of them that are found similar. Texts with the same number in
+    `linked` are connected already.
     """
     if len(texts) == 2:
         told = _told(*texts)
@@ -542,12 +578,21 @@ def similar_links(texts: list[bytes], later: list[tuple[int, int, tuple[bytes, b
             return []
         return [(0, 1)] if told is True or told and _within_edits(*told) else []
     sizes, threes = np.array([len(x) for x in texts]), _threes(texts)
-    left, todo, links, unsure, linked = np.arange(len(texts)), [], [], [], np.zeros(len(texts), bool)
+    before = None if linked is None else np.array(linked)
+    left, todo, links, unsure, taken = np.arange(len(texts)), [], [], [], np.zeros(len(texts), bool)
+    group = list(range(len(texts)))
     while len(left):
         if not todo:
             todo, left = [int(left[0])], left[1:]
             continue
         x = todo.pop()
+        if before is not None:
+            mates = before[left] == before[x]
+            if mates.any():
+                for i in left[mates].tolist():
+                    group[i] = group[x]
+                    todo.append(i)
+                left = left[~mates]
         most = np.maximum(sizes[left], sizes[x]) * round(100 - 100 * SIMILARITY) // 100
         close = np.abs(sizes[left] - sizes[x]) <= most
         able, most = left[close], most[close]
@@ -563,25 +608,62 @@ def similar_links(texts: list[bytes], later: list[tuple[int, int, tuple[bytes, b
         if near:
             links += [(x, i) for i in near]
             todo += near
-            linked[near] = True
-            left = left[~linked[left]]
+            for i in near:
+                group[i] = group[x]
+            taken[near] = True
+            left = left[~taken[left]]
     if unsure:
-        group = list(range(len(texts)))
-        for a, b in links:  # b is new to the group of a
-            group[b] = group[a]
         later += [(x, i, t) for x, i, t in unsure if group[x] != group[i]]
     return links
 
 
-def links_of_groups(groups: list[list[bytes]]) -> list[tuple[int, int, int]]:
+class Linked:
+    """What is connected by the links so far: a forest over names, of which each is a tree by itself at first."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        up = self.up
+        while (y := up.get(x, x)) != x:
+            up[x] = up.get(y, y)
+            x = y
+        return x
+
+    def link(self, x: int, y: int) -> None:
+        x, y = self.root(x), self.root(y)
+        if x != y:
+            self.up[max(x, y)] = min(x, y)
+
+
+def links_of_groups(groups: list[list[bytes]], names: list[list[int]] | None = None, linked: Linked | None = None) -> list[tuple[int, int, int]]:
     """group, place, place: links within each of `groups` that connect all similar texts. Small groups wait for what words don't tell,
-    which is compared for all of them at once."""
+    which is compared for all of them at once. With `names` of the texts, those that `linked` connects aren't compared again."""
     links, later = [], []
+    linked = linked or Linked()
     for k, texts in enumerate(groups):
+        roots = None if names is None else [linked.root(x) for x in names[k]]
+        if roots and roots.count(roots[0]) == len(roots):
+            continue
         unsure = [] if len(texts) <= WAITING else None
-        links += [(k, x, y) for x, y in similar_links(texts, unsure)]
+        found = similar_links(texts, unsure, roots)
+        links += [(k, x, y) for x, y in found]
+        if roots:
+            for x, y in found:
+                linked.link(roots[x], roots[y])
         later += [(k, *u) for u in unsure or ()]
-    return links + [(k, x, y) for (k, x, y, _), yes in zip(later, _all_within_edits([u[3] for u in later])) if yes]
+    if names is not None:
+        once = {}
+        for k, x, y, told in later:
+            a, b = names[k][x], names[k][y]
+            if linked.root(a) != linked.root(b):
+                once.setdefault((a, b) if a < b else (b, a), (k, x, y, told))
+        later = list(once.values())
+    more = [(k, x, y) for (k, x, y, _), yes in zip(later, _all_within_edits([u[3] for u in later])) if yes]
+    if names is not None:
+        for k, x, y in more:
+            linked.link(names[k][x], names[k][y])
+    return links + more
 
 
 def similar_lines(lines: DataFrame) -> DataFrame:
@@ -590,18 +672,25 @@ def similar_lines(lines: DataFrame) -> DataFrame:
     wanted = buckets.select("h").distinct()
     fresh = among(lines.filter("fresh").select("h", "text"), wanted)
     texts = written(fresh.join(wanted, "h", "left_semi").groupBy("h").agg(F.min("text").alias("text")), "texts")
-    met = meetings(buckets.join(texts, "h"), "h").withColumn("meeting", F.xxhash64("bucket", "p", "q"))
+    # Buckets with the same least line go to one task, which then need not compare again what is linked already.
+    met = meetings(buckets, "h").withColumn("meeting", F.xxhash64("bucket", "p", "q")).withColumn("deal", F.xxhash64("home", "p", "q")).join(texts, "h")
 
-    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        linked = Linked()
         for table in whole_groups(batches):
             meeting, h, text = table.column(0).to_numpy(), table.column(1).to_numpy(), table.column(2).to_pylist()
             begins = np.flatnonzero(np.concatenate(([True], meeting[1:] != meeting[:-1])))
-            groups = [text[i:j] for i, j in zip(begins, np.append(begins[1:], len(h)))]
-            found = [(h[begins[k] + x], h[begins[k] + y]) for k, x, y in links_of_groups(groups)]
+            spans = list(zip(begins.tolist(), np.append(begins[1:], len(h)).tolist()))
+            names = h.tolist()
+            if len(linked.up) > SEEN:
+                linked = Linked()
+            links = links_of_groups([text[i:j] for i, j in spans], [names[i:j] for i, j in spans], linked)
+            found = [(h[begins[k] + x], h[begins[k] + y]) for k, x, y in links]
             pairs = np.array(found, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    return met.select("meeting", "h", "text").repartition("meeting").sortWithinPartitions("meeting").mapInArrow(links, "a long, b long")
+    dealt = met.select("meeting", "h", "text", "deal").repartition("deal").sortWithinPartitions("deal", "meeting")
+    return dealt.mapInArrow(compared, "a long, b long")
 
 
 def _removed(docs: DataFrame, id_col: str, text_col: str, row_col: str) -> DataFrame:
