@@ -14,6 +14,7 @@ states u64; then the words u32.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -36,7 +37,7 @@ BLOCK = 1 << 18
 #: Words whose ids a worker remembers before it starts anew.
 MEMORY = 600_000
 #: Bytes of text that are split into words at once: the more, the fewer distinct words to look up.
-CHUNK = 1 << 22
+CHUNK = 1 << 23
 _HEAD = struct.Struct("<4sIIQIQ")
 
 
@@ -123,6 +124,10 @@ class Coder:
 _SPACE, _ALNUM, _STOP = (np.isin(np.arange(256), list(x)) for x in (b" \t\n\x0b\x0c\r", bytes(x for x in range(128) if chr(x).isalnum()), b"!\"#$%&()*+,-./:;<=>?@[\\]^`{|}~"))
 
 
+#: Lower-case letters of ASCII and Latin-1.
+_LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+
+
 def split_words(raws: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     """The words of all texts in lower case, one after the other, and where each text's words begin and the last one's end."""
     text = np.frombuffer(b"\n".join([*raws, b""]).lower(), np.uint8)
@@ -134,7 +139,8 @@ def split_words(raws: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     known[1:] |= (text[:-2] == 0xC3) & (text[1:-1] != 0x97) & (text[1:-1] != 0xB7)  # letters of Latin-1, two bytes each
     begins[1:] |= _STOP[text[1:]] & known
     place = np.flatnonzero(begins)
-    offsets = np.append(np.cumsum(inside)[place] - 1, inside.sum()).astype(np.int64)
+    upto = np.cumsum(inside, dtype=np.int32 if len(inside) < 1 << 31 else np.int64)
+    offsets = np.append(upto[place].astype(np.int64) - 1, inside.sum())
     words = pa.Array.from_buffers(pa.large_binary(), len(place), [None, pa.py_buffer(offsets), pa.py_buffer(text[inside])])
     return words, np.searchsorted(place, np.cumsum([0] + [len(x) + 1 for x in raws]))
 
@@ -151,15 +157,44 @@ class WordTokens:
         # Of each character twice in a row: where they stay as they are, lower-case ASCII words need no normalizer.
         plain = "".join(chr(x) * 2 for x in range(128) if not chr(x).isupper() and not _SPACE[x])
         self.bare = self.normalizer is not None and self.normalizer.normalize_str(plain) == plain
-        self.special = {k: v.content for k, v in self.tokenizer.get_added_tokens_decoder().items() if v.special}
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = {k: v.content for k, v in added.items() if v.special}
+        self.is_letters = re.compile(f"[{_LETTERS}]+").fullmatch
+        self.pieces = None if any(self.is_letters(v.content) for v in added.values()) else self._pieces()
         self.reset()
 
+    def _pieces(self) -> dict[int, str] | None:
+        """What the pre-tokenizer makes of each letter, if a word of letters stays as it is in the normalizer and is one piece: the
+        tokenizer's model takes such words as they are."""
+        normal = self.normalizer.normalize_str if self.normalizer is not None else str
+        pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str if self.tokenizer.pre_tokenizer is not None else lambda text: [(text, None)]
+        each = {ord(x): "".join(piece for piece, _ in pieces(x)) for x in _LETTERS}
+        for twice in ("".join(x * 2 for x in _LETTERS), "".join(x * 2 for x in reversed(_LETTERS))):
+            if normal(twice) != twice or [piece for piece, _ in pieces(twice)] != [twice.translate(each)]:
+                return None
+        return each
+
     def reset(self) -> None:
         self.place: dict[bytes, int] = {}
         self.ids, self.size = np.zeros(1 << 20, np.uint32), 0
         self.begin, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
 
-    def _encoded(self, words: list[bytes]) -> list[np.ndarray]:
+    def _encoded(self, words: list[bytes]) -> tuple[list[int], list[int]]:
+        """Ids of all words, one after the other, and how many each has. Words of letters go to the tokenizer's model, which is what the
+        tokenizer does once it has taken them for one piece each."""
+        pieces, tokenize = self.pieces, self.tokenizer.model.tokenize
+        texts = [word.decode() for word in words]
+        direct = [pieces is not None and self.is_letters(text) is not None for text in texts]
+        others = iter(self._by_tokenizer([word for word, yes in zip(words, direct) if not yes]))
+        ids: list[int] = []
+        counts: list[int] = []
+        for text, yes in zip(texts, direct):
+            own = [x.id for x in tokenize(text.translate(pieces))] if yes else next(others).tolist()
+            ids += own
+            counts.append(len(own))
+        return ids, counts
+
+    def _by_tokenizer(self, words: list[bytes]) -> list[np.ndarray]:
         """Ids of each word. Many words go to the tokenizer as one text, with a special token between any two."""
         if not self.special:
             return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
@@ -187,8 +222,8 @@ class WordTokens:
         return found
 
     def add(self, words: list[bytes]) -> None:
-        found = self._encoded(words)
-        k, counts = len(self.place), np.fromiter(map(len, found), np.int64, len(found))
+        found, counts = self._encoded(words)
+        k, counts = len(self.place), np.array(counts, np.int64)
         total = int(counts.sum())
         while self.size + total > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros(len(self.ids), np.uint32)))
@@ -198,7 +233,7 @@ class WordTokens:
         self.count[k : k + len(words)] = counts
         self.begin[k : k + len(words)] = self.size + np.cumsum(counts) - counts
         if total:
-            self.ids[self.size : self.size + total] = np.concatenate(found)
+            self.ids[self.size : self.size + total] = found
         self.size += total
 
     def numbers(self, words: pa.Array) -> np.ndarray:

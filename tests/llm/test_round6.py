@@ -1,12 +1,13 @@
-"""Keys of lines go through the shuffle in chunks, and lines that are linked are not compared again."""
+"""Keys of lines go through the shuffle in chunks, linked lines are not compared again, and words of letters need no splitting."""
 
 from __future__ import annotations
 
 from collections import defaultdict
 
 import numpy as np
+import public_tokenizers
 
-from ledgerline.llm import lines
+from ledgerline.llm import lines, rans
 
 
 def test_keys_are_shuffled_in_chunks_and_buckets_stay(spark):
@@ -57,3 +58,24 @@ def test_linked_lines_are_not_compared_again(monkeypatch):
     found = [links for half in (groups[:3], groups[3:]) for links in lines.links_of_groups([[texts[i] for i in g] for g in half], half, linked)]
     assert len({linked.root(i) for i in range(9)}) == 1 and linked.root(9) == 9
     assert len(found) == 8 and len(compared) == 8  # one comparison for each link that a tree of nine needs
+
+
+def test_words_of_letters_go_to_the_model(monkeypatch):
+    tokens = rans.WordTokens(public_tokenizers.path("word_bpe_49k.json"))
+    split = []
+    together = tokens._together
+    monkeypatch.setattr(tokens, "_together", lambda words: split.extend(words) or together(words))
+    text = "Über die façade, naïve ÿþ cœur straße queasadodoñ x2 it's don't éé é ªµº ÷ İ <|endoftext|> aux <|x"
+    for one in (text, "Plain words AND größere Wörter", text.upper(), "a" * 3000 + " ß" * 9):
+        assert tokens.encode([one.encode()], 2)[0].tolist() == [*tokens.tokenizer.encode(one, add_special_tokens=False).ids, 2]
+    assert b"x2" in split and "cœur".encode() in split and not {b"die", "façade".encode(), b"plain", "straße".encode()} & set(split)
+
+
+def test_a_tokenizer_that_changes_letters_takes_all_words(tmp_path):
+    from tokenizers import Tokenizer, models, normalizers, pre_tokenizers
+
+    tokenizer = Tokenizer(models.BPE({"a": 0, "b": 1, "e": 2, "ab": 3, "é": 4}, [("a", "b")]))
+    tokenizer.normalizer, tokenizer.pre_tokenizer = normalizers.Sequence([normalizers.NFD(), normalizers.StripAccents(), normalizers.Lowercase()]), pre_tokenizers.Whitespace()
+    tokenizer.save(str(tmp_path / "t.json"))
+    tokens = rans.WordTokens(str(tmp_path / "t.json"))
+    assert tokens.pieces is None and tokens.encode(["abé ab".encode()], 9)[0].tolist() == [3, 2, 3, 9]
