@@ -42,8 +42,10 @@ FILTER_BITS = 1 << 25
 COLUMNS = 64
 #: Bytes up to which pairs of lines are compared TOGETHER, and lines of a bucket up to which its pairs wait for those of others.
 TABLE, TOGETHER, WAITING = 4096, 256, 64
-#: Tasks over which the copies of one line are dealt; lines that a task remembers as seen, or as linked.
-SALT, SEEN = 8, 500_000
+#: Diagonals after which a comparison of pairs TOGETHER looks which of them can still succeed.
+DIAGONALS = 16
+#: Tasks over which the copies of a line are dealt if it has more than COMMON; lines that a task remembers as seen, or as linked.
+SALT, COMMON, SEEN = 8, 1024, 500_000
 #: Keys go through the shuffle in chunks of at most CHUNKED that share a slot, of which there are SLOTS at least and four for each
 #: partition; a task sorts its keys by slots once it has PACKED.
 SLOTS, CHUNKED, PACKED = 4096, 256, 1 << 20
@@ -69,26 +71,38 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def normalised(raw: bytes) -> bytes:
     """A text's normalised form: words of letters, digit runs as one 0, and bytes beyond ASCII; line feeds stay."""
-    text = _TABLE[np.frombuffer(raw, np.uint8)]
-    again = np.zeros(len(text), bool)
-    again[1:] = (text[1:] == 48) & (text[:-1] == 48)
-    return text[~again].tobytes()
+    text = raw.translate(_TABLE.tobytes())
+    if b"00" not in text:
+        return text
+    flat = np.frombuffer(text, np.uint8)
+    digit = flat == 48
+    kept = np.ones(len(flat), bool)
+    np.logical_and(digit[1:], digit[:-1], out=kept[1:])
+    np.logical_not(kept[1:], out=kept[1:])
+    return flat[kept].tobytes()
 
 
-def _blocks(lines: int, line: np.ndarray, hashes: np.ndarray, n: int, shift: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of features (line, hash): the lines' n blocks, how many distinct features are in each, and a sum over those.
+def _blocks(lines: int, line: np.ndarray, hashes: np.ndarray, n: int, shift: int, summed: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of features (line, hash): the lines' n blocks, how many distinct features are in each, and a sum over those if wanted.
 
-    A block is the SimHash, of 32 bits, of the line's distinct features in it (0 if there are none).
+    A block is the SimHash, of 32 bits, of the line's distinct features in it (0 if there are none). Blocks come as rows.
     """
-    group = line * n + ((hashes >> np.uint64(shift)) % np.uint64(n)).astype(np.int64)
-    rows = np.sort(group.astype(np.uint64) << np.uint64(32) | hashes & np.uint64(0xFFFFFFFF))
+    part = (hashes >> np.uint64(shift)).astype(np.uint32)
+    part -= part // np.uint32(n) * np.uint32(n)
+    rows = (line * n + part).view(np.uint64)
+    rows <<= np.uint64(32)
+    rows |= hashes & np.uint64(0xFFFFFFFF)
+    rows.sort()
     rows = rows[np.concatenate(([True], rows[1:] != rows[:-1]))] if len(rows) else rows
     groups, held = (rows >> np.uint64(32)).astype(np.int64), np.zeros(lines * n, np.int64)
     blocks, sums = np.zeros(lines * n, np.uint64), np.zeros(lines * n, np.uint64)
@@ -96,52 +110,61 @@ def _blocks(lines: int, line: np.ndarray, hashes: np.ndarray, n: int, shift: int
         first = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1])))
         count = np.diff(np.append(first, len(groups)))
         # Four numbers with eight counters of 8 bits each; groups are cut so that no counter runs over.
-        bits = np.unpackbits(rows.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 4:]).reshape(-1, 32).view(np.uint64)
+        bits = np.unpackbits(rows.astype(np.uint32).astype(">u4").view(np.uint8)).reshape(-1, 32).view(np.uint64)
         longest = int(count.max())
         cuts = np.sort(np.concatenate([first, *(first[count > k] + k for k in range(255, longest, 255))])) if longest > 255 else first
         ones = np.add.reduceat(bits, cuts, axis=0).view(np.uint8).reshape(-1, 32)
         if longest > 255:
             ones = np.add.reduceat(ones, np.searchsorted(cuts, first), axis=0, dtype=np.int32)
         at = groups[first]
-        blocks[at] = np.packbits(2 * ones.astype(np.int32) > count[:, None], axis=1).view(">u4").ravel()
+        blocks[at] = np.packbits(ones > (count >> 1).astype(ones.dtype)[:, None]).view(">u4")  # in over half of them
         held[at] = count
-        sums[at] = np.add.reduceat(_mixed((rows & np.uint64(0xFFFFFFFF)) + np.uint64(_BASE)), first)
-    return blocks.reshape(lines, n), held.reshape(lines, n), sums.reshape(lines, n)
+        if summed:
+            sums[at] = np.add.reduceat(_mixed((rows & np.uint64(0xFFFFFFFF)) + np.uint64(_BASE)), first)
+    blocks, held, sums = (np.ascontiguousarray(x.reshape(lines, n).T) for x in (blocks, held, sums))
+    return blocks, held, sums
 
 
 def hashed_lines(raw: bytes, powers: np.ndarray, backs: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Of the lines that have a word: number, hash and text of the normalised line."""
     text = np.frombuffer(normalised(raw), np.uint8)
-    inside = text > 32
-    edge = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    inside = np.zeros(len(text) + 2, bool)
+    np.greater(text, 32, out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
     if not len(starts):
         none = np.zeros(0, np.int64)
         return none, none.view(np.uint64), pa.array([], pa.binary())
-    line = np.searchsorted(np.flatnonzero(text == 10), starts)
-    first = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
-    count = np.diff(np.append(first, len(line)))
+    upto = np.concatenate(([0], np.searchsorted(starts, np.flatnonzero(text == 10)), [len(starts)]))
+    count = np.diff(upto)
+    line = np.flatnonzero(count)
+    first, count = upto[line], count[line]
     words = _word_hashes(text, starts, ends, powers, backs)
-    place = np.arange(len(line)) - np.repeat(first, count)
-    whole = np.add.reduceat(_mixed(words + (place + 1).astype(np.uint64) * np.uint64(_BASE)), first)
+    place = (np.arange(1, len(starts) + 1) - np.repeat(first, count)).view(np.uint64)
+    place *= np.uint64(_BASE)
+    place += words
+    whole = np.add.reduceat(_mixed(place), first)
     # The texts: words and the one byte after each, but for the last of a line.
     last = first + count - 1
-    kept = np.zeros(len(text) + 1, np.int8)
-    kept[starts] = 1
-    stops = ends + 1
-    stops[last] -= 1
-    np.add.at(kept, stops, -1)
-    kept = np.cumsum(kept[:-1], dtype=np.int8) > 0
-    upto = np.concatenate(([0], np.cumsum(kept)))
-    offsets = np.concatenate(([0], upto[ends[last]])).astype(np.int32)
-    texts = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(text[kept])])
-    return line[first], whole, texts
+    kept, inner = inside[1:], np.ones(len(ends), bool)
+    inner[last] = False
+    kept[ends[inner]] = True
+    offsets = np.concatenate(([0], np.cumsum(np.add.reduceat(ends - starts, first) + count - 1))).astype(np.int32)
+    texts = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(text[kept[:-1]])])
+    return line, whole, texts
 
 
 def _word_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: np.ndarray, backs: np.ndarray) -> np.ndarray:
     """A hash of each word of `text`, whatever its place."""
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(text.astype(np.uint64) * powers[: len(text)], dtype=np.uint64)))
-    return _mixed((sums[ends] - sums[starts]) * backs[starts] + (ends - starts).astype(np.uint64))
+    sums = np.empty(len(text) + 1, np.uint64)
+    sums[0] = 0
+    np.multiply(text, powers[: len(text)], out=sums[1:])
+    np.cumsum(sums[1:], out=sums[1:])
+    words = sums[ends]
+    words -= sums[starts]
+    words *= backs[starts]
+    words += (ends - starts).view(np.uint64)
+    return _mixed(words)
 
 
 def _family(k: int) -> np.uint64:
@@ -173,33 +196,33 @@ def line_keys(flat: np.ndarray, offsets: np.ndarray, powers: np.ndarray, backs:
     end[:-1] &= ~inside[1:]
     begin[offsets[:-1]] = end[offsets[1:] - 1] = True  # a line starts and ends with a word
     starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
-    line = np.searchsorted(offsets, starts, side="right") - 1
+    count = np.diff(np.searchsorted(starts, offsets))
+    line = np.repeat(np.arange(n), count)
     words = _word_hashes(flat, starts, ends, powers, backs)
-    count = np.bincount(line, minlength=n)
     found = list(_remainders(flat, offsets[:-1], sizes))
 
     def by_pairs(kind: int, blocks: np.ndarray, held: np.ndarray, able: np.ndarray) -> None:
         for c, (i, j) in enumerate(CHOICES):
-            at = np.flatnonzero(able & (held[:, i] + held[:, j] >= KEY_FEATURES))
-            found.append(((blocks[at, j] << np.uint64(32) | blocks[at, i]) ^ _family(kind * len(CHOICES) + c), at))
+            at = np.flatnonzero(able & (held[i] + held[j] >= KEY_FEATURES))
+            found.append(((blocks[j][at] << np.uint64(32) | blocks[i][at]) ^ _family(kind * len(CHOICES) + c), at))
 
     worded = (sizes >= WORDS_FROM)[line]
     blocks, held, _ = _blocks(n, line[worded], words[worded], BLOCKS, 40)
-    distinct = held.sum(axis=1)
+    distinct = held.sum(axis=0)
     by_pairs(0, blocks, held, distinct < PAIRED)
     # Pairs of bytes that are next to one another.
     few = np.repeat((sizes < PAIRS_BELOW) | (sizes > LONG_WORDS * count), sizes)
     few[offsets[1:] - 1] = False
     at = np.flatnonzero(few)
     pairs = _mixed((flat[at].astype(np.uint64) << np.uint64(8) | flat[np.minimum(at + 1, len(flat) - 1)]) + np.uint64(_BASE))
-    blocks, held, _ = _blocks(n, np.searchsorted(offsets, at, side="right") - 1, pairs, BLOCKS, 40)
+    blocks, held, _ = _blocks(n, np.repeat(np.arange(n), np.diff(np.searchsorted(at, offsets))), pairs, BLOCKS, 40)
     by_pairs(1, blocks, held, np.True_)
     # Blocks that are keys alone: the sum tells apart more of them than 32 bits can.
     many = (distinct >= SINGLE_FROM)[line]
-    blocks, held, sums = _blocks(n, line[many], words[many], SINGLES, 33)
+    blocks, held, sums = _blocks(n, line[many], words[many], SINGLES, 33, summed=True)
     for b in range(SINGLES):
-        at = np.flatnonzero(held[:, b] >= SINGLE_FEATURES)
-        found.append(((blocks[at, b] << np.uint64(32) | sums[at, b] >> np.uint64(32)) ^ _family(2 * len(CHOICES) + b), at))
+        at = np.flatnonzero(held[b] >= SINGLE_FEATURES)
+        found.append(((blocks[b][at] << np.uint64(32) | sums[b][at] >> np.uint64(32)) ^ _family(2 * len(CHOICES) + b), at))
     key, at = (np.concatenate(x) for x in zip(*found, strict=True))
     return key.view(np.int64), at
 
@@ -226,15 +249,11 @@ def line_hashes(docs: DataFrame, id_col: str, text_col: str, row_col: str) -> Da
                 line, h, texts = hashed_lines(b"\n".join(part), powers, backs)
                 begins = np.cumsum([0] + [x.count(b"\n") + 1 for x in part])
                 owner = np.searchsorted(begins, line, side="right") - 1
-                ids = (batch.column(i).take(pa.array(owner + done)) for i in (0, 1, 2))
+                rows = pa.array(owner + done)
+                ids = (batch.column(i).take(rows) for i in (0, 1, 2))
                 if len(known) > SEEN:
                     known = set()
-                before = len(known)
-                fresh = np.zeros(len(h), bool)
-                for i, x in enumerate(h.tolist()):
-                    known.add(x)
-                    if len(known) > before:
-                        fresh[i], before = True, before + 1
+                fresh = np.array([x not in known and not known.add(x) for x in h.tolist()], bool)
                 texts = texts.take(pa.array(np.where(fresh, np.arange(len(h)), 0), mask=~fresh))
                 columns = [*ids, pa.array(line - begins[owner]), pa.array(h.view(np.int64)), texts, pa.array(fresh)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "file", "at", "line", "h", "text", "fresh"])
@@ -257,8 +276,8 @@ def keys_of_lines(lines: DataFrame) -> DataFrame:
     def chunks(held: list[np.ndarray]) -> pa.RecordBatch:
         rows = np.concatenate(held)
         slot = (_mixed(rows["key"].view(np.uint64)) % slots).astype(np.int32)
-        order = np.argsort(slot, kind="stable")
-        rows, slot = rows[order], slot[order]
+        order = np.argsort(slot.astype(np.uint16) if slots <= 1 << 16 else slot, kind="stable")  # of 16 bits, by radix
+        rows, slot = rows.take(order), slot[order]
         begins = np.union1d(np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1]))), np.arange(0, len(rows), CHUNKED))
         offsets = (np.append(begins, len(rows)) * _KEYED.itemsize).astype(np.int32)
         packed = pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(rows.view(np.uint8))])
@@ -412,6 +431,12 @@ def _replaced(a: list[bytes], b: list[bytes]) -> int:
     return total + max(gone, come)
 
 
+def _alone(a: list[bytes], b: list[bytes]) -> int:
+    """Bytes of the words that only one side has, of that with more of them: _replaced is not less."""
+    in_a, in_b = set(a), set(b)
+    return max(sum([len(x) + 1 for x in a if x not in in_b]), sum([len(x) + 1 for x in b if x not in in_a]))
+
+
 def _in_common(a: bytes, b: bytes) -> int:
     """How many bytes both start with."""
     low, high = 0, min(len(a), len(b))
@@ -442,7 +467,7 @@ def _told(a: bytes, b: bytes) -> bool | tuple[bytes, bytes, int]:
     words_a, words_b = a.split(b" "), b.split(b" ")
     if len(words_a) == len(words_b) and sum(max(len(x), len(y)) for x, y in zip(words_a, words_b) if x != y) <= most:
         return True
-    if len(words_a) > 2 and _replaced(words_a, words_b) <= most:
+    if len(words_a) > 2 and _alone(words_a, words_b) <= most and _replaced(words_a, words_b) <= most:
         return True
     return a, b, most
 
@@ -502,19 +527,20 @@ def _all_within_edits(pairs: list[tuple[bytes, bytes, int]]) -> list[bool]:
 
 def _distances(pairs: list[tuple[bytes, bytes, int]]) -> np.ndarray:
     """Edit distances of pairs up to TABLE bytes; those above what is allowed may come out larger."""
-    first, second = np.array([len(a) for a, _, _ in pairs]), np.array([len(b) for _, b, _ in pairs])
-    n, m, most = int(first.max()), int(second.max()), max(x for _, _, x in pairs)
+    first, second, most = np.array([len(a) for a, _, _ in pairs]), np.array([len(b) for _, b, _ in pairs]), np.array([x for _, _, x in pairs])
+    n, m, width = int(first.max()), int(second.max()), int(most.max())
     down, back = np.zeros((n + 1, len(pairs)), np.uint8), np.ones((m + 1, len(pairs)), np.uint8)
     for k, (a, b, _) in enumerate(pairs):
         down[1 : len(a) + 1, k] = np.frombuffer(a, np.uint8)
         back[m - len(b) : m, k] = np.frombuffer(b, np.uint8)[::-1]
-    far, found, ends = np.int16(4 * TABLE), np.zeros(len(pairs), np.int64), first + second
+    far, ends, left = np.int16(4 * TABLE), first + second, np.arange(len(pairs))
+    found = np.full(len(pairs), far, np.int64)
     # Of diagonal d, cell i (at i + 1) is the distance of the first i bytes of `a` and the first d - i of `b`.
     before, last, now = (np.full((n + 3, len(pairs)), far, np.int16) for _ in range(3))
     last[1] = 0
-    stops = set(ends.tolist())
-    for d in range(1, int(ends.max()) + 1):
-        lo, hi = max(0, d - m, (d - most + 1) // 2), min(n, d, (d + most) // 2)
+    stops, final = set(ends.tolist()), int(ends.max())
+    for d in range(1, final + 1):
+        lo, hi = max(0, d - m, (d - width + 1) // 2), min(n, d, (d + width) // 2)
         here, same = now[lo + 1 : hi + 2], before[lo : hi + 1]
         np.minimum(last[lo : hi + 1], last[lo + 1 : hi + 2], out=here)
         here += np.int16(1)
@@ -523,8 +549,17 @@ def _distances(pairs: list[tuple[bytes, bytes, int]]) -> np.ndarray:
         now[lo] = now[hi + 2] = far
         if d in stops:
             at = np.flatnonzero(ends == d)
-            found[at] = now[first[at] + 1, at]
+            found[left[at]] = now[first[at] + 1, at]
         before, last, now = last, now, before
+        if d % DIAGONALS == 0:
+            # Each way to the end goes through a cell of one of two diagonals in turn, and no way gets shorter.
+            least = np.minimum(last[lo + 1 : hi + 2].min(axis=0), before[max(0, lo - 1) + 1 : hi + 2].min(axis=0))
+            open_ = np.flatnonzero((least <= most) & (ends > d))
+            if not len(open_):
+                break
+            if 4 * len(open_) <= 3 * len(left):
+                left, first, most, ends = left[open_], first[open_], most[open_], ends[open_]
+                down, back, before, last, now = (x[:, open_] for x in (down, back, before, last, now))
     return found
 
 
@@ -533,8 +568,8 @@ def _filter_of(hashes: DataFrame) -> np.ndarray:
     place = F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1))
     words = hashes.select(F.shiftright(place, 6).alias("word"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"))
     total = np.zeros(FILTER_BITS // 64, np.int64)
-    for row in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
-        total[row.word] = row.bits
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    total[found.column(0).to_numpy()] = found.column(1).to_numpy()
     return total
 
 
@@ -580,7 +615,17 @@ def similar_links(texts: list[bytes], later: list[tuple[int, int, tuple[bytes, b
     sizes, threes = np.array([len(x) for x in texts]), _threes(texts)
     before = None if linked is None else np.array(linked)
     left, todo, links, unsure, taken = np.arange(len(texts)), [], [], [], np.zeros(len(texts), bool)
-    group = list(range(len(texts)))
+    group = Linked()
+
+    def settled() -> list[tuple[int, int]]:
+        """Links of the pairs that are unsure and not connected yet, which then are."""
+        open_ = [u for u in unsure if group.root(u[0]) != group.root(u[1])]
+        unsure.clear()
+        found = [(a, b) for (a, b, _), yes in zip(open_, _all_within_edits([t for _, _, t in open_])) if yes]
+        for a, b in found:
+            group.link(a, b)
+        return found
+
     while len(left):
         if not todo:
             todo, left = [int(left[0])], left[1:]
@@ -590,7 +635,7 @@ def similar_links(texts: list[bytes], later: list[tuple[int, int, tuple[bytes, b
             mates = before[left] == before[x]
             if mates.any():
                 for i in left[mates].tolist():
-                    group[i] = group[x]
+                    group.link(x, i)
                     todo.append(i)
                 left = left[~mates]
         most = np.maximum(sizes[left], sizes[x]) * round(100 - 100 * SIMILARITY) // 100
@@ -598,22 +643,30 @@ def similar_links(texts: list[bytes], later: list[tuple[int, int, tuple[bytes, b
         able, most = left[close], most[close]
         common = np.minimum(threes[able], threes[x]).sum(axis=1)
         able = able[common >= np.maximum(sizes[able], sizes[x]) - 2 - 3 * most]
-        told = [(int(i), _told(texts[i], texts[x])) for i in able]
-        open_ = [(i, t) for i, t in told if not isinstance(t, bool)]
-        near = [i for i, t in told if t is True]
-        if later is None:
-            near += [i for (i, _), yes in zip(open_, _all_within_edits([t for _, t in open_])) if yes]
-        else:
-            unsure += [(x, i, t) for i, t in open_]
+        near = []
+        for i in able.tolist():
+            if later is None and group.root(i) == group.root(x):
+                continue
+            told = _told(texts[i], texts[x])
+            if told is True:
+                near.append(i)
+            elif told:
+                unsure.append((x, i, told))
+        links += [(x, i) for i in near]
+        for i in near:
+            group.link(x, i)
+        if later is None and len(unsure) >= TOGETHER:
+            found = settled()
+            links += found
+            near += [b for _, b in found if group.root(b) == group.root(x)]  # others are compared with what is left at their turn
         if near:
-            links += [(x, i) for i in near]
-            todo += near
-            for i in near:
-                group[i] = group[x]
             taken[near] = True
+            todo += left[taken[left]].tolist()
             left = left[~taken[left]]
-    if unsure:
-        later += [(x, i, t) for x, i, t in unsure if group[x] != group[i]]
+    if later is None:
+        links += settled()
+    else:
+        later += [u for u in unsure if group.root(u[0]) != group.root(u[1])]
     return links
 
 
@@ -697,16 +750,19 @@ def _removed(docs: DataFrame, id_col: str, text_col: str, row_col: str) -> DataF
     """doc_id, file, at, removed: of each row of `docs`, which `row_col` tells, the numbers of its repeated lines."""
     lines = written(line_hashes(docs, id_col, text_col, row_col), "lines")
     place = F.struct("doc_id", "file", "at", "line")
-    firsts = written(lines.groupBy("h").agg(F.min(place).alias("place"), F.count("*").alias("n")), "firsts")
     labels = written(components(similar_lines(lines)), "labels")
-    # Lines that others are like group by their labels, of the rest only those that repeat matter further on.
-    linked = among(firsts, labels.select(F.col("node").alias("h"))).join(labels, F.col("h") == F.col("node")).select("h", "place", F.col("component").alias("group"))
-    heads = linked.groupBy("group").agg(F.min("place").alias("first"))
-    alone = firsts.filter("n > 1").join(labels, F.col("h") == F.col("node"), "left_anti").select("h", F.col("place").alias("first"))
-    named = written(linked.join(heads, "group").select("h", "first").unionByName(alone), "named")
-    dealt = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    light = among(lines.select("doc_id", "file", "at", "line", "h"), named.select("h")).withColumn("salt", F.pmod(F.xxhash64("file", "at", "line"), F.lit(SALT)).cast("int"))
-    gone = light.join(dealt, ["h", "salt"]).filter(~place.eqNullSafe(F.col("first")))
+    # Only lines that others are like or that repeat matter further on (and a few that the filter lets pass, alone in their groups).
+    wanted = lines.groupBy("h").count().filter("count > 1").select("h").union(labels.select("node"))
+    light = written(among(lines.select("doc_id", "file", "at", "line", "h"), wanted), "light")
+    firsts = light.groupBy("h").agg(F.min(place).alias("place"), F.count("*").alias("n"))
+    grouped = written(firsts.join(labels, F.col("h") == F.col("node"), "left").select("h", "n", "place", F.coalesce("component", "h").alias("group")), "grouped")
+    heads = grouped.groupBy("group").agg(F.min("place").alias("first"), F.count("*").alias("lines"))
+    named = grouped.join(heads, "group").filter("n > 1 or lines > 1").select("h", "n", "first")
+    salts = F.when(F.col("n") > COMMON, F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(F.array(F.lit(0)))
+    dealt = named.withColumn("salt", F.explode(salts)).drop("n")
+    common = F.broadcast(grouped.filter(F.col("n") > COMMON).select("h", F.lit(True).alias("many")))  # at most one for COMMON lines
+    own = F.when(F.col("many"), F.pmod(F.xxhash64("file", "at", "line"), F.lit(SALT)).cast("int")).otherwise(0)
+    gone = light.join(common, "h", "left").withColumn("salt", own).join(dealt, ["h", "salt"]).filter(~place.eqNullSafe(F.col("first")))
     return gone.groupBy("file", "at").agg(F.min("doc_id").alias("doc_id"), F.array_sort(F.collect_list("line")).alias("removed"))
 
 
